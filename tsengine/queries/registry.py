@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tsengine.queries import features
+from tsengine.queries import features, ingest
 
-MODULES = (features,)
+MODULES = (features, ingest)
 
 
 def flagship(spark, sf_dir):

@@ -88,18 +88,37 @@ class ChunkedGrid:
         return df.where("_core").drop("_core", "_chunk", "_pos")
 
 
-def _positions(df: DataFrame, ks: SeriesKeys) -> DataFrame:
-    """Adds ``_pos`` (grid step number) and ``_phase``; rows off the grid vanish."""
-    seconds = epoch_seconds(F.col(ks.time))
+def _on_grid(time: Column, phase: Column, step: int) -> Column:
+    whole = F.date_trunc("second", time).cast("timestamp_ntz") == time
+    return whole & (F.pmod(epoch_seconds(time) - phase, F.lit(step)) == 0)
+
+
+def _bounds(df: DataFrame, ks: SeriesKeys) -> DataFrame:
+    """One row per series: ``_phase`` (offset of its grid from the epoch) and first and last step number."""
+    t, step = F.col(ks.time), ks.step_seconds
     if ks.aligned:
-        df = df.withColumn("_sec", seconds).withColumn("_phase", F.lit(0).cast("bigint"))
-    else:
-        first = df.groupBy(*ks.keys).agg(F.pmod(epoch_seconds(F.min(ks.time)), F.lit(ks.step_seconds)).alias("_phase"))
-        df = df.withColumn("_sec", seconds).join(first, list(ks.keys))
-    on_grid = (F.pmod(F.col("_sec") - F.col("_phase"), F.lit(ks.step_seconds)) == 0) & (
-        F.date_trunc("second", F.col(ks.time)).cast("timestamp_ntz") == F.col(ks.time)
+        df = df.where(_on_grid(t, F.lit(0), step))
+    first, last = epoch_seconds(F.min(t)), epoch_seconds(F.max(t))
+    ends = df.groupBy(*ks.keys).agg(first.alias("_first"), last.alias("_last"))
+    phase = F.lit(0).cast("bigint") if ks.aligned else F.pmod("_first", F.lit(step))
+    ends = ends.withColumn("_phase", phase)
+    return ends.select(
+        *ks.keys,
+        "_phase",
+        floor_div(F.col("_first") - F.col("_phase"), step).alias("_lo"),
+        floor_div(F.col("_last") - F.col("_phase"), step).alias("_hi"),
     )
-    return df.where(on_grid).withColumn("_pos", floor_div(F.col("_sec") - F.col("_phase"), ks.step_seconds)).drop("_sec")
+
+
+def _positions(df: DataFrame, bounds: DataFrame, ks: SeriesKeys) -> DataFrame:
+    """Adds ``_pos`` (step number) and ``_phase``; rows off the grid vanish."""
+    t, phase = F.col(ks.time), F.col("_phase")
+    if ks.aligned:
+        df = df.withColumn("_phase", F.lit(0).cast("bigint"))
+    else:
+        df = df.join(bounds.select(*ks.keys, "_phase"), list(ks.keys))
+    placed = df.where(_on_grid(t, phase, ks.step_seconds))
+    return placed.withColumn("_pos", floor_div(epoch_seconds(t) - phase, ks.step_seconds))
 
 
 def chunk_grid(
@@ -118,10 +137,10 @@ def chunk_grid(
     """
     span = chunk_steps or max(MIN_CHUNK_STEPS, 4 * (back + ahead))
     keys = list(ks.keys)
-    placed = _positions(df.select(*ks.columns, *measures), ks)
+    bounds = _bounds(df, ks)
+    placed = _positions(df.select(*ks.columns, *measures), bounds, ks)
     pos = F.col("_pos")
 
-    bounds = _positions(df.select(*ks.columns), ks).groupBy(*keys, "_phase").agg(F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
     wide = span * CHUNKS_PER_BLOCK
     blocks = bounds.select("*", F.explode(F.sequence(floor_div(F.col("_lo"), wide), floor_div(F.col("_hi"), wide))).alias("_block"))
     chunks = blocks.select(
