@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tsengine.functions.scalars import finite_or_null, parse_number, parse_time
-from tsengine.series import SeriesKeys
+from tsengine.series import EPOCH, SeriesKeys
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -109,12 +109,16 @@ def trim_future(df: DataFrame, time: str, now: datetime) -> DataFrame:
     return df.where(F.col(time) <= F.lit(now.replace(minute=0, second=0, microsecond=0)).cast("timestamp_ntz"))
 
 
-def now_rows(df: DataFrame, ks: SeriesKeys, now: datetime) -> DataFrame:
-    """The row of each series at ``now`` floored to a step, or at its last time when the series ends earlier."""
+def now_times(df: DataFrame, ks: SeriesKeys, now: datetime, out: str) -> DataFrame:
+    """Per series ``now`` floored to a step, or the series' last time when it ends earlier."""
     seconds = int((now - datetime(1970, 1, 1)).total_seconds())
-    floored = F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + interval '{seconds - seconds % ks.step_seconds}' second")
-    last = df.groupBy(*ks.keys).agg(F.least(F.max(ks.time), floored).alias(ks.time))
-    return df.join(last, ks.columns, "left_semi")
+    floored = F.expr(f"{EPOCH} + interval '{seconds - seconds % ks.step_seconds}' second")
+    return df.groupBy(*ks.keys).agg(F.least(F.max(ks.time), floored).alias(out))
+
+
+def now_rows(df: DataFrame, ks: SeriesKeys, now: datetime) -> DataFrame:
+    """The row of each series at its own now."""
+    return df.join(now_times(df, ks, now, ks.time), ks.columns, "left_semi")
 
 
 def null_counts_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tsengine.queries import features, ingest
+from tsengine.queries import evaluation, features, ingest, models
 
-MODULES = (features, ingest)
+MODULES = (features, ingest, evaluation, models)
 
 
 def flagship(spark, sf_dir):
