@@ -12,6 +12,7 @@ from tsengine.operators.clean import dedup_by_key, keep_columns, now_times, proj
 from tsengine.operators.joins import append_rows
 from tsengine.plans.feature_plan import FeatureSpec, build_features
 from tsengine.series import SeriesKeys
+from tsengine.session import materialize
 
 
 def merge_live(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: SeriesKeys) -> DataFrame:
@@ -39,6 +40,9 @@ def live_features(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: Se
 
 
 def model_inputs(rows: DataFrame, features: Sequence[str], spec: FeatureSpec, ks: SeriesKeys) -> tuple[DataFrame, DataFrame]:
-    """(rows ready to score in list order, rejected rows with their null columns)."""
+    """(rows ready to score in list order, rejected rows with their null columns).
+
+    The rows are written once, because both halves and every model of an ensemble read them.
+    """
     carry = [*ks.columns, *([] if spec.level in features else [spec.level])]
-    return split_on_nulls(project_features(rows, features, "strict", carry=carry), features)
+    return split_on_nulls(materialize(project_features(rows, features, "strict", carry=carry), "live"), features)

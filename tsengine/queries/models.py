@@ -46,10 +46,17 @@ COMPACT = [
 ]
 
 
+_written: dict[tuple[str, str], object] = {}
+
+
 def split_rows(spark, sf_dir):
-    rows = split.chronological_split(training_rows(spark, sf_dir), DAILY, TEST, VALIDATION)
-    split.check_split(rows)
-    return rows
+    """The labelled training table, written once per session: all learners below read the same files."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _written:
+        rows = split.chronological_split(training_rows(spark, sf_dir), DAILY, TEST, VALIDATION)
+        split.check_split(rows)
+        _written[key] = materialize(rows, "split")
+    return _written[key]
 
 
 def _scored(model, rows, name):
@@ -151,7 +158,7 @@ def _small_trainers():
             forest.train_forest(d.part("vectors", "train"), d.part("vectors", "train"), FULL, DAILY, {k: v[:1] for k, v in SMALL_SEARCH.items()}, draws=1),
             "vectors",
         ),
-        "boosted_b": lambda d: (_boosted(d, "boosted_b", SMALL_BOOST, rounds=4), "vectors"),
+        "boosted_b": lambda d: (_boosted(d, "boosted_b", SMALL_BOOST, rounds=2), "vectors"),
         "network": lambda d: (_network(d, epochs=2), "wide"),
     }
 
@@ -160,7 +167,7 @@ def _small_trainers():
 def experiment_grid(spark, sf_dir):
     """Two feature sets times four learners, the blend and persistence; metrics per horizon on validation rows."""
     rows = split_rows(spark, sf_dir)
-    sets = {"compact": COMPACT, "lags": [FULL.level, *FULL.families()["lags"]]}
+    sets = {"means": [FULL.level, *FULL.families()["rolling mean"]], "lags": [FULL.level, *FULL.families()["lags"]]}
     return experiment.run_experiment(rows, sets, FULL, DAILY, _small_trainers()).metrics()
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tsengine.queries import evaluation, features, ingest, models
+from tsengine.queries import evaluation, features, ingest, models, streams
 
-MODULES = (features, ingest, evaluation, models)
+MODULES = (features, ingest, evaluation, models, streams)
 
 
 def flagship(spark, sf_dir):
