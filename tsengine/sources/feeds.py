@@ -53,19 +53,18 @@ def to_payloads(df: DataFrame, time: str, measures: Sequence[str], per: Sequence
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, time: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, corrupt lines) of a headed CSV under an explicit schema; ``time`` is parsed from text in mixed formats."""
-    full = T.StructType.fromDDL(f"{schema}, {CORRUPT} string")
-    raw = (
-        spark.read.schema(full)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    rows = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """(rows, corrupt lines) of a headed CSV under an explicit schema; ``time`` is parsed from text in mixed formats.
+
+    Lines are parsed as a column rather than by the CSV source, which refuses to read the corrupt lines alone.
+    """
+    header = ",".join(T.StructType.fromDDL(schema).names)
+    lines = spark.read.text(path).where((F.col("value") != header) & (F.trim("value") != ""))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.select(F.from_csv("value", f"{schema}, {CORRUPT} string", options).alias("_r")).select("_r.*")
+    rows = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if time:
         rows = rows.withColumn(time, parse_time(F.col(time))).where(F.col(time).isNotNull())
-    return rows, raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    return rows, parsed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def write_csv(df: DataFrame, path: str, time: str) -> None:
