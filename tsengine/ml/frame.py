@@ -50,6 +50,11 @@ class Scaler:
     def vector(self) -> Column:
         return array_to_vector(self.array())
 
+    def varying(self) -> "Scaler":
+        """Without the constant features, which a linear model cannot use and whose normal equations are singular."""
+        kept = [t for t in zip(self.features, self.means, self.deviations, strict=True) if t[2] > 0]
+        return Scaler(*zip(*kept, strict=True)) if kept else self
+
     def table(self, spark: SparkSession) -> DataFrame:
         rows = list(zip(self.features, self.means, self.deviations, strict=True))
         return spark.createDataFrame(rows, "feature string, mean double, deviation double")

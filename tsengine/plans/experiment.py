@@ -39,7 +39,7 @@ class SetData:
 def prepare(table: DataFrame, features: Sequence[str], spec: FeatureSpec, ks: SeriesKeys) -> SetData:
     """``table`` carries a ``split`` column. The scaler sees training rows only; vectors are written once per set."""
     scaler = fit_scaler(table.where("split = 'train'"), features)
-    both = vector_table(table.withColumn("_scaled", scaler.vector()), features, spec, ks, carry=("_scaled",))
+    both = vector_table(table.withColumn("_scaled", scaler.varying().vector()), features, spec, ks, carry=("_scaled",))
     stored = materialize(both, "vectors")
     scaled = stored.drop(VECTOR).withColumnRenamed("_scaled", VECTOR)
     return SetData(table, stored.drop("_scaled"), scaled, scaler, list(features), spec, ks)
