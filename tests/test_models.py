@@ -51,7 +51,7 @@ def test_constant_column_is_kept_last(spark):
     df = spark.createDataFrame(rows, "a double, b double, noise double, flat double, t double")
     kept, reasons, scores = selection.select_uncorrelated(df, ["a", "b", "noise", "flat"], ["t"])
     assert kept == ["a", "noise", "flat"] and list(reasons) == ["b"] and scores["flat"] == 0
-    table = {r["feature"]: r["relevance"] for r in selection.relevance(df, ["a", "flat"], F.col("t")).collect()}
+    table = {r["feature"]: r["relevance"] for r in selection.relevance(df, ["a", "flat"], {"t": F.col("t")}).collect()}
     assert table["flat"] == 0 and table["a"] == pytest.approx(abs(np.corrcoef(a, [r[4] for r in rows])[0, 1]))
 
 

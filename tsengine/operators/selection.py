@@ -39,18 +39,24 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(pairs, "a string, b string, abs_corr double")
 
 
-def relevance(df: DataFrame, features: Sequence[str], target: Column) -> DataFrame:
-    """(feature, relevance): absolute correlation with ``target``, 0 where undefined.
+def relevance(df: DataFrame, features: Sequence[str], targets: dict[str, Column]) -> DataFrame:
+    """(target, feature, relevance): absolute correlation with each target, 0 where undefined.
 
-    Rows unroll to (feature, x, y) and combine map-side, so one row per feature and task is shuffled.
+    One pass for all targets: rows unroll to (feature, x, targets) and combine map-side, so one row per feature and
+    task is shuffled. A row counts for a target when both values are present.
     """
-    wide = df.select(target.cast("double").alias("_y"), *[F.col(f).cast("double").alias(f) for f in features])
-    long = wide.unpivot(["_y"], list(features), "feature", "_x").where("_x is not null and _y is not null")
-    grouped = long.groupBy("feature").agg(
-        F.covar_samp("_x", "_y").alias("_cov"), F.stddev_samp("_x").alias("_sx"), F.stddev_samp("_y").alias("_sy")
+    ys = {f"_y{i}": (name, c) for i, (name, c) in enumerate(targets.items())}
+    wide = df.select(
+        *[c.cast("double").alias(y) for y, (_, c) in ys.items()], *[F.col(f).cast("double").alias(f) for f in features]
     )
-    ratio = F.try_divide("_cov", F.col("_sx") * F.col("_sy"))
-    return grouped.select("feature", F.coalesce(F.abs(ratio), F.lit(0.0)).alias("relevance"))
+    long = wide.unpivot(list(ys), list(features), "feature", "_x").where("_x is not null")
+    cells = []
+    for y, (name, _) in ys.items():
+        x = F.when(F.col(y).isNotNull(), F.col("_x"))
+        spread = F.stddev_samp(x) * F.stddev_samp(y)
+        score = F.coalesce(F.abs(F.try_divide(F.covar_samp(x, F.col(y)), spread)), F.lit(0.0))
+        cells.append(F.struct(F.lit(name).alias("target"), score.alias("relevance")))
+    return long.groupBy("feature").agg(F.array(*cells).alias("_c")).select("feature", F.inline("_c")).select("target", "feature", "relevance")
 
 
 def mean_target(targets: Sequence[str]) -> Column:

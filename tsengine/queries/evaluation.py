@@ -185,8 +185,8 @@ _SELECTION = complete_sql() + ", s as (select * from complete where time < (sele
 )
 def target_relevance(spark, sf_dir):
     rows = split.selection_rows(training_rows(spark, sf_dir), DAILY, HELD_OUT)
-    scores = selection.relevance(rows, FULL.features, selection.mean_target(FULL.change_targets))
-    return scores.withColumn("relevance", F.round("relevance", 6))
+    scores = selection.relevance(rows, FULL.features, {"mean": selection.mean_target(FULL.change_targets)})
+    return scores.select("feature", F.round("relevance", 6).alias("relevance"))
 
 
 _BY_HORIZON = (
@@ -204,12 +204,8 @@ _BY_HORIZON = (
 
 def _horizon_scores(spark, sf_dir):
     rows = split.selection_rows(training_rows(spark, sf_dir), DAILY, HELD_OUT)
-    scores = None
-    for h in FULL.horizons:
-        part = selection.relevance(rows, FULL.features, F.col(FULL.change_target_name(h)))
-        part = part.select(F.lit(h).alias("horizon"), "feature", F.round("relevance", 6).alias("importance"))
-        scores = part if scores is None else scores.union(part)
-    return scores
+    scores = selection.relevance(rows, FULL.features, {str(h): F.col(FULL.change_target_name(h)) for h in FULL.horizons})
+    return scores.select(F.col("target").cast("int").alias("horizon"), "feature", F.round("relevance", 6).alias("importance"))
 
 
 @query(_BY_HORIZON + "select horizon, feature, importance, rank from t where rank <= 15")
