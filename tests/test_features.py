@@ -143,7 +143,7 @@ def test_reconstruction_clamps_only_when_serving(spark):
 
 def test_one_shuffle_serves_grid_and_all_windows(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("series_id", F.col("event_type"))
-    hours = bucketize(events, HOURLY, "ts", "hour", [F.count(F.lit(1)).cast("double").alias("v")])
+    hours = bucketize(events, HOURLY, "ts", [F.count(F.lit(1)).cast("double").alias("v")])
     spec = FeatureSpec(level="v", prefix="v", measures=("v",), lags=(1, 504), windows=(24, 168), horizons=(72,))
     plan = build_features(hours, spec, HOURLY)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 1

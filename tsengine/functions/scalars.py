@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tsengine.series import floor_time
+
 # Upper edges (inclusive) and names of the category bands, and the alert thresholds.
 BANDS = (
     (50, "Good"),
@@ -113,7 +115,7 @@ def blend(parts: Sequence[tuple[float, Column]]) -> Column:
 
 
 def floor_hour(time: Column) -> Column:
-    return F.date_trunc("hour", time).cast("timestamp_ntz")
+    return floor_time(time, 3600)
 
 
 def format_time(time: Column) -> Column:

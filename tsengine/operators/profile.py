@@ -38,9 +38,10 @@ def infinity_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str], out: str = "duplicates") -> DataFrame:
-    """Rows beyond the first of each key. Copies combine map-side, so a hot key does not concentrate."""
+    """Rows beyond the first of each key, and all rows. Copies combine map-side, so a hot key does not concentrate."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias(out))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return per_key.agg(total(F.col("_n") - 1).alias(out), total(F.col("_n")).alias("n_rows"))
 
 
 def target_statistics(df: DataFrame, targets: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

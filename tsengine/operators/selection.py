@@ -96,12 +96,11 @@ def top_features(scores: DataFrame, n: int, score: str = "importance", by: Seque
 
 def feature_sets(scores: DataFrame, sizes: Sequence[int] = SET_SIZES, score: str = "importance") -> DataFrame:
     """(set_name, pos, feature): per size the union over horizons of the top features, in name order."""
-    tops = None
-    for n in sizes:
-        part = top_features(scores, n, score).select(F.lit(f"FS{n}").alias("set_name"), "feature")
-        tops = part if tops is None else tops.union(part)
+    ranked = top_features(scores, max(sizes), score)
+    fitting = F.explode(F.array(*[F.when(F.col("rank") <= n, F.lit(f"FS{n}")) for n in sizes]))
+    tops = ranked.select(fitting.alias("set_name"), "feature").where("set_name is not null").distinct()
     order = Window.partitionBy("set_name").orderBy("feature")
-    return tops.distinct().withColumn("pos", (F.row_number().over(order) - 1).cast("int")).select("set_name", "pos", "feature")
+    return tops.withColumn("pos", (F.row_number().over(order) - 1).cast("int")).select("set_name", "pos", "feature")
 
 
 def family_breakdown(sets: DataFrame, prefixes: Sequence[tuple[str, str]] = FAMILY_PREFIXES) -> DataFrame:

@@ -54,7 +54,7 @@ def check_split(df: DataFrame, least: int = 72) -> dict[str, int]:
 def selection_rows(df: DataFrame, ks: SeriesKeys, excluded: timedelta, least: int = 1000) -> DataFrame:
     """Rows before the last ``excluded`` span, for choosing features without seeing the evaluation span."""
     early = df.where(F.col(ks.time) < _at(_last_time(df, ks) - excluded))
-    if len(early.limit(least).select(ks.time).take(least)) < least:
+    if early.select(ks.time).limit(least).count() < least:
         raise ValueError(f"fewer than {least} rows to select features on")
     return early
 

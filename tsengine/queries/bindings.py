@@ -70,7 +70,7 @@ def lineitem_days(spark: SparkSession, sf_dir: str, key: str = "l_returnflag") -
     """One row per ``key`` and ship date with the 17 measures."""
     li = table(spark, sf_dir, "lineitem").withColumn("series_id", F.col(key).cast("string"))
     measures = [c.cast("double").alias(m) for m, c in _measures().items()]
-    return bucketize(li, DAILY, "l_shipdate", "day", measures)
+    return bucketize(li, DAILY, "l_shipdate", measures)
 
 
 def lineitem_days_sql(key: str = "l_returnflag") -> str:
@@ -85,7 +85,6 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         o,
         DAILY,
         "o_orderdate",
-        "day",
         [F.count(F.lit(1)).alias("orders"), F.sum(_cents("o_totalprice")).alias("total_cents")],
     )
 
@@ -101,7 +100,6 @@ def event_hours(spark: SparkSession, sf_dir: str, by_type: bool) -> DataFrame:
         e,
         HOURLY,
         "ts",
-        "hour",
         [
             F.count(F.lit(1)).alias("n"),
             F.sum(_cents("value")).alias("cents"),

@@ -374,13 +374,13 @@ def infinity_counts(spark, sf_dir):
 
 
 @query(
-    """select (select count(*) - count(distinct (event_type, date_trunc('hour', ts))) from events) as key_duplicates,
- (select count(*) from events where event_id % 2 = 0) as row_duplicates"""
+    """select 'key' as kind, count(*) - count(distinct (event_type, date_trunc('hour', ts))) as duplicates, count(*) as n_rows from events
+ union all select 'row', count(*) filter (where event_id % 2 = 0), count(*) + count(*) filter (where event_id % 2 = 0) from events"""
 )
 def duplicate_counts(spark, sf_dir):
-    by_key = profile.duplicate_count(_hour_rows(spark, sf_dir), ["event_type", "time"], "key_duplicates")
-    whole = profile.duplicate_count(_repeated_events(spark, sf_dir), ["event_id", "ts", "event_type", "value"], "row_duplicates")
-    return by_key.join(whole)  # one row each
+    by_key = profile.duplicate_count(_hour_rows(spark, sf_dir), ["event_type", "time"])
+    whole = profile.duplicate_count(_repeated_events(spark, sf_dir), ["event_id", "ts", "event_type", "value"])
+    return by_key.withColumn("kind", F.lit("key")).unionByName(whole.withColumn("kind", F.lit("row")))
 
 
 @query(

@@ -46,20 +46,35 @@ HOURLY = SeriesKeys()
 DAILY = SeriesKeys(step_seconds=86400)
 
 
+def _exact_seconds(column: Column) -> Column:
+    """Seconds since the epoch of a zone-less timestamp, with fractions; independent of the session zone."""
+    return (column - F.expr(EPOCH)).cast("interval second").cast("decimal(18,6)")
+
+
 def epoch_seconds(column: Column) -> Column:
-    """Whole seconds since the epoch of a zone-less timestamp, independent of the session zone."""
-    days = F.datediff(column.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    """Whole seconds since the epoch, rounded down."""
+    return F.floor(_exact_seconds(column)).cast("bigint")
 
 
 def floor_div(column: Column, n: int) -> Column:
-    """Integer division rounding down, for negative positions too."""
-    return ((column - F.pmod(column, F.lit(n))) / n).cast("bigint")
+    """Integer division rounding down, for negative positions too. Exact for values below 2^53."""
+    return F.floor(column / F.lit(n))
+
+
+def floor_time(column: Column, step_seconds: int) -> Column:
+    """Start of the epoch-aligned step a zone-less timestamp lies in."""
+    return F.expr(EPOCH) + F.make_dt_interval(secs=floor_div(epoch_seconds(column), step_seconds) * step_seconds)
+
+
+def period_date(column: Column, unit: str) -> Column:
+    """The date itself, or the first date of its ``unit`` (week, month, quarter, year)."""
+    day = column.cast("date")
+    return day if unit == "day" else F.trunc(day, unit)
 
 
-def bucketize(df: DataFrame, ks: SeriesKeys, event_time: str, unit: str, aggregates: list[Column]) -> DataFrame:
-    """Events to one row per series and tumbling bucket; sums combine before the shuffle."""
-    bucket = F.date_trunc(unit, F.col(event_time)).cast("timestamp_ntz").alias(ks.time)
+def bucketize(df: DataFrame, ks: SeriesKeys, event_time: str, aggregates: list[Column]) -> DataFrame:
+    """Events to one row per series and tumbling step; sums combine before the shuffle."""
+    bucket = floor_time(F.col(event_time), ks.step_seconds).alias(ks.time)
     return df.groupBy(*[F.col(k) for k in ks.keys], bucket).agg(*aggregates)
 
 
@@ -89,8 +104,7 @@ class ChunkedGrid:
 
 
 def _on_grid(time: Column, phase: Column, step: int) -> Column:
-    whole = F.date_trunc("second", time).cast("timestamp_ntz") == time
-    return whole & (F.pmod(epoch_seconds(time) - phase, F.lit(step)) == 0)
+    return F.pmod(_exact_seconds(time) - phase, F.lit(step)) == 0
 
 
 def _bounds(df: DataFrame, ks: SeriesKeys) -> DataFrame:

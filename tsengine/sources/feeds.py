@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tsengine.functions.scalars import format_time, parse_time
+from tsengine.series import period_date
 
 CORRUPT = "_corrupt_record"
 
@@ -77,5 +78,5 @@ def write_series(df: DataFrame, path: str, keys: Sequence[str], time: str, unit:
 
     The rebalance hint splits a busy period over several tasks and joins quiet ones: no hot file, no tiny files.
     """
-    dated = df.withColumn("period", F.date_trunc(unit, F.col(time)).cast("date")).hint("rebalance", "period")
+    dated = df.withColumn("period", period_date(F.col(time), unit)).hint("rebalance", "period")
     dated.sortWithinPartitions("period", *keys, time).write.mode("overwrite").partitionBy("period").parquet(path)

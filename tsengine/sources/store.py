@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tsengine.operators.clean import require_columns
 from tsengine.operators.profile import duplicate_count, null_counts, order_breaks
-from tsengine.series import SeriesKeys
+from tsengine.series import SeriesKeys, period_date
 
 
 class GateError(ValueError):
@@ -49,7 +49,7 @@ class FeatureGroup:
         return f"{self.root}/{self.name}/v{self.version}"
 
     def commit(self, df: DataFrame, commit_id: int) -> None:
-        event_date = F.date_trunc(self.unit, F.col(self.ks.time)).cast("date")
+        event_date = period_date(F.col(self.ks.time), self.unit)
         out = df.withColumn("event_date", event_date).withColumn("commit_id", F.lit(commit_id).cast("bigint"))
         (
             out.hint("rebalance", "event_date")
@@ -69,7 +69,7 @@ class FeatureGroup:
         log = self.log(spark, as_of)
         if since is not None:
             since = F.lit(since).cast("timestamp_ntz")
-            from_date = F.date_trunc(self.unit, since).cast("date")
+            from_date = period_date(since, self.unit)
             log = log.where((F.col("event_date") >= from_date) & (F.col(self.ks.time) >= since))
         return latest(log, self.ks.columns, "commit_id").drop("event_date", "commit_id")
 
