@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsengine.llm import exact, substrings
+from tsengine.llm import exact, jaccard, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,23 @@ select d.doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - coales
 from docs d left join kept using (doc_id)"""
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""with recursive docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+sets as (select doc_id, case when len(words) >= 5 then list_sort(list_distinct(list_transform(range(1, len(words) - 3), lambda i: md5(array_to_string(words[i:i + 4], ' ')))))
+ when len(words) > 0 then [md5(array_to_string(words, ' '))] else [] end as s from docs),
+classes as (select min(doc_id) as c, s from sets where len(s) > 0 group by s),
+tokens as (select c, len(s) as n, unnest(s) as t from classes),
+links as (select a.c as x, b.c as y from tokens a join tokens b on a.t = b.t and a.c < b.c group by a.c, b.c, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+edges as (select x, y from links union all select y, x from links),
+reach as (select c as node, c as other from classes union select r.node, e.y from reach r join edges e on e.x = r.other),
+lowest as (select node, min(other) as component from reach group by node)
+select d.doc_id, cast(len(d.s) as bigint) as n_shingles, coalesce(l.component, d.doc_id) as component_id
+from sets d left join classes k on k.s = d.s left join lowest l on l.node = k.c"""
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_equal_texts(table(spark, sf_dir, "documents"))
 
@@ -39,5 +56,5 @@ select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from docs window w as (partition by t)"""
 
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op8_exact_dedup": op8_exact_dedup}
-ORACLES = {"op3_substring_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL}
+QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_exact_dedup": op8_exact_dedup}
+ORACLES = {"op3_substring_dedup": OP3_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_exact_dedup": OP8_SQL}
