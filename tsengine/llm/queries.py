@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsengine.llm import exact, jaccard, substrings
+from tsengine.llm import exact, jaccard, quality, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "row.doc_id",
+        quality.held_out("row.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeated_passages(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -56,5 +67,5 @@ select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from docs window w as (partition by t)"""
 
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_exact_dedup": op8_exact_dedup}
+QUERIES = {"op1_quality_classifier": op1_quality_classifier, "op3_substring_dedup": op3_substring_dedup, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_exact_dedup": op8_exact_dedup}
 ORACLES = {"op3_substring_dedup": OP3_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_exact_dedup": OP8_SQL}
