@@ -1,11 +1,47 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: documents to packed training sequences, each stage by an operator of ``tsengine.llm``."""
 
-STAGES = []
+from tsengine.llm import exact, jaccard, mixture, packing, quality, queries
+
+
+def good_quality(spark, docs, sf_dir):
+    """Documents that the quality classifier does not reject."""
+    return quality.good_documents(docs, queries.table(spark, sf_dir, "labels"))
+
+
+def without_copies(spark, docs, sf_dir):
+    """One document of each group of equal texts."""
+    return exact.drop_equal_texts(docs)
+
+
+def without_near_copies(spark, docs, sf_dir):
+    """One document of each group that links of similar shingle sets join."""
+    return jaccard.one_of_each(docs)
+
+
+def mixed(spark, docs, sf_dir):
+    """Documents drawn to the target weights; one drawn in two epochs comes twice."""
+    return mixture.mix_sources(docs, queries.MIXTURE, queries.source_domain()).select("row.*")
+
+
+def packed(spark, docs, sf_dir):
+    """The drawn documents as pieces in sequences."""
+    return packing.pack_documents(docs, queries.vocabulary())
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("exact dedup", without_copies),
+    ("n-gram Jaccard join", without_near_copies),
+    ("mixing sources", mixed),
+    ("best-fit packing", packed),
+]
+
+#: A trained classifier and a tokenizer are not SQL; tests/llm compares each stage with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = queries.table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

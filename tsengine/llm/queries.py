@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsengine.llm import exact, jaccard, quality, substrings
+from tsengine.llm import exact, jaccard, mixture, packing, quality, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,46 @@ select d.doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - coales
 from docs d left join kept using (doc_id)"""
 
 
+#: Target weights of the registered mixture; sources share alike.
+MIXTURE = mixture.Mixture({"domain": {"web": 0.6, "curated": 0.4}, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}})
+
+
+def source_domain(source: str = "source") -> Column:
+    """Sources with a one-digit number are the web crawl, the others curated."""
+    return F.when(F.length(source) <= 4, F.lit("web")).otherwise(F.lit("curated"))
+
+
+def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixture.mix_sources(table(spark, sf_dir, "documents"), MIXTURE, source_domain())
+    return out.select("row.doc_id", *mixture.LEVELS, "tokens", "epoch")
+
+
+def _budget_sql(level: str, parents: list[str], above: str) -> str:
+    """CTEs that share budgets out among the children of ``parents``."""
+    keys = ", ".join([*parents, level])
+    part = f"partition by {', '.join(parents)}" if parents else ""
+    weight = "case " + level + "".join(f" when '{v}' then {w}" for v, w in MIXTURE.weights.get(level, {}).items()) + f" else {MIXTURE.other} end" if level in MIXTURE.weights else f"{MIXTURE.other}"
+    join = f"join {above} p using ({', '.join(parents)})" if parents else f"cross join {above} p"
+    return f"""{level}_in as (select c.*, p.budget as parent_budget from (select {keys}, sum(tokens) as tokens, sum(tokens) * {MIXTURE.epochs} as capacity, cast({weight} as double) as weight
+ from leaves group by {keys}) c {join}),
+{level}_rate as (select *, capacity / weight as ratio, (parent_budget - coalesce(sum(capacity) over (w rows between unbounded preceding and 1 preceding), 0))
+ / sum(weight) over (w rows between current row and unbounded following) as rate from {level}_in window w as ({part} order by capacity / weight, {level})),
+{level}_out as (select {keys}, tokens, cast(floor(round(case when ratio <= rate then capacity else weight * min(case when ratio > rate then {{'ratio': ratio, 'rate': rate}} end) over ({part or ''}).rate end, 3)) as bigint) as budget from {level}_rate)"""
+
+
+OP5_SQL = rf"""with docs as (select doc_id, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as tokens,
+ case when length(source) <= 4 then 'web' else 'curated' end as domain, lang, source from documents),
+leaves as (select domain, lang, source, sum(tokens) as tokens from docs group by all),
+root as (select least(floor(sum(tokens) * {MIXTURE.share}), sum(tokens) * {MIXTURE.epochs}) as budget from leaves),
+{_budget_sql("domain", [], "root")},
+{_budget_sql("lang", ["domain"], "domain_out")},
+{_budget_sql("source", ["domain", "lang"], "lang_out")},
+plan as (select domain, lang, source, cast(budget // tokens as int) as epochs, budget % tokens as part from source_out where tokens > 0),
+keyed as (select d.*, epochs, part, md5(concat_ws(':', '{MIXTURE.seed}', epochs, doc_id)) as k from docs d join plan using (domain, lang, source)),
+placed as (select *, coalesce(sum(tokens) over (partition by domain, lang, source order by k rows between unbounded preceding and 1 preceding), 0) as before from keyed)
+select doc_id, domain, lang, source, tokens, cast(unnest(range(0, epochs + case when before < part then 1 else 0 end)) as int) as epoch from placed"""
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
@@ -67,5 +107,27 @@ select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from docs window w as (partition by t)"""
 
 
-QUERIES = {"op1_quality_classifier": op1_quality_classifier, "op3_substring_dedup": op3_substring_dedup, "op6_ngram_jaccard_join": op6_ngram_jaccard_join, "op8_exact_dedup": op8_exact_dedup}
-ORACLES = {"op3_substring_dedup": OP3_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op5_source_mixture": op5_source_mixture,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
+}
+ORACLES = {
+    "op3_substring_dedup": OP3_SQL,
+    "op5_source_mixture": OP5_SQL,
+    "op6_ngram_jaccard_join": OP6_SQL,
+    "op8_exact_dedup": OP8_SQL,
+}
