@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsengine.llm import exact, jaccard, mixture, packing, quality, substrings
+from tsengine.llm import exact, jaccard, mixture, neighbours, packing, quality, sharding, substrings, token_output, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("row.doc_id", quality.held_out("row.doc_id").alias("held_out"), "severity", "grade", "toxic")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeated_passages(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -41,6 +47,20 @@ select d.doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - coales
 from docs d left join kept using (doc_id)"""
 
 
+def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = f"""with recursive docs as (select doc_id, cast(strlen(coalesce(text, '')) as bigint) as n_bytes,
+ lpad(bin(cast(concat('0x', substr(md5(cast(doc_id as varchar)), 1, 16)) as ubigint)), 64, '0') as bits from documents),
+root as (select case when sum(n_bytes) > {sharding.SHARD_BYTES} then cast(ceil(log2(sum(n_bytes) / {sharding.SHARD_BYTES})) as int) else 0 end as depth from docs),
+levels as (select d.*, r.depth, sum(n_bytes) over (partition by substr(bits, 1, r.depth)) as shard_bytes, count(*) over (partition by substr(bits, 1, r.depth)) as shard_rows from docs d, root r
+ union all select doc_id, n_bytes, bits, depth + 1, sum(n_bytes) over (partition by substr(bits, 1, depth + 1)), count(*) over (partition by substr(bits, 1, depth + 1))
+ from levels where shard_bytes > {sharding.SHARD_BYTES} and shard_rows > 1)
+select doc_id, n_bytes, substr(bits, 1, depth) as shard, depth, cast(shard_bytes as bigint) as shard_bytes, shard_rows
+from levels where shard_bytes <= {sharding.SHARD_BYTES} or shard_rows = 1"""
+
+
 #: Target weights of the registered mixture; sources share alike.
 MIXTURE = mixture.Mixture({"domain": {"web": 0.6, "curated": 0.4}, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}})
 
@@ -98,6 +118,10 @@ select d.doc_id, cast(len(d.s) as bigint) as n_shingles, coalesce(l.component, d
 from sets d left join classes k on k.s = d.s left join lowest l on l.node = k.c"""
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_equal_texts(table(spark, sf_dir, "documents"))
 
@@ -117,16 +141,26 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_output.write_matrices(table(spark, sf_dir, "documents"), vocabulary())
+    return out.select("matrix_id", "n_rows", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"), "cu_seqlens", "doc_ids", "pieces", "starts")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_extendible_sharding": op4_extendible_sharding,
     "op5_source_mixture": op5_source_mixture,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_token_output": op10_token_output,
 }
 ORACLES = {
     "op3_substring_dedup": OP3_SQL,
+    "op4_extendible_sharding": OP4_SQL,
     "op5_source_mixture": OP5_SQL,
     "op6_ngram_jaccard_join": OP6_SQL,
     "op8_exact_dedup": OP8_SQL,
