@@ -106,7 +106,7 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
-def _groups(words: int, percent: int):
+def _groups(words: int, percent: int, most: int):
     """Of one chunk: the documents that can have a partner, in groups whose members all link with the group's leader."""
 
     def group(key, documents: pa.Table, reply: pa.Table) -> pa.Table:
@@ -137,7 +137,7 @@ def _groups(words: int, percent: int):
             for g in dict.fromkeys(i for k in keys for i in leaders.get(k, ())[-_TRIES:]):
                 head = groups[g]["docs"][0]
                 common = _overlap(tokens, head["tokens"])
-                if len(groups[g]["docs"]) < GROUP_DOCS and 100 * common >= percent * (n + head["n"] - common):
+                if len(groups[g]["docs"]) < most and 100 * common >= percent * (n + head["n"] - common):
                     groups[g]["docs"].append(doc)
                     break
             else:
@@ -192,7 +192,7 @@ def _group_links(members: DataFrame, percent: int) -> DataFrame:
     return connected_components(stars.union(materialize(crossed, "group-links"))).select(F.col("node").alias("gid"), F.col("component").alias("label"))
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, group_docs: int = GROUP_DOCS) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles`` and ``component_id``, the smallest id that links reach.
 
     Two documents link when 100 * intersection >= ``percent`` * union of their sets of ``words``-word shingles; all links count.
@@ -200,7 +200,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     * Equal sets are one class, compared once.
     * The hashes of all sets meet by hash range and each chunk of ids learns which of its shingles others hold, and how common
       they are. A document that shares too few with all others together is done.
-    * The rest are put into groups of at most ``GROUP_DOCS`` whose members link with the group's leader (not cut off:
+    * The rest are put into groups of at most ``group_docs`` whose members link with the group's leader (not cut off:
       a large cluster has many groups). The token-group matrix has a row for each group and token that the rarest-first
       prefix of a member holds; two documents that link share such a token, so groups without one are not met.
     * A document opens a group only if its overlap with the union of the group's tokens reaches the threshold; in open
@@ -221,7 +221,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     reply = hashes.groupBy("bucket").applyInArrow(_shared, _REPLY)
     reply = reply.union(elsewhere.select("chunk", F.lit(None).cast("binary"), F.lit(None).cast("binary"), "node"))
     dealt = chunks.dealt_documents(docs, id_col, text_col, bounds)
-    members = materialize(dealt.groupBy("chunk").cogroup(reply.groupBy("chunk")).applyInArrow(_groups(words, percent), _MEMBERS), "shingle-groups")
+    members = materialize(dealt.groupBy("chunk").cogroup(reply.groupBy("chunk")).applyInArrow(_groups(words, percent, group_docs), _MEMBERS), "shingle-groups")
     labels = _group_links(members, percent)
     joined = members.select("node", "gid").join(labels, "gid", "left").select("node", F.coalesce("label", "gid").alias("label"))
     smallest = sets.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("least"))
