@@ -103,8 +103,9 @@ def direction(change: Column) -> Column:
 
 
 def reconstruct(current: Column, change: Column, clamp: bool) -> Column:
+    """Null in, null out: ``greatest`` alone would serve a missing change as level 0."""
     level = current + change
-    return F.greatest(F.lit(0.0), level) if clamp else level
+    return F.when(level.isNotNull(), F.greatest(F.lit(0.0), level)) if clamp else level
 
 
 def blend(parts: Sequence[tuple[float, Column]]) -> Column:

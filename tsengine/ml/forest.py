@@ -23,7 +23,7 @@ SEARCH_SPACE = {
     "numTrees": (200, 300, 500),
     "maxDepth": (6, 10, 15, 20),
     "minInstancesPerNode": (1, 2, 4, 8),
-    "featureSubsetStrategy": ("sqrt", "0.5", "all"),
+    "featureSubsetStrategy": ("sqrt", "0.5", "0.8"),
 }
 DRAWS = 8
 FOLDS = 3

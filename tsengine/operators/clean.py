@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tsengine.functions.scalars import finite_or_null, parse_number, parse_time
-from tsengine.series import EPOCH, SeriesKeys
+from tsengine.series import SeriesKeys, floor_time
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -110,10 +110,9 @@ def trim_future(df: DataFrame, time: str, now: datetime) -> DataFrame:
 
 
 def now_times(df: DataFrame, ks: SeriesKeys, now: datetime, out: str) -> DataFrame:
-    """Per series ``now`` floored to a step, or the series' last time when it ends earlier."""
-    seconds = int((now - datetime(1970, 1, 1)).total_seconds())
-    floored = F.expr(f"{EPOCH} + interval '{seconds - seconds % ks.step_seconds}' second")
-    return df.groupBy(*ks.keys).agg(F.least(F.max(ks.time), floored).alias(out))
+    """Per series ``now``, or the series' last time when it ends earlier, floored to a step."""
+    at = F.least(F.max(ks.time), F.lit(now).cast("timestamp_ntz"))
+    return df.groupBy(*ks.keys).agg(floor_time(at, ks.step_seconds).alias(out))
 
 
 def now_rows(df: DataFrame, ks: SeriesKeys, now: datetime) -> DataFrame:

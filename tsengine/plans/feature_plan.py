@@ -274,13 +274,14 @@ def build_features(
     start: datetime | None = None,
     end: datetime | None = None,
     chunk_steps: int | None = None,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Measures on the regular grid, every feature of ``spec`` and its targets, in that order.
 
-    With ``start``/``end`` only that span is returned and only the rows its frames reach are read.
+    With ``start``/``end`` only that span is returned and only the rows its frames reach are read. ``bounds`` as in ``chunk_grid``.
     """
     df = restrict_with_halo(df, ks, start, end, spec.back, spec.ahead)
-    grid = chunk_grid(df, ks, list(spec.measures), spec.back, spec.ahead, chunk_steps)
+    grid = chunk_grid(df, ks, list(spec.measures), spec.back, spec.ahead, chunk_steps, bounds)
     passes = _ordered_columns(spec, grid.window)
     wide = passes.over(grid.df)
     if start is not None:

@@ -15,6 +15,12 @@ from tsengine.series import SeriesKeys
 from tsengine.session import materialize
 
 
+def live_times(history: DataFrame, live: DataFrame, ks: SeriesKeys, now: datetime) -> DataFrame:
+    """Per series of either table ``_now``: ``now``, or the series' last time when it ends earlier, floored to a step."""
+    both = history.select(*ks.columns).unionByName(live.select(*ks.columns))
+    return now_times(both, ks, now, "_now")
+
+
 def merge_live(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: SeriesKeys) -> DataFrame:
     """Rows of both, the live value winning where both have a time."""
     columns = [*ks.columns, *spec.measures]
@@ -25,24 +31,34 @@ def merge_live(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: Serie
 
 
 def live_features(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: SeriesKeys, now: datetime) -> DataFrame:
-    """One row per series at ``now`` (or its last time when it ends earlier) with every feature of ``spec``.
+    """One row per series at ``now`` (or its last step when it ends earlier) with every feature of ``spec``.
 
-    Each series is cut to the steps its windows reach around its own now before any window runs.
+    A series without a row at that step, such as one whose only row lies off the grid, comes with null features, so
+    ``model_inputs`` rejects it by name. Series ends come from keys and times alone. Both tables are cut to the steps that windows reach
+    before rows are merged, by bounds on the time that reach the scan and by each series' own now.
     """
     spec = spec.without_targets()
-    merged = merge_live(history, live, spec, ks)
-    at = now_times(merged, ks, now, "_now")
-    near = merged.join(at, list(ks.keys)).where(
-        F.col(ks.time).between(F.col("_now") - ks.steps(spec.back), F.col("_now") + ks.steps(spec.ahead))
-    )
-    features = build_features(near.drop("_now"), spec, ks)
-    return features.join(at.withColumnRenamed("_now", ks.time), ks.columns, "left_semi")
+    at = materialize(live_times(history, live, ks, now), "live-times")
+    first, last = at.agg(F.min("_now"), F.max("_now")).first()  # two times
+    if first is None:
+        return build_features(merge_live(history, live, spec, ks), spec, ks)
+    back, ahead = ks.steps(spec.back), ks.steps(spec.ahead)
+    t = F.col(ks.time)
+    reach = (t >= F.lit(first).cast("timestamp_ntz") - back) & (t <= F.lit(last).cast("timestamp_ntz") + ahead)
+
+    def near(df: DataFrame) -> DataFrame:
+        cut = df.where(reach).join(at, list(ks.keys))
+        return cut.where(t.between(F.col("_now") - back, F.col("_now") + ahead)).drop("_now")
+
+    features = build_features(merge_live(near(history), near(live), spec, ks), spec, ks)
+    return features.join(at.withColumnRenamed("_now", ks.time), ks.columns, "right")
 
 
 def model_inputs(rows: DataFrame, features: Sequence[str], spec: FeatureSpec, ks: SeriesKeys) -> tuple[DataFrame, DataFrame]:
     """(rows ready to score in list order, rejected rows with their null columns).
 
-    The rows are written once, because both halves and every model of an ensemble read them.
+    A missing level rejects a row like a missing feature: no forecast can be added to it. The rows are written once, because both halves
+    and every model of an ensemble read them.
     """
     carry = [*ks.columns, *([] if spec.level in features else [spec.level])]
-    return split_on_nulls(materialize(project_features(rows, features, "strict", carry=carry), "live"), features)
+    return split_on_nulls(materialize(project_features(rows, features, "strict", carry=carry), "live"), [*features, *carry[len(ks.columns) :]])

@@ -40,6 +40,8 @@ def forecast_table(
 
 
 def alert_table(forecast: DataFrame, ks: SeriesKeys) -> DataFrame:
-    """Alert of each series and time by the peak of its current and forecast levels."""
-    peaks = forecast.groupBy(*ks.columns).agg(F.max(F.greatest("current_level", "predicted_level")).alias("peak"))
+    """Alert of each series and time by the peak of its current and forecast levels; null if one of them is missing."""
+    unknown = F.count_if(F.col("current_level").isNull() | F.col("predicted_level").isNull())
+    peak = F.when(unknown == 0, F.max(F.greatest("current_level", "predicted_level")))
+    peaks = forecast.groupBy(*ks.columns).agg(peak.alias("peak"))
     return peaks.withColumn("alert", S.alert([F.col("peak")]))

@@ -124,6 +124,21 @@ def _bounds(df: DataFrame, ks: SeriesKeys) -> DataFrame:
     )
 
 
+def _given_bounds(bounds: DataFrame, ks: SeriesKeys) -> DataFrame:
+    first, last, step = epoch_seconds(F.col("first")), epoch_seconds(F.col("last")), ks.step_seconds
+    if ks.aligned:  # the whole steps inside
+        lo, hi, phase = floor_div(first + (step - 1), step), floor_div(last, step), F.lit(0).cast("bigint")
+    else:
+        phase = F.pmod(first, F.lit(step))
+        lo, hi = floor_div(first - phase, step), floor_div(last - phase, step)
+    ends = bounds.select(*ks.keys, phase.alias("_phase"), lo.alias("_lo"), hi.alias("_hi"))
+    return ends.where("_lo <= _hi")
+
+
+def _twice(keys: list[str]) -> Column:
+    return F.concat_ws(" ", F.lit("two rows of one series and time:"), *[F.col(k).cast("string") for k in keys], F.col("_pos").cast("string"))
+
+
 def _positions(df: DataFrame, bounds: DataFrame, ks: SeriesKeys) -> DataFrame:
     """Adds ``_pos`` (step number) and ``_phase``; rows off the grid vanish."""
     t, phase = F.col(ks.time), F.col("_phase")
@@ -142,16 +157,20 @@ def chunk_grid(
     back: int = 0,
     ahead: int = 0,
     chunk_steps: int | None = None,
+    bounds: DataFrame | None = None,
 ) -> ChunkedGrid:
     """Regular grid from each series' first to last step, cut into chunks with halos.
 
     One shuffle moves the rows, keyed by ``(series, chunk)``; it serves the gap fill and every window after it.
     Each chunk travels as one marker row and is unrolled into its steps only after the shuffle, so the
-    grid is never shuffled nor built by a single task. Rows must be unique per ``(series, time)``.
+    grid is never shuffled nor built by a single task. Two rows of one series and time fail the job.
+
+    ``bounds`` (keys, ``first``, ``last``) gives each series' first and last time where the caller knows them: the grid then
+    spans these, and ``df`` is read once. Series without bounds have no grid.
     """
     span = chunk_steps or max(MIN_CHUNK_STEPS, 4 * (back + ahead))
     keys = list(ks.keys)
-    bounds = _bounds(df, ks)
+    bounds = _bounds(df, ks) if bounds is None else _given_bounds(bounds, ks)
     placed = _positions(df.select(*ks.columns, *measures), bounds, ks)
     pos = F.col("_pos")
 
@@ -175,6 +194,7 @@ def chunk_grid(
             F.greatest(F.col("_lo"), F.col("_chunk") * span - back),
             F.least(F.col("_hi"), F.col("_chunk") * span + (span - 1 + ahead)),
         ).alias("_steps"),
+        F.lit(0).alias("_own"),
         *[F.lit(None).cast(types[m]).alias(m) for m in measures],
     )
     home = floor_div(pos, span)
@@ -182,13 +202,14 @@ def chunk_grid(
         copies = F.explode(F.sequence(floor_div(pos - ahead, span), floor_div(pos + back, span)))
     else:
         copies = home
-    rows = placed.select(*keys, "_phase", copies.alias("_chunk"), F.array(pos).alias("_steps"), *measures)
+    rows = placed.select(*keys, "_phase", copies.alias("_chunk"), F.array(pos).alias("_steps"), F.lit(1).alias("_own"), *measures)
     dense = (
         markers.unionByName(rows)
         .repartition(*keys, "_chunk")
-        .select(*keys, "_phase", "_chunk", F.explode("_steps").alias("_pos"), *measures)
+        .select(*keys, "_phase", "_chunk", F.explode("_steps").alias("_pos"), "_own", *measures)
         .groupBy(*keys, "_chunk", "_pos", "_phase")
-        .agg(*[F.max(m).alias(m) for m in measures])
+        .agg(F.sum("_own").alias("_own"), *[F.max(m).alias(m) for m in measures])
+        .where(F.when(F.col("_own") > 1, F.raise_error(_twice(keys))).otherwise(F.lit(True)))
         .select(
             *keys,
             F.expr(f"{EPOCH} + (_pos * {ks.step_seconds} + _phase) * interval '1' second").alias(ks.time),
