@@ -1,10 +1,11 @@
+from datetime import datetime, timedelta
+
 import duckdb
 import pytest
 from pyspark.sql import types as T
 
 import __spark_entry__ as contract
 from check import TABLES, difference
-from tsengine.operators.clean import dedup_by_key
 from tsengine.queries import streams
 from tsengine.series import HOURLY
 from tsengine.session import new_path
@@ -18,7 +19,7 @@ SMALL = [
     "keyed_keep_last", "two_stage_dedup", "regular_grid", "anchored_grid", "offset_lookup", "null_counts", "gap_summary",
     "chronology_breaks", "category_band", "alert_level", "rolling_mean", "rolling_median", "rolling_std", "forward_rolling_sum",
     "same_phase_history", "hourly_event_features", "range_rolling_mean", "calendar_parts", "streamed_hours", "incremental_upsert",
-    "incremental_features", "halo_restricted_features",
+    "incremental_features", "halo_restricted_features", "streamed_revisions", "late_event_rejects", "streamed_alerts",
 ]
 
 
@@ -45,15 +46,23 @@ def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-def test_incremental_equals_rebuild_after_three_batches(spark):
-    first, second = streams._two_batches(spark, FOLDER)
+def test_incremental_equals_rebuild_in_every_case(spark):
+    """A gap before, inside and after what is known, a late row, a new series: all rows, both ways, after each batch."""
+    start = datetime(2024, 1, 1)
+
+    def batch(*spans):
+        rows = [(s, start + timedelta(hours=h), float(h % 7), float(h * h % 101 + plus)) for s, lo, hi, plus in spans for h in range(lo, hi)]
+        return spark.createDataFrame(rows, "series_id string, time timestamp_ntz, n double, cents double")
+
     raw = FeatureGroup(new_path(spark, "raw"), "r", 1, HOURLY)
     wide = FeatureGroup(new_path(spark, "wide"), "w", 1, HOURLY)
-    late = first.where("time >= timestamp_ntz'2024-01-05' and time < timestamp_ntz'2024-01-06'").selectExpr("series_id", "time", "n", "cents + 7 as cents")
-    for i, batch in enumerate((first, second, late), start=1):
-        incremental.apply_changes(raw, wide, batch, streams.SPEC, HOURLY, i)
-    rebuilt = streams.build_features(raw.read(spark), streams.SPEC, HOURLY)
-    kept = wide.read(spark).join(rebuilt.select("series_id", "time"), ["series_id", "time"])
-    assert kept.select(rebuilt.columns).exceptAll(rebuilt).count() == 0
-    assert rebuilt.where("cents is not null").exceptAll(kept.select(rebuilt.columns)).count() == 0
-    assert dedup_by_key(kept.selectExpr("series_id", "time", "1 as s"), HOURLY.columns, "s").count() == kept.count()
+    batches = [
+        batch(("a", 100, 160, 0)),
+        batch(("a", 230, 250, 0), ("b", 120, 130, 0)),
+        batch(("a", 190, 191, 0), ("a", 150, 152, 5)),
+        batch(("a", 20, 22, 0), ("b", 300, 301, 0)),
+    ]
+    for i, changes in enumerate(batches, start=1):
+        incremental.apply_changes(raw, wide, changes, streams.SPEC, HOURLY, i)
+        rebuilt, kept = streams.build_features(raw.read(spark), streams.SPEC, HOURLY), wide.read(spark)
+        assert sorted(map(repr, kept.select(rebuilt.columns).collect())) == sorted(map(repr, rebuilt.collect()))

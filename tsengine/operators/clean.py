@@ -82,9 +82,26 @@ def drop_full_duplicates(df: DataFrame, seq: str) -> DataFrame:
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], seq: str, keep: str = "last") -> DataFrame:
     """One row per key, the latest or earliest by ``seq``; combines map-side, so a hot key costs one row per task."""
+    return picked_rows(df, keys, seq, F.max_by if keep == "last" else F.min_by)
+
+
+#: Types whose values can be kept in place in a hash aggregate.
+_FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
+
+
+def picked_rows(df: DataFrame, keys: Sequence[str], order: str, pick) -> DataFrame:
+    """``pick`` (max_by or min_by) of each key's rows by ``order``, which must differ between rows of one key.
+
+    Fixed-width columns are picked one by one, which Spark hashes; text and nested ones travel as one struct, which it sorts.
+    """
+    types = dict(df.dtypes)
     rest = [c for c in df.columns if c not in keys]
-    pick = F.max_by if keep == "last" else F.min_by
-    return df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(seq)).alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    wide = [c for c in rest if types[c] not in _FIXED_WIDTH]
+    cells = [pick(F.col(c), F.col(order)).alias(c) for c in rest if c not in wide]
+    if wide:
+        cells = [pick(F.struct(*rest), F.col(order)).alias("_row")]
+    out = df.groupBy(*keys).agg(*cells)
+    return (out.select(*keys, "_row.*") if wide else out).select(*df.columns)
 
 
 def two_stage_dedup(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:

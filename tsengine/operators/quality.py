@@ -12,7 +12,7 @@ from tsengine.functions.scalars import close
 from tsengine.operators.clean import NUMERIC
 from tsengine.operators.profile import duplicate_count, gap_summary, order_breaks
 from tsengine.plans.feature_plan import FeatureSpec
-from tsengine.series import SeriesKeys
+from tsengine.series import SeriesKeys, chunk_grid
 
 # The range of each calendar part, and the accepted share of gaps in percent.
 CALENDAR_RANGES = {
@@ -30,7 +30,7 @@ SCHEMA = "check string, status string, bad bigint, checked bigint"
 
 @dataclass(frozen=True)
 class Alignment:
-    """``feature`` must equal ``column`` of the raw table ``steps`` away, less ``minus`` of the feature row itself."""
+    """``feature`` must equal ``column`` of the raw table ``steps`` away, less ``minus`` of the raw table at the row's own time."""
 
     feature: str
     column: str
@@ -56,37 +56,35 @@ def lead_rules(spec: FeatureSpec) -> list[Alignment]:
 
 
 def alignment_checks(features: DataFrame, raw: DataFrame, ks: SeriesKeys, rules: Sequence[Alignment], fail_when_empty: bool = True) -> DataFrame:
-    """Recomputes shifted features from the raw table by time, independently of any window.
+    """Recomputes shifted features from the raw table and compares them; a rule whose column is missing fails.
 
-    All rules share one equi-join: each feature row is unrolled into one narrow row per rule, addressed to the raw time it
-    must match.
+    Expectations of all rules are shifts over one regular grid of the raw rows, which join the feature rows once; no row is made per rule.
     """
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(r.feature).alias("check"),
-                (F.col(ks.time) + ks.steps(r.steps)).alias("_at"),
-                F.col(r.feature).cast("double").alias("_actual"),
-                (F.col(r.minus) if r.minus else F.lit(0.0)).cast("double").alias("_minus"),
-            )
-            for r in rules
-        ]
-    )
-    unrolled = features.select(*ks.keys, F.inline(wanted))
-    columns = sorted({r.column for r in rules})
-    lookup = raw.select(*ks.keys, F.col(ks.time).alias("_at"), *[F.col(c).cast("double").alias(f"_raw_{c}") for c in columns])
-    met = unrolled.join(lookup, [*ks.keys, "_at"], "left")
-    expected = F.coalesce(*[F.when(F.col("check") == r.feature, F.col(f"_raw_{r.column}")) for r in rules]) - F.col("_minus")
-    near = F.lit(False)
-    for atol, rtol in sorted({(r.atol, r.rtol) for r in rules}):
-        names = [r.feature for r in rules if (r.atol, r.rtol) == (atol, rtol)]
-        near = near | (F.col("check").isin(names) & close(F.col("_actual"), expected, atol, rtol))
-    both = F.col("_actual").isNotNull() & expected.isNotNull()
-    counted = met.groupBy("check").agg(F.count_if(both & ~near).alias("bad"), F.count_if(both).alias("checked"))
+    present = [r for r in rules if r.feature in features.columns]
+    absent = [(f"aligned: {r.feature}", "fail", 0, 0) for r in rules if r.feature not in features.columns]
+    missing = features.sparkSession.createDataFrame(absent, SCHEMA)
+    if not present:
+        return missing
+    columns = sorted({c for r in present for c in (r.column, r.minus) if c})
+    back = max(0, *[-r.steps for r in present])
+    ahead = max(0, *[r.steps for r in present])
+    grid = chunk_grid(raw, ks, columns, back, ahead)
+    shifted = {}
+    for r in present:
+        value = F.lead(F.col(r.column).cast("double"), r.steps).over(grid.window)
+        shifted[f"_e_{r.feature}"] = value - F.col(r.minus).cast("double") if r.minus else value
+    expected = grid.core(grid.df.select(*ks.columns, "_core", *[e.alias(n) for n, e in shifted.items()]))
+    met = features.select(*ks.columns, *[F.col(r.feature).cast("double").alias(f"_a_{r.feature}") for r in present]).join(expected, ks.columns, "left")
+    counters = []
+    for r in present:
+        got, want = F.col(f"_a_{r.feature}"), F.col(f"_e_{r.feature}")
+        both = got.isNotNull() & want.isNotNull()
+        counters.append(F.struct(F.lit(f"aligned: {r.feature}").alias("check"), F.count_if(both & ~close(got, want, r.atol, r.rtol)).alias("bad"), F.count_if(both).alias("checked")))
+    counted = met.agg(F.array(*counters).alias("_c")).select(F.inline("_c"))
     bad = F.col("bad") > 0
     if fail_when_empty:
         bad = bad | (F.col("checked") == 0)
-    return counted.select(F.concat(F.lit("aligned: "), "check").alias("check"), _status(bad).alias("status"), "bad", "checked")
+    return counted.select("check", _status(bad).alias("status"), "bad", "checked").unionByName(missing)
 
 
 def _status(bad: Column, warn: Column | None = None) -> Column:
@@ -102,6 +100,7 @@ def schema_checks(
     groups: dict[str, Sequence[str]],
     feature_list: Sequence[str],
     spec: FeatureSpec,
+    seq: str | None = None,
 ) -> list[tuple[str, str, int, int]]:
     """Checks that need only names and types: column groups, numeric types, leakage."""
     present, types = set(features.columns), dict(features.dtypes)
@@ -109,7 +108,7 @@ def schema_checks(
     for name, columns in groups.items():
         missing = sum(c not in present for c in columns)
         rows.append((f"columns: {name}", "fail" if missing else "pass", missing, len(columns)))
-    values = [c for c in features.columns if c not in ks.columns]
+    values = [c for c in features.columns if c not in ks.columns and c != seq]
     odd = sum(types[c] not in NUMERIC and not types[c].startswith("decimal") for c in values)
     rows.append(("numeric columns", "fail" if odd else "pass", odd, len(values)))
     targets = {*spec.level_targets, *spec.change_targets}
@@ -132,7 +131,8 @@ def value_checks(features: DataFrame, ks: SeriesKeys, spec: FeatureSpec, non_neg
         sum((F.coalesce(F.abs(F.col(c)) == float("inf"), F.lit(False)).cast("bigint") for c in doubles), F.lit(0).cast("bigint"))
     )
     for c in non_negative:
-        counters[f"not negative: {c}"] = F.count_if(F.col(c) < 0)
+        if c in features.columns:
+            counters[f"not negative: {c}"] = F.count_if(F.col(c) < 0)
     names = list(counters)
     one = features.agg(F.count(F.lit(1)).alias("_rows"), *[F.coalesce(v, F.lit(0)).alias(n) for n, v in counters.items()])
     long = one.unpivot(["_rows"], names, "check", "bad")
@@ -143,7 +143,8 @@ def value_checks(features: DataFrame, ks: SeriesKeys, spec: FeatureSpec, non_neg
         F.lit(0).cast("bigint").alias("bad"),
         F.col("_rows").alias("checked"),
     )
-    return checks.unionByName(enough)
+    absent = [(f"not negative: {c}", "fail", 0, 0) for c in non_negative if c not in features.columns]
+    return checks.unionByName(enough).unionByName(features.sparkSession.createDataFrame(absent, SCHEMA))
 
 
 def key_checks(features: DataFrame, ks: SeriesKeys, seq: str | None = None) -> DataFrame:
@@ -188,11 +189,11 @@ def quality_report(
 ) -> DataFrame:
     """All checks in one table. ``features`` should be a written table: several passes read it."""
     groups = {"keys": ks.columns, **spec.families(), "targets": spec.level_targets, "change targets": spec.change_targets}
-    metadata = schema_checks(features, ks, groups, feature_list if feature_list is not None else spec.features, spec)
+    metadata = schema_checks(features, ks, groups, feature_list if feature_list is not None else spec.features, spec, seq)
     rules = [*lag_rules(spec), *target_rules(spec), *lead_rules(spec)]
     return (
         features.sparkSession.createDataFrame(metadata, SCHEMA)
-        .unionByName(value_checks(features, ks, spec, non_negative))
+        .unionByName(value_checks(features.drop(seq) if seq else features, ks, spec, non_negative))
         .unionByName(key_checks(features, ks, seq))
         .unionByName(coverage_checks(features, raw, ks, spec.horizons))
         .unionByName(alignment_checks(features, raw, ks, rules))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tsengine.plans.feature_plan import FeatureSpec, air_quality_spec
 from tsengine.series import DAILY, HOURLY, bucketize
+from tsengine.session import materialize
 
 FULL = air_quality_spec()
 
@@ -78,6 +79,11 @@ def lineitem_days_sql(key: str = "l_returnflag") -> str:
     return f"select cast({key} as varchar) as series_id, date_trunc('day', l_shipdate)::timestamp as time,\n {measures}\nfrom lineitem group by 1, 2"
 
 
+def stored_days(spark: SparkSession, sf_dir: str, key: str = "l_returnflag") -> DataFrame:
+    """``lineitem_days`` written once: feature plans read a series twice (bounds and rows), the raw table should be read once."""
+    return materialize(lineitem_days(spark, sf_dir, key), "series")
+
+
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order date: the second feed."""
     o = table(spark, sf_dir, "orders").withColumn("series_id", F.lit("all"))

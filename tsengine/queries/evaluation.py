@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tsengine.functions import scalars as S
 from tsengine.operators import metrics, profile, quality, selection, split
 from tsengine.plans.feature_plan import build_features, training_table
-from tsengine.queries.bindings import FULL, complete_sql, event_hours, event_hours_sql, lineitem_days
+from tsengine.queries.bindings import FULL, complete_sql, event_hours, event_hours_sql, stored_days
 from tsengine.series import DAILY, HOURLY
 from tsengine.session import materialize, new_path
 from tsengine.sources import metadata
@@ -36,7 +36,7 @@ TEST, VALIDATION, HELD_OUT = timedelta(days=240), timedelta(days=120), timedelta
 
 def training_rows(spark, sf_dir, spec=FULL):
     """The complete feature table, written once because several passes read it."""
-    return materialize(training_table(build_features(lineitem_days(spark, sf_dir), spec, DAILY), spec), "training")
+    return materialize(training_table(build_features(stored_days(spark, sf_dir), spec, DAILY), spec), "training")
 
 
 # --- data quality ------------------------------------------------------------------------------------------------
@@ -85,7 +85,7 @@ def _report_sql() -> str:
 
 @query(_report_sql())
 def quality_report(spark, sf_dir):
-    raw = lineitem_days(spark, sf_dir)
+    raw = stored_days(spark, sf_dir)
     return quality.quality_report(training_rows(spark, sf_dir), raw, FULL, DAILY, NON_NEGATIVE)
 
 

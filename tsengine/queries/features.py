@@ -17,6 +17,7 @@ from tsengine.queries.bindings import (
     event_hours_sql,
     feature_sql,
     lineitem_days,
+    stored_days,
     lineitem_days_sql,
     rounded,
     rounded_sql,
@@ -49,7 +50,7 @@ FAMILIES: dict[str, FeatureSpec] = {
 
 def _family_query(spec: FeatureSpec, names: list[str]):
     def run(spark, sf_dir):
-        return rounded(build_features(lineitem_days(spark, sf_dir), spec, DAILY), names)
+        return rounded(build_features(stored_days(spark, sf_dir), spec, DAILY), names)
 
     return run
 
@@ -74,11 +75,11 @@ ALL_COLUMNS = [*FULL.features, *FULL.level_targets, *FULL.change_targets]
 
 def feature_table(spark, sf_dir):
     """188 features and 6 targets on every row of the regular grid."""
-    return rounded(build_features(lineitem_days(spark, sf_dir), FULL, DAILY), ALL_COLUMNS)
+    return rounded(build_features(stored_days(spark, sf_dir), FULL, DAILY), ALL_COLUMNS)
 
 
 def complete_feature_table(spark, sf_dir):
-    features = build_features(lineitem_days(spark, sf_dir), FULL, DAILY)
+    features = build_features(stored_days(spark, sf_dir), FULL, DAILY)
     return rounded(training_table(features, FULL), ALL_COLUMNS)
 
 
@@ -95,7 +96,7 @@ _supplier_columns = [c for c in SUPPLIER.features if c not in SUPPLIER.measures]
 
 
 def supplier_features(spark, sf_dir):
-    return rounded(build_features(lineitem_days(spark, sf_dir, "l_suppkey"), SUPPLIER, DAILY), _supplier_columns)
+    return rounded(build_features(stored_days(spark, sf_dir, "l_suppkey"), SUPPLIER, DAILY), _supplier_columns)
 
 
 QUERIES["supplier_features"] = supplier_features
@@ -174,7 +175,7 @@ ORACLES["cyclical_encoding"] = "select event_id, " + ", ".join(
 def complete_cases_level(spark, sf_dir):
     """Rows with no null among a few lags, on the series with gaps."""
     spec = replace(BARE, lags=(1, 24), horizons=(24,))
-    return rounded(complete_cases(build_features(lineitem_days(spark, sf_dir), spec, DAILY)), ["us_aqi", "aqi_lag_1", "aqi_lag_24", "target_aqi_24"])
+    return rounded(complete_cases(build_features(stored_days(spark, sf_dir), spec, DAILY)), ["us_aqi", "aqi_lag_1", "aqi_lag_24", "target_aqi_24"])
 
 
 _cc = replace(BARE, lags=(1, 24), horizons=(24,))

@@ -68,16 +68,16 @@ def _landed_twice(spark, sf_dir):
     """Events landed in two files, the second repeating one in four."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     folder = new_path(spark, "landing")
-    e.coalesce(1).write.mode("append").parquet(folder)
-    e.where("event_id % 4 = 0").coalesce(1).write.mode("append").parquet(folder)
+    e.write.parquet(f"{folder}/landed=1")
+    e.where("event_id % 4 = 0").write.parquet(f"{folder}/landed=2")
     return folder, e.schema
 
 
 @query("select event_id, ts, event_type, value from events")
 def streamed_without_repeats(spark, sf_dir):
-    """Repeats dropped inside the watermark, one file per micro-batch."""
+    """Repeats dropped inside the watermark, a few files per micro-batch."""
     folder, schema = _landed_twice(spark, sf_dir)
-    stream = ingest.file_stream(spark, folder, "*.parquet", schema, files_per_batch=1)
+    stream = ingest.file_stream(spark, f"{folder}/*", "*.parquet", schema, files_per_batch=4)
     once = ingest.drop_repeats(stream, "ts", ["event_id"], "40 days")
     out = new_path(spark, "once")
     run = (
@@ -108,19 +108,55 @@ def _two_batches(spark, sf_dir):
     return first, second.withColumn("cents", F.when(t < cut, F.col("cents") + 100).otherwise(F.col("cents")))
 
 
+def _stream_of(spark, folder, df):
+    """One landed batch, a subfolder of its own, as a stream that ends when it is read."""
+    df.write.parquet(folder)
+    return ingest.file_stream(spark, folder, "*.parquet", df.schema)
+
+
 @query(f"{_REVISED_SQL} select series_id, time, n, cents from series")
 def incremental_upsert(spark, sf_dir):
-    """Two landed batches streamed into the store one file at a time; the later value of a key wins."""
-    folder = new_path(spark, "landing")
-    first, second = _two_batches(spark, sf_dir)
-    first.coalesce(1).write.mode("append").parquet(folder)
-    second.coalesce(1).write.mode("append").parquet(folder)
-    stream = ingest.file_stream(spark, folder, "*.parquet", first.schema, files_per_batch=1)
+    """Two landed batches streamed into the store by two streams with checkpoints of their own; the later value of a key wins."""
     group = FeatureGroup(new_path(spark, "stream"), "hours", 1, HOURLY)
-    _wait(ingest.upsert_stream(stream, group, new_path(spark, "checkpoint")))
+    for batch in _two_batches(spark, sf_dir):
+        _wait(ingest.upsert_stream(_stream_of(spark, new_path(spark, "landing"), batch), group, new_path(spark, "checkpoint")))
     return group.read(spark).select("series_id", "time", "n", "cents")
 
 
+_FAR = "2024-01-26"
+
+
+@query(
+    f"""{HOURS}, b as (select *, case when time >= timestamp '{_FAR}' then 1 else 2 end as landed from series),
+ e as (select series_id, max(time) as last from series group by 1)
+ select series_id, time, n, cents, case when time >= last - interval '10 day' then 'accepted' else 'rejected' end as verdict from b join e using (series_id)"""
+)
+def streamed_revisions(spark, sf_dir):
+    """The newest days land first, older ones after them: what lies behind the revision window is kept with the rejects."""
+    hours = event_hours(spark, sf_dir, by_type=True).select("series_id", "time", "n", "cents")
+    far = F.lit(_FAR).cast("timestamp_ntz")
+    root = new_path(spark, "stream")
+    group, rejects = FeatureGroup(root, "hours", 1, HOURLY), FeatureGroup(root, "rejects", 1, HOURLY)
+    for batch in (hours.where(F.col("time") >= far), hours.where(F.col("time") < far)):
+        stream = _stream_of(spark, new_path(spark, "landing"), batch)
+        _wait(ingest.revision_stream(stream, group, rejects, new_path(spark, "checkpoint"), timedelta(days=10)))
+    accepted, rejected = group.read(spark), rejects.read(spark)
+    return accepted.withColumn("verdict", F.lit("accepted")).unionByName(rejected.withColumn("verdict", F.lit("rejected")))
+
+
+@query(f"select event_id, ts, value from events where ts < (select max(ts) from events where ts >= timestamp '{_FAR}') - interval '10 day' and ts < timestamp '{_FAR}'")
+def late_event_rejects(spark, sf_dir):
+    """Events landed behind the watermark of a tumbling stream are kept, not lost."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    far = F.lit(_FAR).cast("timestamp_ntz")
+    folder, rejects, checkpoint = (new_path(spark, n) for n in ("landing", "rejects", "checkpoint"))
+    for i, batch in enumerate((events.where(F.col("ts") >= far), events.where(F.col("ts") < far))):
+        batch.write.parquet(f"{folder}/landed={i}")
+        stream = ingest.file_stream(spark, f"{folder}/*", "*.parquet", events.schema)
+        _wait(ingest.late_events(stream, HOURLY, "ts", timedelta(days=10), rejects, checkpoint))
+    return spark.read.schema(events.schema).parquet(f"{rejects}/rows").select("event_id", "ts", "value")
+
+
 @query(
     f"""{HOURS}, e as (select series_id, max(time) as last from series group by 1)
  select series_id, time, n, cents, case when time >= last - interval '10 day' then 'accepted' else 'rejected' end as verdict
@@ -134,50 +170,70 @@ def revision_window(spark, sf_dir):
     return accepted.withColumn("verdict", F.lit("accepted")).unionByName(rejected.withColumn("verdict", F.lit("rejected")))
 
 
-@query(
-    feature_sql(SPEC, f"select * from ({_REVISED_SQL} select * from series)", "'1 hour'") + "\n" + rounded_sql(NAMES, "features")
-)
+# Three batches: hours up to the 8th of all series but one; after a gap of days, hours from the 16th on with the series left out;
+# late hours of the 5th again with other values, and one hour inside the gap.
+_GAP = "(time < timestamp '2024-01-08' or time >= timestamp '2024-01-16' or time = timestamp '2024-01-11 05:00:00')"
+_GAPPED_SQL = f"""with raw as ({event_hours_sql(True)}),
+ series as (select series_id, time, cast(n as double) as n,
+ cast(cents + case when time >= timestamp '2024-01-05' and time < timestamp '2024-01-06' then 7 else 0 end as double) as cents from raw
+ where {_GAP} and (series_id <> 'click' or time >= timestamp '2024-01-16' or time >= timestamp '2024-01-05' and time < timestamp '2024-01-06' or time = timestamp '2024-01-11 05:00:00'))"""
+
+
+def gapped_batches(spark, sf_dir):
+    hours = event_hours(spark, sf_dir, by_type=True).select(
+        "series_id", "time", F.col("n").cast("double").alias("n"), F.col("cents").cast("double").alias("cents")
+    )
+    fifth = "time >= timestamp_ntz'2024-01-05' and time < timestamp_ntz'2024-01-06'"
+    return (
+        hours.where("time < timestamp_ntz'2024-01-08' and series_id <> 'click'"),
+        hours.where("time >= timestamp_ntz'2024-01-16'"),
+        hours.where(f"{fifth} or time = timestamp_ntz'2024-01-11 05:00:00'").withColumn("cents", F.expr(f"cents + if({fifth}, 7, 0)")),
+    )
+
+
+@query(feature_sql(SPEC, f"select * from ({_GAPPED_SQL} select * from series)", "'1 hour'") + "\n" + rounded_sql(NAMES, "features"))
 def incremental_features(spark, sf_dir):
-    """Features after two batches, the second recomputing only what it touched, equal those of a full rebuild."""
-    first, second = _two_batches(spark, sf_dir)
+    """Features after three batches with a long gap, a new series and late rows, each recomputing only what it reached, equal those of a full rebuild."""
     raw = FeatureGroup(new_path(spark, "raw"), "hours", 1, HOURLY)
     wide = FeatureGroup(new_path(spark, "wide"), "hour_features", 1, HOURLY)
-    incremental.apply_changes(raw, wide, first, SPEC, HOURLY, 1)
-    incremental.apply_changes(raw, wide, second, SPEC, HOURLY, 2)
-    # Grid rows past a series' end come from the reach of a change, not from the series.
-    end = raw.read(spark).groupBy("series_id").agg(F.max("time").alias("_end"))
-    features = wide.read(spark).join(end, "series_id").where(F.col("time") <= F.col("_end"))
-    return rounded(features, NAMES)
+    for number, batch in enumerate(gapped_batches(spark, sf_dir), start=1):
+        incremental.apply_changes(raw, wide, batch, SPEC, HOURLY, number)
+    return rounded(wide.read(spark), NAMES)
+
+
+_ALERT_ENDS = ("2024-01-20 11:00:00", "2024-01-20 14:00:00")
+_ALERTS_SQL = (
+    feature_sql(SPEC.without_targets(), f"select * from ({HOURS} select series_id, time, cast(n as double) as n, cast(cents as double) as cents from series)", "'1 hour'")
+    + ", ends as ("
+    + " union all ".join(f"select {i}::bigint as batch, timestamp '{t}' as upto, timestamp '{f}' as since" for i, (f, t) in enumerate(zip(("2024-01-01 00:00:00", _ALERT_ENDS[0]), _ALERT_ENDS)))
+    + """), last as (select batch, f.series_id, max(f.time) as time from ends join (select series_id, time from features where n is not null) f on f.time <= upto and (batch = 0 or f.time > since) group by 1, 2),
+ scored as (select l.batch, f.series_id, f.time, round_even(f.cents, 1) as level, round_even(greatest(0, f.cents + (f.cents_lag_1 - f.cents) * 0.5), 1) as ahead
+ from last l join features f on f.series_id = l.series_id and f.time = l.time where f.cents_lag_1 is not null and f.cents_rolling_mean_24 is not null)
+ select batch, series_id, time, greatest(level, ahead) as peak, case when greatest(level, ahead) >= 200 then 'severe' when greatest(level, ahead) >= 150 then 'sensitive' else 'none' end as alert from scored"""
+)
 
 
-@query(f"{HOURS} select series_id, max(time) as time from series where time <= timestamp '2024-01-24' group by 1")
+@query(_ALERTS_SQL)
 def streamed_alerts(spark, sf_dir):
-    """Each batch scored at now, one alert per series; the drift model stands in for a trained one."""
-    first, second = _two_batches(spark, sf_dir)
-    folder = new_path(spark, "landing")
-    until = F.col("time") <= F.lit("2024-01-24").cast("timestamp_ntz")
-    second.where(until).coalesce(1).write.parquet(folder)
-    stream = ingest.file_stream(spark, folder, "*.parquet", second.schema)
-    group = FeatureGroup(new_path(spark, "alerts"), "alerts", 1, HOURLY)
+    """Two batches, each scored at its newest time from all rows so far; the drift model stands in for a trained one."""
+    hours = event_hours(spark, sf_dir, by_type=True).select(
+        "series_id", "time", F.col("n").cast("double").alias("n"), F.col("cents").cast("double").alias("cents")
+    )
+    root = new_path(spark, "alerts")
+    raw, out, rejects = (FeatureGroup(root, n, 1, HOURLY) for n in ("raw", "alerts", "rejects"))
 
     def drift(rows):
         change = (F.col("cents_lag_1") - F.col("cents")) * 0.5
         return rows.withColumns({change_column("drift", h): change for h in SPEC.horizons})
 
-    run = alerts.score_stream(
-        stream,
-        materialize(first, "history"),
-        ["cents", "cents_lag_1"],
-        drift,
-        (("drift", 1.0),),
-        SPEC,
-        HOURLY,
-        datetime(2024, 1, 24, 0, 30),
-        group,
-        new_path(spark, "checkpoint"),
-    )
-    _wait(run)
-    return group.read(spark).select("series_id", "time")
+    since = F.lit("1970-01-01").cast("timestamp_ntz")
+    for end in _ALERT_ENDS:
+        upto = F.lit(end).cast("timestamp_ntz")
+        stream = _stream_of(spark, new_path(spark, "landing"), hours.where((F.col("time") > since) & (F.col("time") <= upto)))
+        names = ["cents", "cents_lag_1", "cents_rolling_mean_24"]
+        _wait(alerts.score_stream(stream, raw, names, drift, (("drift", 1.0),), SPEC, HOURLY, out, rejects, new_path(spark, "checkpoint")))
+        since = upto
+    return out.log(spark).select((F.col("commit_id") - 1).alias("batch"), "series_id", "time", "peak", "alert")
 
 
 @query(feature_sql(SPEC, f"select * from ({_REVISED_SQL} select * from series)", "'1 hour'") + "\n" + rounded_sql(NAMES, "features") + " where time between timestamp '2024-01-20' and timestamp '2024-01-22'")

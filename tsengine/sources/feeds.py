@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tsengine.functions.scalars import format_time, parse_time
 from tsengine.series import period_date
+from tsengine.session import materialize
 
 CORRUPT = "_corrupt_record"
 
@@ -54,15 +55,20 @@ def to_payloads(df: DataFrame, time: str, measures: Sequence[str], per: Sequence
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, time: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, corrupt lines) of a headed CSV under an explicit schema; ``time`` is parsed from text in mixed formats.
+    """(rows, corrupt lines) of headed CSV files; ``time`` is parsed from text in mixed formats.
 
-    Lines are parsed as a column rather than by the CSV source, which refuses to read the corrupt lines alone.
+    Columns are found by the names in the header, in any order; others are not read, and a declared one that is absent is an error. All files must have
+    the same header, which Spark checks. Parsed rows are written once, as the CSV source refuses to return corrupt lines alone.
     """
-    header = ",".join(T.StructType.fromDDL(schema).names)
-    lines = spark.read.text(path).where((F.col("value") != header) & (F.trim("value") != ""))
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = lines.select(F.from_csv("value", f"{schema}, {CORRUPT} string", options).alias("_r")).select("_r.*")
-    rows = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    wanted = T.StructType.fromDDL(schema)
+    types = {f.name: f.dataType for f in wanted}
+    header = spark.read.option("header", True).csv(path).columns
+    if missing := [n for n in types if n not in header]:
+        raise ValueError(f"columns not in the header: {missing}")
+    full = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header]).add(CORRUPT, T.StringType())
+    reader = spark.read.schema(full).option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
+    parsed = materialize(reader.csv(path), "csv")
+    rows = parsed.where(F.col(CORRUPT).isNull()).select(*types)
     if time:
         rows = rows.withColumn(time, parse_time(F.col(time))).where(F.col(time).isNotNull())
     return rows, parsed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tsengine.operators.clean import require_columns
+from tsengine.operators.clean import picked_rows, require_columns
 from tsengine.operators.profile import duplicate_count, null_counts, order_breaks
 from tsengine.series import SeriesKeys, period_date
 
@@ -29,13 +34,17 @@ def gate(df: DataFrame, ks: SeriesKeys, required: Sequence[str], seq: str | None
     return found
 
 
+MARKERS = "commit_id bigint, attempt string, batch string, schema string, written_at timestamp"
+
+
 @dataclass(frozen=True)
 class FeatureGroup:
     """A named, versioned table with a primary key, kept as commits under ``root``.
 
-    Commits are directories ``commit_id=…`` partitioned by event date (truncated to ``unit``): readers prune commits after the requested one
-    and dates outside the requested span. A rerun of the same commit replaces its partitions, so a retried batch
-    counts once.
+    A commit writes its rows to a folder of its own, by event date (truncated to ``unit``), and is then published by a marker
+    row that holds its number, its folder and its columns. Readers see published commits only, so a half-written one is
+    invisible; a rerun of a commit number replaces the earlier folder whole. Columns are those of all commits together: one that
+    a later commit adds is null before it. Readers prune commits after the requested one and dates outside the requested span.
     """
 
     root: str
@@ -48,21 +57,48 @@ class FeatureGroup:
     def path(self) -> str:
         return f"{self.root}/{self.name}/v{self.version}"
 
-    def commit(self, df: DataFrame, commit_id: int) -> None:
-        event_date = period_date(F.col(self.ks.time), self.unit)
-        out = df.withColumn("event_date", event_date).withColumn("commit_id", F.lit(commit_id).cast("bigint"))
+    def markers(self, spark: SparkSession) -> list:
+        """The newest marker of each commit, by number: one row per commit."""
+        try:
+            rows = spark.read.schema(MARKERS).parquet(f"{self.path}/commits").collect()
+        except AnalysisException:
+            return []
+        newest = {r["commit_id"]: r for r in sorted(rows, key=lambda r: r["written_at"])}
+        return [newest[k] for k in sorted(newest)]
+
+    def next_commit(self, spark: SparkSession, batch: str | None = None) -> int:
+        """The number after the last one, or the one under which ``batch`` was committed before."""
+        marked = self.markers(spark)
+        known = [r["commit_id"] for r in marked if batch is not None and r["batch"] == batch]
+        return known[0] if known else 1 + max((r["commit_id"] for r in marked), default=0)
+
+    def commit(self, df: DataFrame, commit_id: int, batch: str | None = None) -> None:
+        spark, attempt = df.sparkSession, uuid.uuid4().hex
+        out = df.withColumn("event_date", period_date(F.col(self.ks.time), self.unit))
         (
             out.hint("rebalance", "event_date")
             .sortWithinPartitions("event_date", *self.ks.columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("commit_id", "event_date")
-            .parquet(self.path)
+            .write.partitionBy("event_date")
+            .parquet(f"{self.path}/rows/commit_id={commit_id}/attempt={attempt}")
         )
+        marker = [(commit_id, attempt, batch, df.schema.json(), datetime.now(timezone.utc))]
+        spark.createDataFrame(marker, MARKERS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
     def log(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
-        log = spark.read.parquet(self.path).withColumn("commit_id", F.col("commit_id").cast("bigint"))
-        return log if as_of is None else log.where(F.col("commit_id") <= as_of)
+        """Rows of all published commits with ``commit_id`` and ``event_date``."""
+        marked = [r for r in self.markers(spark) if as_of is None or r["commit_id"] <= as_of]
+        if not marked:
+            raise ValueError(f"{self.path} has no commit" + ("" if as_of is None else f" up to {as_of}"))
+        fields: dict[str, T.StructField] = {}
+        for r in marked:
+            for f in T.StructType.fromJson(json.loads(r["schema"])).fields:
+                known = fields.setdefault(f.name, f)
+                if known.dataType != f.dataType:
+                    raise ValueError(f"{f.name} is {known.dataType.simpleString()} and {f.dataType.simpleString()} in different commits")
+        places = [T.StructField("event_date", T.DateType()), T.StructField("commit_id", T.LongType()), T.StructField("attempt", T.StringType())]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()] + places)
+        rows = spark.read.schema(schema).parquet(f"{self.path}/rows")
+        return rows.where(F.col("attempt").isin([r["attempt"] for r in marked])).drop("attempt")
 
     def read(self, spark: SparkSession, as_of: int | None = None, since=None) -> DataFrame:
         """Latest row of each key, optionally as of a commit and from an event time on."""
@@ -79,10 +115,8 @@ class FeatureGroup:
 
 
 def latest(log: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The row with the greatest ``order`` per key; partial aggregation keeps one row per key and task."""
-    rest = [c for c in log.columns if c not in keys]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*log.columns)
+    """The row with the greatest ``order`` per key (one row per key and ``order``); partial aggregation keeps one row per key and task."""
+    return picked_rows(log, keys, order, F.max_by)
 
 
 def feature_view(df: DataFrame, excluded: Sequence[str], labels: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -11,38 +11,54 @@ from tsengine.session import materialize
 from tsengine.sources.store import FeatureGroup
 
 
-def changed_ranges(changes: DataFrame, ks: SeriesKeys, spec: FeatureSpec) -> DataFrame:
-    """Per series the times whose features a change can reach: targets and leads look ahead, lags look back."""
-    return changes.groupBy(*ks.keys).agg(
-        (F.min(ks.time) - ks.steps(spec.ahead)).alias("_from"), (F.max(ks.time) + ks.steps(spec.back)).alias("_to")
+def changed_ranges(changes: DataFrame, series: DataFrame, ks: SeriesKeys, spec: FeatureSpec) -> DataFrame:
+    """Per touched series the times whose features a change can reach, ``_from`` to ``_to``, and its ``first`` and ``last`` time.
+
+    Targets and leads look ahead, lags look back. A change after, before or inside a gap also makes the grid rows up
+    to the next row on either side. ``series`` is the whole group after the change; only its keys and times are read.
+    """
+    touched = changes.groupBy(*ks.keys).agg(F.min(ks.time).alias("_min"), F.max(ks.time).alias("_max"))
+    t = F.col(ks.time)
+    around = series.select(*ks.columns).join(touched, list(ks.keys)).groupBy(*ks.keys, "_min", "_max").agg(
+        F.max(F.when(t < F.col("_min"), t)).alias("_before"),
+        F.min(F.when(t > F.col("_max"), t)).alias("_after"),
+        F.min(t).alias("first"),
+        F.max(t).alias("last"),
     )
+    start = F.least(F.col("_min") - ks.steps(spec.ahead), F.col("_before") + ks.steps(1))
+    end = F.greatest(F.col("_max") + ks.steps(spec.back), F.col("_after") - ks.steps(1))
+    return around.select(*ks.keys, start.alias("_from"), end.alias("_to"), "first", "last")
 
 
-def recompute(series: DataFrame, changes: DataFrame, spec: FeatureSpec, ks: SeriesKeys) -> DataFrame:
-    """Fresh features of the touched rows, from the touched series' rows inside the reach of their windows."""
-    ranges = changed_ranges(changes, ks, spec)
+def recompute(series: DataFrame, ranges: DataFrame, spec: FeatureSpec, ks: SeriesKeys) -> DataFrame:
+    """Fresh features of the touched rows, from the touched series' rows inside the reach of their windows.
+
+    The grid spans that reach as far as the series does, whether or not its edges have rows.
+    """
     t = F.col(ks.time)
-    near = series.join(ranges, list(ks.keys)).where(
-        t.between(F.col("_from") - ks.steps(spec.back), F.col("_to") + ks.steps(spec.ahead))
-    )
-    fresh = build_features(near.drop("_from", "_to"), spec, ks)
-    return fresh.join(ranges, list(ks.keys)).where(t.between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+    low, high = F.col("_from") - ks.steps(spec.back), F.col("_to") + ks.steps(spec.ahead)
+    near = series.join(ranges.drop("first", "last"), list(ks.keys)).where(t.between(low, high))
+    bounds = ranges.select(*ks.keys, F.greatest("first", low).alias("first"), F.least("last", high).alias("last"))
+    fresh = build_features(near.drop("_from", "_to"), spec, ks, bounds=bounds)
+    ends = ranges.select(*ks.keys, "_from", "_to")
+    return fresh.join(ends, list(ks.keys)).where(t.between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
 
 
 def apply_changes(
-    raw: FeatureGroup, features: FeatureGroup, changes: DataFrame, spec: FeatureSpec, ks: SeriesKeys, commit_id: int
+    raw: FeatureGroup, features: FeatureGroup, changes: DataFrame, spec: FeatureSpec, ks: SeriesKeys, commit_id: int, batch: str | None = None
 ) -> None:
-    """One batch: changes into the raw group, then the reached features into the feature group.
+    """One batch (one row per key): changes into the raw group, then the reached features into the feature group.
 
-    Raw rows before the oldest one any changed window needs are never read: their directories are pruned. A series'
-    very first row anchors its grid, so aligned series are required.
+    The measures of raw rows before the oldest one any changed window needs are never read: their directories are pruned. A
+    series' very first row anchors its grid, so aligned series are required.
     """
     if not ks.aligned:
         raise ValueError("incremental features need an aligned grid")
     spark = changes.sparkSession
     changes = materialize(changes.select(*ks.columns, *spec.measures), "changes")
-    raw.commit(changes, commit_id)
-    oldest = changes.agg((F.min(ks.time) - ks.steps(spec.ahead + spec.back)).alias("t")).first()["t"]
+    raw.commit(changes, commit_id, batch)
+    ranges = materialize(changed_ranges(changes, raw.log(spark), ks, spec), "ranges")
+    oldest = ranges.agg((F.min("_from") - ks.steps(spec.back)).alias("t")).first()["t"]
     if oldest is None:
         return
-    features.commit(recompute(raw.read(spark, since=oldest), changes, spec, ks), commit_id)
+    features.commit(recompute(raw.read(spark, since=oldest), ranges, spec, ks), commit_id, batch)

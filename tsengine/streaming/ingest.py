@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tsengine.series import SeriesKeys
+from tsengine.session import materialize
 from tsengine.sources.store import FeatureGroup
 
 # Fixed value: how far back a feed may rewrite its past.
@@ -37,14 +39,20 @@ def tumbling_series(stream: DataFrame, ks: SeriesKeys, event_time: str, aggregat
     return buckets.select(*ks.keys, F.col("_w.start").cast("timestamp_ntz").alias(ks.time), *names)
 
 
-def upsert_stream(stream: DataFrame, group: FeatureGroup, checkpoint: str, first_commit: int = 1) -> StreamingQuery:
+def batch_name(checkpoint: str, batch_id: int) -> str:
+    """Names a micro-batch of one stream for good: replayed, it finds its own commit; another stream never meets it."""
+    return f"{checkpoint.rstrip('/')}:{batch_id}"
+
+
+def upsert_stream(stream: DataFrame, group: FeatureGroup, checkpoint: str) -> StreamingQuery:
     """Each micro-batch becomes one commit, so the latest value of a key wins.
 
-    The commit number is the batch number: a batch replayed after a failure replaces itself.
+    Commits go on from the group's last number, also under a new checkpoint; a batch replayed after a failure replaces itself.
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        group.commit(batch, first_commit + batch_id)
+        name = batch_name(checkpoint, batch_id)
+        group.commit(batch, group.next_commit(batch.sparkSession, name), name)
 
     return (
         stream.writeStream.outputMode("update")
@@ -55,6 +63,49 @@ def upsert_stream(stream: DataFrame, group: FeatureGroup, checkpoint: str, first
     )
 
 
+def revision_stream(stream: DataFrame, group: FeatureGroup, rejects: FeatureGroup, checkpoint: str, window: timedelta = REVISION_WINDOW) -> StreamingQuery:
+    """Like ``upsert_stream`` for bucketed rows, but rows older than a series' newest time less ``window`` go to ``rejects``.
+
+    No row is lost: each is in one group or the other. The newest times are those of the group before the batch.
+    """
+    ks = group.ks
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, batch_name(checkpoint, batch_id)
+        batch = materialize(batch, "revisions")
+        number = group.next_commit(spark, name)
+        known = [r["commit_id"] for r in group.markers(spark) if r["commit_id"] < number]
+        past = group.log(spark, known[-1]).select(*ks.columns) if known else batch.select(*ks.columns).limit(0)
+        newest = past.groupBy(*ks.keys).agg(F.max(ks.time).alias("_newest"))
+        accepted, rejected = split_revisions(batch, ks, newest, window)
+        rejects.commit(rejected.drop("_newest"), rejects.next_commit(spark, name), name)
+        group.commit(accepted.drop("_newest"), number, name)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(commit).start()
+
+
+def late_events(stream: DataFrame, ks: SeriesKeys, event_time: str, lateness: timedelta, rejects: str, checkpoint: str) -> StreamingQuery:
+    """Writes the events that ``tumbling_series`` would find behind its watermark to the folder ``rejects``.
+
+    The watermark of a batch is the newest event time of the batches before it less ``lateness``; it is kept beside the rejected rows.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = materialize(batch, "events")
+        try:
+            seen = spark.read.schema("batch_id bigint, newest timestamp_ntz").parquet(f"{rejects}/newest").where(F.col("batch_id") < batch_id)
+            newest = seen.agg(F.max("newest")).first()[0]
+        except AnalysisException:
+            newest = None
+        late = batch.where(F.lit(False)) if newest is None else batch.where(F.col(event_time) < F.lit(newest - lateness).cast("timestamp_ntz"))
+        late.write.mode("overwrite").parquet(f"{rejects}/rows/batch_id={batch_id}")
+        top = batch.agg(F.max(event_time).cast("timestamp_ntz").alias("newest")).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "newest")
+        top.coalesce(1).write.mode("append").parquet(f"{rejects}/newest")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(run).start()
+
+
 def split_revisions(batch: DataFrame, ks: SeriesKeys, newest: DataFrame, window: timedelta = REVISION_WINDOW) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): rows older than each series' newest known time less ``window`` are rejected.
 
@@ -62,6 +113,6 @@ def split_revisions(batch: DataFrame, ks: SeriesKeys, newest: DataFrame, window:
     """
     own = batch.groupBy(*ks.keys).agg(F.max(ks.time).alias("_own"))
     ends = own.join(newest, list(ks.keys), "left").select(*ks.keys, F.greatest("_own", "_newest").alias("_end"))
-    placed = batch.join(ends, list(ks.keys))
+    placed = batch.join(ends, list(ks.keys))  # the ends are one row per series
     recent = F.col(ks.time) >= F.col("_end") - F.expr(f"interval '{int(window.total_seconds())}' second")
     return placed.where(recent).drop("_end"), placed.where(~recent).drop("_end")
