@@ -10,13 +10,13 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import START, hourly
-from tsengine.ml import attribution, boosting, forest, linear, network
+from tsengine.ml import attribution, boosting, forest, linear, network, saved
 from tsengine.ml.frame import fit_scaler, vector_table
 from tsengine.operators import metrics, selection, split
 from tsengine.plans import experiment, live, serve
 from tsengine.plans.feature_plan import FeatureSpec, build_features, training_table
 from tsengine.series import HOURLY
-from tsengine.session import materialize
+from tsengine.session import materialize, new_path
 
 SPEC = FeatureSpec(level="v", prefix="v", measures=("v",), lags=(1, 12, 24), windows=(6, 24), stats=("mean",), horizons=(6, 12))
 
@@ -62,15 +62,33 @@ def test_feature_sets(spark):
     assert [(r["set_name"], r["feature"]) for r in sets] == [("FS1", "a"), ("FS1", "c"), ("FS2", "a"), ("FS2", "b"), ("FS2", "c")]
 
 
-def test_ridge_equals_closed_form(spark):
+def test_ridge_equals_closed_form_and_plain_folds(spark):
     rng = np.random.default_rng(1)
     x, alpha = rng.normal(size=(200, 3)), 7.0
-    y = x @ [1.0, -2.0, 0.5] + 4 + rng.normal(size=200)
-    df = spark.createDataFrame([(Vectors.dense(r), float(t)) for r, t in zip(x, y, strict=True)], ["x", "t"])
-    model = linear.fit_ridge(df, "t", alpha, "p")
-    xc, yc = x - x.mean(0), y - y.mean()
-    want = np.linalg.solve(xc.T @ xc + alpha * np.eye(3), xc.T @ yc)
-    assert np.allclose(model.coefficients.toArray(), want, atol=1e-9)
+    y = np.stack([x @ [1.0, -2.0, 0.5] + 4 + rng.normal(size=200), x @ [0.0, 1.0, 1.0] - 9 + rng.normal(size=200)], axis=1)
+    rows = [("s", START + timedelta(hours=i), Vectors.dense(r), float(t[0]), float(t[1])) for i, (r, t) in enumerate(zip(x, y, strict=True))]
+    spec = FeatureSpec(level="v", prefix="v", measures=("v",), horizons=(6, 12))
+    names = [spec.change_target_name(h) for h in spec.horizons]
+    df = spark.createDataFrame(rows, ["series_id", "time", "x", *names]).withColumn("time", F.col("time").cast("timestamp_ntz")).repartition(5)
+    products = sum(linear.product_sums(df, names, F.lit(0)).values())
+    weights, intercepts = linear.solve_ridge(products, 2, alpha)
+    fit = lambda a, b, k: np.linalg.solve((a - a.mean(0)).T @ (a - a.mean(0)) + k * np.eye(3), (a - a.mean(0)).T @ (b - b.mean(0)))
+    assert np.allclose(weights, fit(x, y, alpha), atol=1e-9)
+    assert np.allclose(intercepts, y.mean(0) - x.mean(0) @ weights)
+    errors = {}
+    for k in (0.1, 10.0, 100.0):
+        total = np.zeros(2)
+        for cut, end in ((40, 80), (80, 120), (120, 160), (160, 200)):
+            w = fit(x[:cut], y[:cut], k)
+            guess = (x[cut:end] - x[:cut].mean(0)) @ w + y[:cut].mean(0)
+            total += np.sqrt(((guess - y[cut:end]) ** 2).mean(0)) / 4
+        errors[k] = total
+    model = linear.train_ridge(df, spec, HOURLY, alphas=tuple(errors))
+    for i, h in enumerate(spec.horizons):
+        assert model.notes[h]["alpha"] == min(errors, key=lambda k: errors[k][i])
+        assert math.isclose(model.notes[h]["cv_rmse"], min(e[i] for e in errors.values()), rel_tol=1e-9)
+    row = model.predict(df.where("time = timestamp_ntz'2024-01-01 00:00:00'")).first()
+    assert math.isclose(row["ridge_change_6"], x[0] @ model.weights[6] + model.intercepts[6])
 
 
 def test_scaler_uses_population_deviation(spark):
@@ -92,7 +110,7 @@ def test_learners_beat_persistence(seasonal, data):
         "network": lambda d: (
             network.train_network(
                 d.part("wide", "train"), d.part("wide", "val"), d.scaler, SPEC.change_targets, SPEC.horizons,
-                hidden=(16,), dropout=(0.0,), step=1e-2, batch=8, epochs=8, rows_per_shard=400,
+                hidden=(16,), dropout=(0.0,), step=1e-2, batch=8, epochs=8, shards=2,
             ),
             "wide",
         ),
@@ -104,13 +122,61 @@ def test_learners_beat_persistence(seasonal, data):
     assert done.best().first()["mean_rmse"] == min(rmse.values())
 
 
-def test_network_is_repeatable_on_one_shard(data):
-    fit = lambda: network.train_network(
-        data.part("wide", "train"), data.part("wide", "val"), data.scaler, SPEC.change_targets, SPEC.horizons,
-        hidden=(8,), dropout=(0.2,), epochs=2,
-    )
-    first, second = fit(), fit()
-    assert np.array_equal(first.weights, second.weights) and len(first.notes["losses"]) == 2
+def test_network_does_not_depend_on_layout(data, spark):
+    def fit(rows, batch):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            return network.train_network(
+                rows, data.part("wide", "val"), data.scaler, SPEC.change_targets, SPEC.horizons, hidden=(8,), dropout=(0.2,), epochs=2, shards=3
+            )
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    first, second = fit(data.part("wide", "train"), 10_000), fit(data.part("wide", "train").repartition(7), 100)
+    assert np.allclose(first.weights, second.weights, rtol=0, atol=1e-12) and len(first.notes["losses"]) == 2
+
+
+def test_boosting_goes_on_until_patience_ends(data, monkeypatch):
+    asked = []
+
+    class Model:
+        def __init__(self, rounds):
+            self.rounds = rounds
+
+        def evaluateEachIteration(self, rows, loss):
+            return [abs(i - 90) + 1.0 for i in range(self.rounds)]
+
+        def transform(self, df):
+            return df
+
+    class Learner:
+        def __init__(self, rounds):
+            self.rounds = rounds
+
+        def fit(self, rows):
+            asked.append(self.rounds)
+            return Model(self.rounds)
+
+    monkeypatch.setattr(boosting, "booster", lambda label, out, rounds, params: Learner(rounds))
+    done = boosting.train_boosted(None, None, None, SPEC, "b", ({},), refit_threads=1)
+    assert sorted(asked) == sorted([64, 128, 256] * 2 + [91, 91]) and done.notes[6]["rounds"] == 91
+
+
+def test_saved_ensemble_predicts_the_same(data, spark, seasonal):
+    ridge = linear.train_ridge(data.part("scaled", "train"), SPEC, HOURLY, alphas=(1.0,), folds=2)
+    boosted = boosting.train_boosted(data.part("vectors", "train"), data.part("vectors", "val"), data.part("vectors", "train"), SPEC, "boosted_b", ({"maxDepth": 2},), rounds=2)
+    net = network.train_network(data.part("wide", "train"), data.part("wide", "val"), data.scaler, SPEC.change_targets, SPEC.horizons, hidden=(4,), dropout=(0.0,), epochs=1)
+    path = new_path(spark, "ensemble")
+    saved.save_ensemble(spark, saved.Ensemble(list(SPEC.features), [("boosted_b", 0.5), ("network", 0.5)], {"boosted_b": boosted, "network": net}), path)
+    again = saved.load_ensemble(spark, path)
+    assert again.features == list(SPEC.features) and again.components == [("boosted_b", 0.5), ("network", 0.5)]
+    rows = vector_table(seasonal.where("split = 'test'"), SPEC.features, SPEC, HOURLY, carry=[f for f in SPEC.features if f != SPEC.level])
+    gaps = saved.greatest_differences(net.predict(boosted.predict(rows)), again.predict(rows), HOURLY.columns, ["boosted_b", "network"], SPEC.horizons)
+    assert {r["greatest_difference"] for r in gaps.collect()} == {0.0}
+    saved.save_forecaster(spark, ridge, f"{path}/ridge")
+    scaled = data.part("scaled", "test")
+    gaps = saved.greatest_differences(ridge.predict(scaled), saved.load_forecaster(spark, f"{path}/ridge").predict(scaled), HOURLY.columns, ["ridge"], SPEC.horizons)
+    assert {r["greatest_difference"] for r in gaps.collect()} == {0.0}
 
 
 def test_best_round_waits_for_patience():

@@ -56,8 +56,8 @@ class Scaler:
         return Scaler(*zip(*kept, strict=True)) if kept else self
 
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = list(zip(self.features, self.means, self.deviations, strict=True))
-        return spark.createDataFrame(rows, "feature string, mean double, deviation double")
+        rows = [(i, *r) for i, r in enumerate(zip(self.features, self.means, self.deviations, strict=True))]
+        return spark.createDataFrame(rows, "pos int, feature string, mean double, deviation double")
 
 
 def fit_scaler(df: DataFrame, features: Sequence[str]) -> Scaler:

@@ -1,8 +1,8 @@
 """A multi-output network trained data-parallel: every shard runs one epoch of mini-batch steps, results are averaged.
 
-An epoch is one Spark job. Weights travel to the tasks as a broadcast (their size is fixed by the layers), each
-task streams its rows in Arrow batches, and the shards' weights meet in a distributed weighted mean. Data of up
-to ``rows_per_shard`` rows is one shard, on which this is plain sequential Adam.
+Shards are logical: a row belongs to one by the hash of its inputs, and the number of shards is a parameter, so the same rows meet in the
+same order on any cluster. An epoch is one Spark job over the shards; weights travel to the tasks as a broadcast (their
+size is fixed by the layers), and the shards' weights meet in a distributed mean weighted by rows.
 """
 
 from __future__ import annotations
@@ -31,6 +31,9 @@ EPOCHS = 300
 PATIENCE = 15
 SEED = 42
 
+# Shards that train side by side and are averaged after each epoch. A task holds one, so larger data needs more.
+SHARDS = 8
+
 SHARD_OUT = "group int, rows double, sse double, val_rows double, val_sse double, state array<double>"
 
 
@@ -49,19 +52,18 @@ def initial_weights(sizes: Sequence[int], seed: int) -> np.ndarray:
 
 
 def epoch_function(sizes, dropout, step, batch, seed, epoch, shared):
-    """The task of one epoch. Self-contained, so executors need nothing but numpy and pandas."""
+    """One epoch of one shard. Rows are put in order by their own hash and then shuffled by a seed of epoch and shard."""
 
-    def run(batches):
+    def run(key, pdf):
         import numpy as np
         import pandas as pd
-        from pyspark import TaskContext
 
         start = shared.value  # weights, first and second moments, step count
         shapes = list(zip(sizes[:-1], sizes[1:], strict=True))
         size = sum(a * b + b for a, b in shapes)
         w, m, v = start[:size].copy(), start[size : 2 * size].copy(), start[2 * size : 3 * size].copy()
         t = start[-1]
-        shard = TaskContext.get().partitionId()
+        shard = int(key[0])
         rng = np.random.default_rng([seed, epoch, shard])
 
         def layers(flat):
@@ -83,44 +85,36 @@ def epoch_function(sizes, dropout, step, batch, seed, epoch, shared):
                 values.append(z)
             return values
 
-        rows = sse = val_rows = val_sse = 0.0
-        initial = w.copy()
-        for pdf in batches:
-            x, y = np.stack(pdf["x"].to_numpy()), np.stack(pdf["y"].to_numpy())
-            val = pdf["is_val"].to_numpy()
-            if val.any():
-                error = forward(initial, x[val])[-1] - y[val]
-                val_rows += val.sum()
-                val_sse += float((error**2).mean(axis=1).sum())
-            x, y = x[~val], y[~val]
-            order = rng.permutation(len(x))
-            for at in range(0, len(order), batch):
-                pick = order[at : at + batch]
-                masks = [
-                    (rng.random((len(pick), n)) >= d) / (1 - d) if d else None for n, d in zip(sizes[1:-1], dropout, strict=True)
-                ]
-                values = forward(w, x[pick], masks)
-                error = values[-1] - y[pick]
-                rows += len(pick)
-                sse += float((error**2).mean(axis=1).sum())
-                delta = 2.0 * error / error.size
-                grads = []
-                ls = layers(w)
-                for i in range(len(ls) - 1, -1, -1):
-                    grads.append(np.concatenate([(values[i].T @ delta).ravel(), delta.sum(axis=0)]))
-                    if i:
-                        delta = (delta @ ls[i][0].T) * (values[i] > 0)
-                        if masks[i - 1] is not None:
-                            delta = delta * masks[i - 1]
-                g = np.concatenate(grads[::-1])
-                t += 1
-                m = 0.9 * m + 0.1 * g
-                v = 0.999 * v + 0.001 * g * g
-                w = w - step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-7)
-        state = np.concatenate([w, m, v, [t]]).tolist() if rows else None
-        yield pd.DataFrame(
-            {"group": [shard % 32], "rows": [rows], "sse": [sse], "val_rows": [float(val_rows)], "val_sse": [val_sse], "state": [state]}
-        )
+        pdf = pdf.sort_values(["is_val", "place"], kind="stable")
+        x, y = np.stack(pdf["x"].to_numpy()), np.stack(pdf["y"].to_numpy())
+        val = pdf["is_val"].to_numpy()
+        val_sse = float((((forward(w, x[val])[-1] - y[val]) ** 2).mean(axis=1)).sum()) if val.any() else 0.0
+        val_rows = int(val.sum())
+        x, y = x[~val], y[~val]
+        rows, sse = len(x), 0.0
+        order = rng.permutation(rows)
+        for at in range(0, rows, batch):
+            pick = order[at : at + batch]
+            masks = [(rng.random((len(pick), n)) >= d) / (1 - d) if d else None for n, d in zip(sizes[1:-1], dropout, strict=True)]
+            values = forward(w, x[pick], masks)
+            error = values[-1] - y[pick]
+            sse += float((error**2).mean(axis=1).sum())
+            delta = 2.0 * error / error.size
+            grads = []
+            ls = layers(w)
+            for i in range(len(ls) - 1, -1, -1):
+                grads.append(np.concatenate([(values[i].T @ delta).ravel(), delta.sum(axis=0)]))
+                if i:
+                    delta = (delta @ ls[i][0].T) * (values[i] > 0)
+                    if masks[i - 1] is not None:
+                        delta = delta * masks[i - 1]
+            g = np.concatenate(grads[::-1])
+            t += 1
+            m = 0.9 * m + 0.1 * g
+            v = 0.999 * v + 0.001 * g * g
+            w = w - step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-7)
+        state = np.concatenate([w, m, v, [t]])
+        return pd.DataFrame({"group": [shard % 32], "rows": [float(rows)], "sse": [sse], "val_rows": [float(val_rows)], "val_sse": [val_sse], "state": [state.tolist()]})
 
     return run
 
@@ -162,15 +156,14 @@ class Network:
 
 
 def _mean_state(shards: DataFrame) -> tuple[np.ndarray, float, float]:
-    """Row-weighted mean of the shards' states: first within 32 groups, then over the groups."""
-    sums = [F.sum(c).alias(c) for c in ("rows", "sse", "val_rows", "val_sse")]
-    vectors = shards.where("state is not null").select("group", array_to_vector("state").alias("state"), F.col("rows").alias("weight"))
-    mean = lambda: Summarizer.mean(F.col("state"), F.col("weight")).alias("state")
-    grouped = vectors.groupBy("group").agg(mean(), F.sum("weight").alias("weight"))
-    state = grouped.agg(mean()).select(vector_to_array("state").alias("state")).first()["state"]
-    totals = shards.agg(*sums).first()
-    loss = totals["val_sse"] / totals["val_rows"] if totals["val_rows"] else math.nan
-    return np.array(state), totals["sse"] / totals["rows"], loss
+    """Row-weighted mean of the shards' states, first within 32 groups, then over the groups, and the mean losses; one job."""
+    names = ("rows", "sse", "val_rows", "val_sse")
+    sums = [F.sum(c).alias(c) for c in names]
+    mean = Summarizer.mean(F.col("state"), F.col("rows")).alias("state")
+    one = shards.withColumn("state", array_to_vector("state")).groupBy("group").agg(mean, *sums).agg(mean, *sums)
+    row = one.select(vector_to_array("state").alias("state"), *names).first()
+    loss = row["val_sse"] / row["val_rows"] if row["val_rows"] else math.nan
+    return np.array(row["state"]), row["sse"] / row["rows"], loss
 
 
 def train_network(
@@ -187,28 +180,29 @@ def train_network(
     epochs: int = EPOCHS,
     patience: int = PATIENCE,
     seed: int = SEED,
-    rows_per_shard: int = 50_000,
+    shards: int = SHARDS,
 ) -> Network:
     """Fits on ``train`` only; ``validation`` decides when to stop, and the best weights are kept.
 
-    The validation loss of an epoch's weights is measured inside the next epoch's job.
+    The validation loss of an epoch's weights is measured inside the next epoch's job. The result depends on the data, the seed
+    and ``shards``, not on cores, files or batch sizes.
     """
     sizes = (len(scaler.features), *hidden, len(labels))
     y = F.array(*[F.col(c).cast("double") for c in labels]).alias("y")
-    rows = train.select(scaler.array().alias("x"), y, F.lit(False).alias("is_val")).unionByName(
-        validation.select(scaler.array().alias("x"), y, F.lit(True).alias("is_val"))
-    )
-    n = train.count()
-    shards = max(1, math.ceil(n / rows_per_shard))
-    rows = materialize(rows.repartition(shards, F.hash("x")), "network")
+
+    def part(df: DataFrame, is_val: bool) -> DataFrame:
+        inputs = df.select(scaler.array().alias("x"), y).withColumn("place", F.xxhash64(F.lit(seed), "x", "y"))
+        return inputs.select("x", "y", "place", F.pmod("place", F.lit(shards)).cast("int").alias("shard"), F.lit(is_val).alias("is_val"))
+
+    rows = materialize(part(train, False).unionByName(part(validation, True)).repartition("shard"), "network")
     weights = initial_weights(sizes, seed)
     state = np.concatenate([weights, np.zeros(2 * len(weights) + 1)])
     best, best_loss, since, losses = weights, math.inf, 0, []
     context = rows.sparkSession.sparkContext
     for epoch in range(epochs + 1):
         shared = context.broadcast(state)
-        done = materialize(rows.mapInPandas(epoch_function(sizes, tuple(dropout), step, batch, seed, epoch, shared), SHARD_OUT), "epoch")
-        following, _, loss = _mean_state(done)
+        run = epoch_function(sizes, tuple(dropout), step, batch, seed, epoch, shared)
+        following, _, loss = _mean_state(rows.groupBy("shard").applyInPandas(run, SHARD_OUT))
         shared.unpersist()
         if epoch:
             losses.append(loss)
