@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
@@ -44,6 +48,31 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root[app]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that their functions can import it anywhere."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = f"{tempfile.mkdtemp(prefix='tsengine-code-')}/tsengine.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
+def shipped(run):
+    """``run(spark, ...)`` after ``ship_package``."""
+
+    @functools.wraps(run)
+    def with_package(spark, *args):
+        ship_package(spark)
+        return run(spark, *args)
+
+    return with_package
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
