@@ -16,6 +16,10 @@ from tsengine.ml.frame import VECTOR
 from tsengine.session import new_path
 
 
+#: Leaves of a model that is sent to every task, about 1 kB each. Larger forests are refused rather than cut.
+MOST_LEAVES = 500_000
+
+
 def ensemble_nodes(model, spark) -> tuple[list[dict], dict[int, float]]:
     """(nodes, tree weights) from the model's own saved form; a few thousand nodes, bounded by trees and depth."""
     path = new_path(spark, "trees")
@@ -57,7 +61,10 @@ def attribute(df: DataFrame, model, features: Sequence[str], keys: Sequence[str]
 
     spark = df.sparkSession
     nodes, weights = ensemble_nodes(model, spark)
-    shared = spark.sparkContext.broadcast(leaves(nodes, weights))  # a model, not data
+    parts = leaves(nodes, weights)
+    if len(parts) > MOST_LEAVES:
+        raise ValueError(f"{len(parts)} leaves are too many to broadcast; explain a smaller model")
+    shared = spark.sparkContext.broadcast(parts)  # a model of checked size
     width = len(features)
     names = list(keys)
     rows = df.select(*names, vector_to_array(vector).alias("_x"))

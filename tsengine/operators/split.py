@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tsengine.series import SeriesKeys
@@ -63,40 +63,47 @@ def expanding_folds(df: DataFrame, ks: SeriesKeys, k: int) -> DataFrame:
     """(fold, train_end, test_end): fold ``i`` trains on times before ``train_end`` and tests up to ``test_end``.
 
     Folds are cut on distinct times, so a time is never split. Every fold tests ``n // (k + 1)`` times, the first
-    train part takes the remainder. Distinct times are numbered by counting per day first: the ordered pass runs over
-    one row per day, and only the days that hold a cut are ranked row by row.
+    train part takes the remainder. Distinct times are numbered by counting per day first, then per minute of the days that hold
+    a cut; only the distinct times of a minute with a cut are ranked one by one.
     """
-    times = df.select(F.col(ks.time).alias("t")).distinct().withColumn("day", F.col("t").cast("date"))
-    per_day = times.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    times = df.select(F.col(ks.time).alias("t")).distinct()
+    times = times.select("t", F.date_trunc("day", "t").alias("day"), F.date_trunc("minute", "t").alias("minute"))
     # One row per calendar day of the table: a few thousand rows for decades.
-    days = sorted((r["day"], r["n"]) for r in per_day.collect())
-    total = sum(n for _, n in days)
+    days = times.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in days)
     size = total // (k + 1)
     if size == 0:
         raise ValueError(f"{total} distinct times are too few for {k} folds")
     cuts = [total - (k - i) * size for i in range(k)] + [total]
-    wanted: dict = {}
-    seen = 0
-    for day, n in days:
-        for cut in cuts:
-            if seen < cut <= seen + n:
-                wanted.setdefault(day, []).append((cut, cut - seen))
-        seen += n
+    by_day = _holding(sorted((r["day"], r["n"]) for r in days), dict.fromkeys(cuts, 0))
+    inside = times.where(F.col("day").isin([d for d, _ in by_day.values()]))
+    minutes: dict = {}
+    for r in inside.groupBy("day", "minute").agg(F.count(F.lit(1)).alias("n")).collect():  # at most 1440 for each of k + 1 days
+        minutes.setdefault(r["day"], []).append((r["minute"], r["n"]))
+    by_minute = {c: _holding(sorted(minutes[d]), {c: before})[c] for c, (d, before) in by_day.items()}
     spark = df.sparkSession
-    places = spark.createDataFrame([(d, c, r) for d, found in wanted.items() for c, r in found], "day date, cut bigint, rank bigint")
-    ranked = (
-        times.join(F.broadcast(places), "day")  # at most k + 1 rows
-        .groupBy("day", "cut", "rank")
-        .agg(F.sort_array(F.collect_list("t")).alias("ts"))  # the distinct times of one day
-        .select("cut", F.expr("get(ts, cast(rank - 1 as int))").alias("upto"))
-    )
-    ends = {r["cut"]: r["upto"] for r in ranked.collect()}
+    places = spark.createDataFrame([(m, c, c - before) for c, (m, before) in by_minute.items()], "minute timestamp_ntz, cut bigint, rank bigint")
+    near = inside.where(F.col("minute").isin([m for m, _ in by_minute.values()]))
+    ranked = near.withColumn("place", F.row_number().over(Window.partitionBy("minute").orderBy("t")))
+    found = ranked.join(F.broadcast(places), "minute").where("place = rank")  # k + 1 rows
+    ends = {r["cut"]: r["t"] for r in found.select("cut", "t").collect()}
     rows = [(i, cuts[i], ends[cuts[i]], cuts[i + 1] - cuts[i], ends[cuts[i + 1]]) for i in range(k)]
     return spark.createDataFrame(
         rows, "fold int, train_times bigint, train_end timestamp_ntz, test_times bigint, test_end timestamp_ntz"
     )
 
 
+def _holding(counted: list[tuple], cuts: dict[int, int]) -> dict[int, tuple]:
+    """For each cut (a rank, and the rank that the first part begins after) the part that holds it, and the rank before that part."""
+    out = {}
+    for cut, seen in cuts.items():
+        for part, n in counted:
+            if seen < cut <= seen + n:
+                out[cut] = (part, seen)
+            seen += n
+    return out
+
+
 def fold_parts(df: DataFrame, ks: SeriesKeys, fold) -> tuple[DataFrame, DataFrame]:
     """(train, test) rows of one fold row; bounds are inclusive last times."""
     t = F.col(ks.time)

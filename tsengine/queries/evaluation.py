@@ -89,6 +89,52 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(training_rows(spark, sf_dir), raw, FULL, DAILY, NON_NEGATIVE)
 
 
+_FAULTY = len([*FULL.features, *TARGETS]) - 1
+_COUNTED = "select '{}' as \"check\", 'fail' as status, count(*) filter (where day = {}) as bad, count(*) as checked from twice"
+
+
+@query(
+    complete_sql()
+    + """, twice as (select series_id, time, day from complete union all select series_id, time, day from complete where day = 6)
+"""
+    + "\nunion all ".join(
+        [
+            _COUNTED.format("range: hour", 1),
+            _COUNTED.format("not negative: pm10", 2),
+            _COUNTED.format("aligned: target_change_24", 3),
+            _COUNTED.format("no infinities", 4),
+            _COUNTED.format("no nulls", 5),
+            _COUNTED.format("no duplicate times", 6).replace("filter (where day = 6)", "- count(distinct (series_id, time))"),
+            "select 'chronological', 'fail', count(distinct (series_id, time)) - count(distinct series_id), count(*) from twice",
+            f"select 'columns: lags', 'fail', 1, {len(FULL.families()['lags'])}",
+            "select 'aligned: aqi_lag_24', 'fail', 0, 0",
+            f"select 'no leakage', 'fail', 1, {len(FULL.features) + 1}",
+            f"select 'numeric columns', 'fail', 1, {_FAULTY + 1}",
+        ]
+    )
+)
+def quality_report_faults(spark, sf_dir):
+    """A table with one fault for each kind of check; the checks that must see them."""
+    good, day = training_rows(spark, sf_dir), F.dayofmonth("time")
+    put = lambda c, d, v: F.when(day == d, v).otherwise(F.col(c))
+    # A level off by 5 with a change off by -5 agrees with itself, not with the raw table.
+    bad = good.withColumns(
+        {
+            "hour": put("hour", 1, F.lit(30)),
+            "pm10": put("pm10", 2, F.lit(-1.0)),
+            "us_aqi": put("us_aqi", 3, F.col("us_aqi") + 5),
+            "target_change_24": put("target_change_24", 3, F.col("target_change_24") - 5),
+            "pm_total": put("pm_total", 4, F.lit(float("inf"))),
+            "ozone": put("ozone", 5, F.lit(None)),
+            "note": F.lit("text"),
+            "seq": -F.unix_date(F.col("time").cast("date")),
+        }
+    ).drop("aqi_lag_24")
+    bad = materialize(bad.unionByName(bad.where(F.dayofmonth("time") == 6)), "faults")
+    report = quality.quality_report(bad, stored_days(spark, sf_dir), FULL, DAILY, NON_NEGATIVE, [*FULL.features, "target_aqi_24"], "seq")
+    return report.where(F.col("status") == "fail").where(~F.col("check").isin("regular steps"))
+
+
 @query(
     f"""with series as ({event_hours_sql(True)}),
  p as (select *, lag(time) over (partition by series_id order by time) as before from series),
@@ -156,21 +202,22 @@ def expanding_folds(spark, sf_dir):
 
 # --- selection ---------------------------------------------------------------------------------------------------
 
-CORR_COLUMNS = [*FULL.families()["lags"], *FULL.families()["rolling mean"], *FULL.families()["rolling std"], "pm_total", "pm25_fraction"]
+_PLACES = ", ".join(f"('{f}', {i})" for i, f in enumerate(FULL.features))
 
 
 @query(
     complete_sql()
-    + ", late as (select max(time) - interval '360 day' as cut from complete), s as (select complete.* from complete, late where time < cut)\n"
-    + " union all ".join(
-        f"select '{a}' as a, '{b}' as b, round(abs(corr({a}, {b})), 5) as abs_corr from s"
-        for i, a in enumerate(CORR_COLUMNS)
-        for b in CORR_COLUMNS[i + 1 :]
-    )
+    + f""", s as (select row_number() over () as r, * from complete where time < (select max(time) - interval '360 day' from complete)),
+ l as (unpivot (select r, {', '.join(f'cast({f} as double) as {f}' for f in FULL.features)} from s) on {', '.join(FULL.features)} into name name value x),
+ o as (select name, i, stddev_pop(x) > 0 as varies from l join (values {_PLACES}) p(name, i) using (name) group by 1, 2),
+ v as (select l.r, o.i, l.x from l join o using (name) where o.varies),
+ c as (select a.i as i, b.i as j, round(abs(corr(a.x, b.x)), 5) as abs_corr from v a join v b on a.r = b.r and a.i < b.i group by 1, 2)
+ select a.name as a, b.name as b, c.abs_corr from o a join o b on a.i < b.i left join c on c.i = a.i and c.j = b.i"""
 )
 def correlation_matrix(spark, sf_dir):
+    """Every pair of the candidates; null where one of them is constant."""
     rows = split.selection_rows(training_rows(spark, sf_dir), DAILY, HELD_OUT)
-    return selection.correlation_pairs(rows, CORR_COLUMNS).withColumn("abs_corr", F.round("abs_corr", 5))
+    return selection.correlation_pairs(rows, FULL.features).withColumn("abs_corr", F.round("abs_corr", 5))
 
 
 _MEAN_TARGET = "(target_change_24 + target_change_48 + target_change_72) / 3"
@@ -240,7 +287,7 @@ def pruned_features(spark, sf_dir):
     return spark.createDataFrame(table, "feature string, relevance double, kept boolean, reason string")
 
 
-@query()
+@query(_BY_HORIZON + "select 'FS50' as set_name, cast(row_number() over (order by feature) - 1 as integer) as pos, feature from (select distinct feature from t where rank <= 50)")
 def feature_list_store(spark, sf_dir):
     """Feature sets written as a table and one read back in stored order."""
     path = new_path(spark, "lists")

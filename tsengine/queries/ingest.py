@@ -23,7 +23,7 @@ from tsengine.queries.bindings import (
 from tsengine.series import DAILY, HOURLY, anchored, chunk_grid, fill_gaps
 from tsengine.session import new_path
 from tsengine.sources import feeds
-from tsengine.sources.store import FeatureGroup, feature_view, gate
+from tsengine.sources.store import FeatureGroup, GateError, feature_view, gate
 
 QUERIES = {}
 ORACLES = {}
@@ -128,25 +128,36 @@ def feature_view_read(spark, sf_dir):
     return view
 
 
-@query(f"{DAYS} select 0 as duplicates, 0 as nulls, count(*) as admitted from series")
+@query(
+    f"""{DAYS}, dirty as (select series_id, time, case when us_aqi % 7 = 0 then null else us_aqi end as us_aqi, pm10 from series
+ union all select series_id, time, us_aqi, pm10 from series where pm10 % 5 = 0)
+ select (select count(*) filter (where us_aqi is null) from dirty) as nulls, (select count(*) - count(distinct (series_id, time)) from dirty) as duplicates, count(*) as admitted from series"""
+)
 def store_gate(spark, sf_dir):
-    """The checks a table passes before a commit."""
+    """What keeps a table with nulls and repeated keys out of the store, and the rows of one that may enter."""
     days = lineitem_days(spark, sf_dir)
-    found = gate(days, DAILY, ["us_aqi", "pm10"])
-    return days.agg(
-        F.lit(found["duplicates"]).alias("duplicates"), F.lit(found["nulls"]).alias("nulls"), F.count(F.lit(1)).alias("admitted")
-    )
+    gate(days, DAILY, ["us_aqi", "pm10"])
+    columns = ["series_id", "time", "us_aqi", "pm10"]
+    holes = days.select(columns).withColumn("us_aqi", F.when(F.col("us_aqi") % 7 != 0, F.col("us_aqi")))
+    try:
+        gate(holes.unionByName(days.select(columns).where("pm10 % 5 = 0")), DAILY, ["us_aqi", "pm10"])
+    except GateError as error:
+        found = error.found
+    return days.agg(F.lit(found["nulls"]).alias("nulls"), F.lit(found["duplicates"]).alias("duplicates"), F.count(F.lit(1)).alias("admitted"))
 
 
 # --- cleaning ----------------------------------------------------------------------------------------------------
 
 
 @query(
-    """select "column", 0.0 as null_percent from (values ('event_id'), ('user_id'), ('props')) c("column")
-       where (select count(*) from events where event_id is null or user_id is null or props is null) = 0"""
+    """select 'event_id' as "column", 100.0 * count(*) filter (where event_id is null) / count(*) as null_percent from events
+ union all select 'user_id', 100.0 * count(*) filter (where event_id % 4 = 0 or user_id is null) / count(*) from events
+ union all select 'props', 100.0 * count(*) filter (where event_type = 'click' or props is null) / count(*) from events"""
 )
 def dropped_column_nulls(spark, sf_dir):
-    return clean.dropped_null_percent(table(spark, sf_dir, "events"), ["ts", "event_type", "value"])
+    e = table(spark, sf_dir, "events")
+    e = e.withColumns({"user_id": F.when(F.col("event_id") % 4 != 0, F.col("user_id")), "props": F.when(F.col("event_type") != "click", F.col("props"))})
+    return clean.dropped_null_percent(e, ["ts", "event_type", "value"])
 
 
 @query("select ts, event_type, value from events")
@@ -279,12 +290,13 @@ def null_guard_rejects(spark, sf_dir):
 
 
 @query(
-    """select event_id, 'numeric: event_id,user_id,value; rejected: event_type,props,ts' as schema_note from events"""
+    """select column_name as feature, case when column_type in ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT') or column_type like 'DECIMAL%' then 'numeric' else 'rejected' end as verdict
+ from (describe select event_id, ts, user_id, event_type, value, props, value::float as small, user_id::decimal(10, 2) as exact from events)"""
 )
 def numeric_candidate_columns(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    good, rejected = clean.numeric_candidates(e, sorted(e.columns))
-    return e.select("event_id", F.lit(f"numeric: {','.join(good)}; rejected: {','.join(rejected)}").alias("schema_note"))
+    e = table(spark, sf_dir, "events").withColumns({"small": F.col("value").cast("float"), "exact": F.col("user_id").cast("decimal(10,2)")})
+    good, rejected = clean.numeric_candidates(e, e.columns)
+    return spark.createDataFrame([(c, "numeric") for c in good] + [(c, "rejected") for c in rejected], "feature string, verdict string")
 
 
 # --- joins and set operations ------------------------------------------------------------------------------------

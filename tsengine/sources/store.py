@@ -19,7 +19,11 @@ from tsengine.series import SeriesKeys, period_date
 
 
 class GateError(ValueError):
-    """A table that must not enter the store."""
+    """A table that must not enter the store; ``found`` counts what is wrong by kind."""
+
+    def __init__(self, found: dict[str, int]):
+        super().__init__(f"rejected: {found}")
+        self.found = found
 
 
 def gate(df: DataFrame, ks: SeriesKeys, required: Sequence[str], seq: str | None = None) -> dict[str, int]:
@@ -30,7 +34,7 @@ def gate(df: DataFrame, ks: SeriesKeys, required: Sequence[str], seq: str | None
     if seq:
         found["order_breaks"] = order_breaks(df, ks.keys, seq, ks.time).agg(F.sum("order_breaks")).first()[0] or 0
     if any(found.values()):
-        raise GateError(f"rejected: {found}")
+        raise GateError(found)
     return found
 
 
