@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +16,22 @@ from tsengine.session import materialize
 WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Documents in a group at most; a larger cluster has several groups.
+#: Documents in a group at most, and shingles (unless one document has more).
 GROUP_DOCS = 64
-#: Group leaders that a document is compared with before it leads a group of its own.
-_TRIES = 8
-_SEEDS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+_GROUP_TOKENS = 200_000
+#: Documents of one label in a row from which they get groups of their own.
+_PURE = 16
 
 _SETS = "id bigint, chunk int, n_shingles bigint, node binary"
 _BLOBS = "bucket int, chunk int, hashes binary, counts binary"
 _REPLY = "chunk int, hashes binary, ranks binary, node binary"
-_MEMBERS = "gid bigint, node binary, leads boolean, n bigint, tokens array<bigint>, prefix array<bigint>"
+_DOCS = "node binary, n bigint, tokens array<bigint>, probe array<bigint>, index array<bigint>, common bigint, least bigint"
+_GROUPS = (
+    "gid bigint, nums array<bigint>, labels array<bigint>, ns array<bigint>, sizes array<int>, tokens array<bigint>,"
+    " probe array<bigint>, index array<bigint>, low bigint, high bigint, links array<struct<a:bigint,b:bigint>>"
+)
+_GROUP_NAMES = ["gid", "nums", "labels", "ns", "sizes", "tokens", "probe", "index", "low", "high", "links"]
+_LINKS = "a bigint, b bigint"
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -99,26 +106,19 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(columns[0], pa.int32()), "hashes": pa.array(columns[1], pa.binary()), "ranks": pa.array(columns[2], pa.binary()), "node": pa.nulls(len(out), pa.binary())})
 
 
-def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Common values of two ascending sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+def _candidates(words: int, percent: int):
+    """Of one chunk: the documents that can have a partner, with their shared shingles."""
 
-
-def _groups(words: int, percent: int, most: int):
-    """Of one chunk: the documents that can have a partner, in groups whose members all link with the group's leader."""
-
-    def group(key, documents: pa.Table, reply: pa.Table) -> pa.Table:
+    def pick(documents: pa.Table, reply: pa.Table) -> pa.Table:
         docs = chunks.read_documents(documents["payload"])
         blobs = [(chunks.unpack(h), np.frombuffer(r, np.uint8)) for h, r in zip(reply["hashes"].to_pylist(), reply["ranks"].to_pylist(), strict=True) if h]
         seen = set(reply["node"].to_pylist())  # classes that an earlier chunk stands for
         known = np.concatenate([b[0] for b in blobs] or [np.empty(0, np.uint64)])
         ranks = np.concatenate([b[1] for b in blobs] or [np.empty(0, np.uint8)])
+        del blobs
         order = np.argsort(known)
         known, ranks = known[order], ranks[order]
-        leaders: dict[tuple, list[int]] = {}
-        groups: list[dict] = []
+        rows = {c.split()[0]: [] for c in _DOCS.split(", ")}
         for text in chunks.texts_of(docs["text"].combine_chunks()) if len(known) else ():
             full = shingles(text, words)
             node = _node(full)
@@ -128,68 +128,188 @@ def _groups(words: int, percent: int, most: int):
             at = np.minimum(np.searchsorted(known, full), len(known) - 1)
             shared = known[at] == full
             tokens, rank, n = full[shared], ranks[at[shared]], len(full)
-            least = -(-percent * n // 100)
+            alone, least = n - len(tokens), -(-percent * n // 100)
             if len(tokens) < least:  # all other documents together overlap too little
                 continue
-            prefix = tokens[np.lexsort((tokens, rank))][: n - least + 1 - (n - len(tokens))]
-            keys = [(k, int(chunks.mix(prefix ^ s).min())) for k, s in enumerate(_SEEDS)]
-            doc = {"node": node, "n": n, "tokens": tokens, "prefix": prefix}
-            for g in dict.fromkeys(i for k in keys for i in leaders.get(k, ())[-_TRIES:]):
-                head = groups[g]["docs"][0]
-                common = _overlap(tokens, head["tokens"])
-                if len(groups[g]["docs"]) < most and 100 * common >= percent * (n + head["n"] - common):
-                    groups[g]["docs"].append(doc)
-                    break
-            else:
-                for k in keys:
-                    leaders.setdefault(k, []).append(len(groups))
-                groups.append({"docs": [doc]})
-        rows = {name: [] for name in ("gid", "node", "leads", "n", "tokens", "prefix")}
-        for number, g in enumerate(groups):
-            for i, doc in enumerate(g["docs"]):
-                rows["gid"].append((key[0].as_py() << 32) + number)
-                rows["node"].append(doc["node"])
-                rows["leads"].append(i == 0)
-                rows["n"].append(doc["n"])
-                rows["tokens"].append(doc["tokens"].view(np.int64))
-                rows["prefix"].append(np.unique(np.concatenate([d["prefix"] for d in g["docs"]])).view(np.int64) if i == 0 else None)
-        types = [pa.int64(), pa.binary(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            rarest = tokens[np.lexsort((tokens, rank))]
+            # Shingles of no other document come first in the order. A partner that is not larger overlaps in ``least`` at
+            # least, one that is not smaller in ``larger``: two such sets share one of the rarest of each.
+            larger = -(-2 * percent * n // (100 + percent))
+            rows["node"].append(node)
+            rows["n"].append(n)
+            rows["tokens"].append(tokens.view(np.int64))
+            rows["probe"].append(rarest[: max(0, n - least + 1 - alone)].view(np.int64))
+            rows["index"].append(rarest[: max(0, n - larger + 1 - alone)].view(np.int64))
+            rows["common"].append(int(rarest[-1:].view(np.int64)[0]))
+            rows["least"].append(int(chunks.mix(tokens).min() >> np.uint64(1)))
+        lists = pa.list_(pa.int64())
+        types = [pa.binary(), pa.int64(), lists, lists, lists, pa.int64(), pa.int64()]
         return pa.table({name: pa.array(rows[name], t) for name, t in zip(rows, types, strict=True)})
 
-    return group
+    return pick
+
+
+def _numbered(batches):
+    """Adds ``num``: documents of a task count on from its number, in their order."""
+    at = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        num = pa.array(np.arange(at, at + batch.num_rows, dtype=np.int64))
+        at += batch.num_rows
+        yield pa.record_batch([num, *batch.columns], ["num", *batch.schema.names])
 
 
-def _linked(percent: int):
-    common = "size(array_intersect(q_tokens, s_tokens))"
-    return F.expr(f"100 * {common} >= {percent} * (q_n + s_n - {common})")
+def _forest(a: list[int], b: list[int], labels: dict[int, int]) -> list[tuple[int, int]]:
+    """Of the links ``(a, b)`` as many as join documents whose labels are not joined yet."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in zip(a, b, strict=True):
+        p, q = find(labels[x]), find(labels[y])
+        if p != q:
+            root[p] = q
+            out.append((x, y))
+    return out
+
 
+def _matrix(tokens: np.ndarray, sizes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """Documents x ``vocabulary``, 1 where a document has the token."""
+    out = np.zeros((len(sizes), len(vocabulary)), np.float32)
+    if len(vocabulary):
+        at = np.minimum(np.searchsorted(vocabulary, tokens), len(vocabulary) - 1)
+        has = vocabulary[at] == tokens
+        out[np.repeat(np.arange(len(sizes)), sizes)[has], at[has]] = 1
+    return out
 
-def _renamed(df: DataFrame, side: str) -> DataFrame:
-    return df.select(F.col("gid").alias(f"{side}_gid"), F.col("n").alias(f"{side}_n"), F.col("tokens").alias(f"{side}_tokens"))
 
+def _similar(common: np.ndarray, q_n: np.ndarray, s_n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    common = common.astype(np.int64)
+    return np.nonzero(100 * common >= percent * (q_n[:, None] + s_n[None, :] - common))
 
-def _group_links(members: DataFrame, percent: int) -> DataFrame:
-    """``(gid, label)`` for the groups that some link joins with another group."""
-    matrix = materialize(members.where("leads").select("gid", F.explode("prefix").alias("token")), "token-groups")
-    # First the lowest group of each token against the others, leader with leader: this joins most of a large cluster.
-    lowest = matrix.groupBy("token").agg(F.min("gid").alias("s_gid"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token", "s_gid")
-    pairs = matrix.join(lowest, "token").where("gid <> s_gid").select(F.col("gid").alias("q_gid"), "s_gid").distinct()
-    leaders = members.where("leads").select("gid", "n", "tokens")
-    stars = materialize(pairs.join(_renamed(leaders, "q"), "q_gid").join(_renamed(leaders, "s"), "s_gid").where(_linked(percent)).select(F.col("q_gid").alias("a"), F.col("s_gid").alias("b")), "group-stars")
-    labels = connected_components(stars)
-    # Then every pair of groups that share a token and are not yet joined.
-    labelled = matrix.join(labels.withColumnRenamed("node", "gid"), "gid", "left").select("token", "gid", F.coalesce("component", "gid").alias("label"))
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-    held = materialize(labelled.join(mixed, "token", "left_semi"), "token-labels")
-    other = held.select("token", F.col("gid").alias("s_gid"), F.col("label").alias("s_label"))
-    pairs = materialize(held.join(other, "token").where("label > s_label").select(F.col("gid").alias("q_gid"), "s_gid").distinct(), "group-pairs")
-    involved = pairs.select(F.col("q_gid").alias("gid")).union(pairs.select("s_gid")).distinct()
-    active = materialize(members.select("gid", "n", "tokens").join(involved, "gid", "left_semi"), "group-members")
-    unions = active.groupBy("gid").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("all_tokens"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    bound = f"100 * most_n >= {percent} * q_n and 100 * q_n >= {percent} * least_n and 100 * size(array_intersect(q_tokens, all_tokens)) >= {percent} * q_n"
-    opened = pairs.join(_renamed(active, "q"), "q_gid").join(unions.withColumnRenamed("gid", "s_gid"), "s_gid").where(bound).drop("all_tokens", "least_n", "most_n")
-    crossed = opened.join(_renamed(active, "s"), "s_gid").where(_linked(percent)).select(F.col("q_gid").alias("a"), F.col("s_gid").alias("b")).distinct()
-    return connected_components(stars.union(materialize(crossed, "group-links"))).select(F.col("node").alias("gid"), F.col("component").alias("label"))
+
+def _form(percent: int, most: int):
+    """Documents in order ``(num, label, n, tokens, probe, index)`` to groups of neighbours, with the links inside each group.
+
+    A run of one label, if long, has groups of its own, so groups that are joined already are known by their label.
+    """
+
+    def form(batches):
+        gid = TaskContext.get().partitionId() << 32
+        mixed, run = [], []
+
+        def written(docs: list[tuple]):
+            nonlocal gid
+            gid += 1
+            nums, labels, ns = ([d[k] for d in docs] for k in range(3))
+            sizes, tokens = np.array([len(d[3]) for d in docs]), np.concatenate([d[3] for d in docs])
+            m = _matrix(tokens, sizes, np.unique(tokens))
+            q, s = _similar(m @ m.T, np.array(ns), np.array(ns), percent)
+            upper = q < s
+            number = np.array(nums)
+            links = _forest(number[q[upper]].tolist(), number[s[upper]].tolist(), dict(zip(nums, labels, strict=True)))
+            values = (gid, nums, labels, ns, sizes, tokens, *[np.unique(np.concatenate([d[k] for d in docs])) for k in (4, 5)], min(labels), max(labels), [{"a": x, "b": y} for x, y in links])
+            lists = pa.list_(pa.int64())
+            pairs = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+            types = [pa.int64(), lists, lists, lists, pa.list_(pa.int32()), lists, lists, lists, pa.int64(), pa.int64(), pairs]
+            return pa.record_batch([pa.array([v], t) for v, t in zip(values, types, strict=True)], _GROUP_NAMES)
+
+        def full(docs: list[tuple]) -> bool:
+            return len(docs) >= most or sum(len(d[3]) for d in docs) >= _GROUP_TOKENS
+
+        for batch in batches:
+            flat = [(c.values.to_numpy(), c.offsets.to_numpy()) for c in batch.columns[3:]]
+            for i, (num, label, n) in enumerate(zip(*[c.to_pylist() for c in batch.columns[:3]], strict=True)):
+                doc = (num, label, n, *[values[ends[i] : ends[i + 1]].copy() for values, ends in flat])
+                if run and (run[-1][1] != label or full(run)):
+                    if len(run) >= _PURE or full(run):
+                        yield written(run)
+                    else:
+                        mixed += run
+                    run = []
+                if full(mixed):
+                    yield written(mixed)
+                    mixed = []
+                run.append(doc)
+        if len(run) >= _PURE:
+            yield written(run)
+        else:
+            mixed += run
+        if mixed:
+            yield written(mixed)
+
+    return form
+
+
+def _open(percent: int):
+    """Two groups a row: their documents that overlap enough with the other group's union are compared exactly; links between labels not joined yet."""
+
+    def compare(batches):
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for row in range(batch.num_rows):
+                sides = []
+                for side in (0, 5):
+                    sides.append([batch.column(side + k)[row].values.to_numpy() for k in range(5)])
+                (q_nums, q_labels, q_n, q_sizes, q_tokens), (s_nums, s_labels, s_n, s_sizes, s_tokens) = sides
+                common = np.intersect1d(q_tokens, s_tokens)
+                q, s = _matrix(q_tokens, q_sizes, common), _matrix(s_tokens, s_sizes, common)
+                # The bound: overlap of a document with the union of the other group.
+                q_open = np.flatnonzero(100 * q.sum(axis=1) >= percent * q_n)
+                s_open = np.flatnonzero(100 * s.sum(axis=1) >= percent * s_n)
+                if not len(q_open) or not len(s_open):
+                    continue
+                x, y = _similar(q[q_open] @ s[s_open].T, q_n[q_open], s_n[s_open], percent)
+                labels = dict(zip([*q_nums.tolist(), *s_nums.tolist()], [*q_labels.tolist(), *s_labels.tolist()], strict=True))
+                out += _forest(q_nums[q_open[x]].tolist(), s_nums[s_open[y]].tolist(), labels)
+            yield pa.record_batch([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+    return compare
+
+
+def _opened(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Links between the groups of ``pairs (q_gid, s_gid)``."""
+    fields = ["nums", "labels", "ns", "sizes", "tokens"]
+    for side in ("q", "s"):
+        pairs = pairs.join(groups.select(F.col("gid").alias(f"{side}_gid"), *[F.col(f).alias(f"{side}_{f}") for f in fields]), f"{side}_gid")
+    return pairs.select(*[f"{side}_{f}" for side in ("q", "s") for f in fields]).mapInArrow(_open(percent), _LINKS)
+
+
+def _inside(groups: DataFrame) -> DataFrame:
+    return groups.select(F.inline("links"))
+
+
+def _labels(docs: DataFrame, percent: int, most: int) -> DataFrame:
+    """``(node, label)``: joined documents share a label."""
+    parts = chunks.parts_of(docs.sparkSession)
+    ordered = docs.repartitionByRange(parts, "common", "least", "node").sortWithinPartitions("common", "least", "node")
+    numbered = materialize(ordered.mapInArrow(_numbered, "num bigint, " + _DOCS), "shingle-documents")
+    rows = numbered.select("num", F.col("num").alias("label"), "n", "tokens", "probe", "index")
+    first = materialize(rows.mapInArrow(_form(percent, most), _GROUPS), "shingle-groups")
+    # Each group meets the lowest of the groups that hold one of its tokens, the one it shares most with: this joins most of a large cluster.
+    matrix = first.select("gid", F.explode("probe").alias("token"))
+    lowest = matrix.groupBy("token").agg(F.min("gid").alias("s_gid"), F.count(F.lit(1)).alias("held")).where("held > 1").select("token", "s_gid")
+    met = matrix.join(lowest, "token").where("gid <> s_gid").groupBy("gid", "s_gid").agg(F.count(F.lit(1)).alias("tokens"))
+    pairs = met.groupBy(F.col("gid").alias("q_gid")).agg(F.max_by("s_gid", F.struct("tokens", "s_gid")).alias("s_gid"))
+    links = materialize(_inside(first).union(_opened(pairs, first, percent)), "shingle-links")
+    # Groups anew, those of joined documents apart; then every pair of groups that share a token and are not joined as a whole.
+    joined = connected_components(links).withColumnRenamed("node", "num")
+    rows = numbered.join(joined, "num", "left").select("num", F.coalesce("component", "num").alias("label"), "n", "tokens", "probe", "index")
+    rows = rows.repartitionByRange(parts, "label", "num").sortWithinPartitions("label", "num")
+    second = materialize(rows.mapInArrow(_form(percent, most), _GROUPS), "shingle-groups")
+    probe, index = (second.select("gid", "low", "high", F.explode(c).alias("token")) for c in ("probe", "index"))
+    mixed = probe.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("held")).where("held > 1 and l <> h").select("token")
+    asking = probe.join(mixed, "token", "left_semi").select("token", F.col("gid").alias("q_gid"), F.col("low").alias("q_low"), F.col("high").alias("q_high"))
+    asked = index.join(mixed, "token", "left_semi").select("token", F.col("gid").alias("s_gid"), F.col("low").alias("s_low"), F.col("high").alias("s_high"))
+    apart = F.expr("q_gid <> s_gid and not (q_low = q_high and s_low = s_high and q_low = s_low)")
+    pairs = materialize(asking.join(asked, "token").where(apart).select(F.least("q_gid", "s_gid").alias("q_gid"), F.greatest("q_gid", "s_gid").alias("s_gid")).distinct(), "group-pairs")
+    links = links.union(materialize(_inside(second).union(_opened(pairs, second, percent)), "shingle-links"))
+    joined = connected_components(links).withColumnRenamed("node", "num")
+    return numbered.select("num", "node").join(joined, "num", "left").select("node", F.coalesce("component", "num").alias("label"))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, group_docs: int = GROUP_DOCS) -> DataFrame:
@@ -200,11 +320,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     * Equal sets are one class, compared once.
     * The hashes of all sets meet by hash range and each chunk of ids learns which of its shingles others hold, and how common
       they are. A document that shares too few with all others together is done.
-    * The rest are put into groups of at most ``group_docs`` whose members link with the group's leader (not cut off:
-      a large cluster has many groups). The token-group matrix has a row for each group and token that the rarest-first
-      prefix of a member holds; two documents that link share such a token, so groups without one are not met.
-    * A document opens a group only if its overlap with the union of the group's tokens reaches the threshold; in open
-      groups sets are compared exactly. Groups that links have joined already are not compared again.
+    * The rest are sorted by what they share (their commonest shingle, then the least hash) and neighbours form groups of at most
+      ``group_docs``. The token-group matrix has a row for each group and token that the rarest-first prefix of a member
+      holds; two documents that link share such a token, so groups without one are not met.
+    * A document opens another group only if its overlap with the union of the group's tokens reaches the threshold; open groups are compared
+      exactly, by the product of their document-token matrices. A first round, one meeting a group, joins most of a large cluster, whose
+      documents then form groups that need not meet each other; the second round meets all others.
 
     Shingles are compared by 64-bit hashes, classes by 128 bits. Null, empty and blank texts have no shingles and link with nothing.
     Fewer words than a shingle has are one shingle. Rows that share an id each give a row. A null id counts as the smallest.
@@ -221,9 +342,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     reply = hashes.groupBy("bucket").applyInArrow(_shared, _REPLY)
     reply = reply.union(elsewhere.select("chunk", F.lit(None).cast("binary"), F.lit(None).cast("binary"), "node"))
     dealt = chunks.dealt_documents(docs, id_col, text_col, bounds)
-    members = materialize(dealt.groupBy("chunk").cogroup(reply.groupBy("chunk")).applyInArrow(_groups(words, percent, group_docs), _MEMBERS), "shingle-groups")
-    labels = _group_links(members, percent)
-    joined = members.select("node", "gid").join(labels, "gid", "left").select("node", F.coalesce("label", "gid").alias("label"))
+    docs = dealt.groupBy("chunk").cogroup(reply.groupBy("chunk")).applyInArrow(_candidates(words, percent), _DOCS)
+    joined = _labels(materialize(docs, "shingle-candidates"), percent, group_docs)
     smallest = sets.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("least"))
     classes = materialize(smallest.join(joined, "node", "left"), "shingle-classes")
     merged = classes.where("label is not null").groupBy("label").agg(F.min("least").alias("component"))
