@@ -1,6 +1,7 @@
 """The corpus pipeline: documents to packed training sequences, each stage by an operator of ``tsengine.llm``."""
 
 from tsengine.llm import exact, jaccard, mixture, packing, quality, queries
+from tsengine.session import shipped
 
 
 def good_quality(spark, docs, sf_dir):
@@ -29,11 +30,11 @@ def packed(spark, docs, sf_dir):
 
 
 STAGES = [
-    ("quality classifier", good_quality),
-    ("exact dedup", without_copies),
-    ("n-gram Jaccard join", without_near_copies),
-    ("mixing sources", mixed),
-    ("best-fit packing", packed),
+    ("quality classifier", shipped(good_quality)),
+    ("exact dedup", shipped(without_copies)),
+    ("n-gram Jaccard join", shipped(without_near_copies)),
+    ("mixing sources", shipped(mixed)),
+    ("best-fit packing", shipped(packed)),
 ]
 
 #: A trained classifier and a tokenizer are not SQL; tests/llm compares each stage with a brute-force version.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsengine.llm import exact, jaccard, mixture, neighbours, packing, quality, sharding, substrings, token_output, toxicity
+from tsengine.session import shipped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,6 +159,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_output": op10_token_output,
 }
+QUERIES = {name: shipped(run) for name, run in QUERIES.items()}
 ORACLES = {
     "op3_substring_dedup": OP3_SQL,
     "op4_extendible_sharding": OP4_SQL,
