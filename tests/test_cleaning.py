@@ -1,3 +1,4 @@
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from helpers import START, column, hourly
 from tsengine.operators import clean, joins, profile, quality, split
 from tsengine.plans.feature_plan import FeatureSpec, build_features, training_table
 from tsengine.series import HOURLY, SeriesKeys, previous_value
-from tsengine.session import new_path
+from tsengine.session import materialize, new_path, release
 from tsengine.sources import feeds, metadata
 from tsengine.sources.store import FeatureGroup, GateError, feature_view, gate
 
@@ -153,3 +154,48 @@ def test_hot_key_dedup_keeps_the_last(spark):
     rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("seq"))
     out = clean.dedup_by_key(rows.withColumn("v", F.col("seq")), ["k"], "seq")
     assert out.where("k = 0").first()["v"] == 29_997 and out.count() == 20_001
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    folder = str(tmp_path / "csv")
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("x,y,note\n1.0,2.0,n\n3.0,bad,n\n")
+    rows, corrupt = feeds.read_csv(spark, folder, "y double, x double")
+    assert [tuple(r) for r in rows.collect()] == [(2.0, 1.0)] and corrupt.count() == 1
+    with pytest.raises(ValueError, match="not in the header"):
+        feeds.read_csv(spark, folder, "z double")
+
+
+def test_group_grows_columns_and_reruns_replace(spark):
+    group = FeatureGroup(new_path(spark, "group"), "g", 1, HOURLY)
+    with pytest.raises(ValueError, match="no commit"):
+        group.read(spark)
+    two = hourly(spark, [1, 2])
+    group.commit(two, 1)
+    group.commit(two.limit(1), 1)
+    assert group.read(spark).count() == 1
+    group.commit(hourly(spark, [5], start=START + timedelta(days=3)).withColumn("extra", F.lit("e")), 2)
+    got = {r["v"]: r["extra"] for r in group.read(spark).collect()}
+    assert got == {1.0: None, 5.0: "e"} or got == {2.0: None, 5.0: "e"}
+    assert group.read(spark, as_of=1).columns == ["series_id", "time", "v"]
+    assert group.next_commit(spark) == 3 and group.next_commit(spark, "stream:0") == 3
+    group.commit(two, 3, "stream:0")
+    assert group.next_commit(spark, "stream:0") == 3 and group.next_commit(spark, "stream:1") == 4
+    spark.createDataFrame([(1,)], "half int").write.parquet(f"{group.path}/rows/commit_id=9/attempt=unpublished/event_date=2024-01-01")
+    assert group.read(spark).count() == 3
+
+
+def test_written_tables_are_released(spark):
+    table = materialize(spark.range(3), "numbers")
+    place = table.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    assert os.path.exists(place)
+    release(spark)
+    assert not os.path.exists(place)
+
+
+def test_latest_rows_are_hashed_not_sorted(spark):
+    rows = hourly(spark, [1, 2, 2]).withColumn("seq", F.lit(1).cast("bigint"))
+    plan = clean.dedup_by_key(rows, HOURLY.columns, "seq")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    kept = clean.dedup_by_key(spark.createDataFrame([("a", 1, 5.0), ("a", 2, None)], "k string, seq int, v double"), ["k"], "seq")
+    assert kept.first()["v"] is None

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from helpers import START, column, hourly
 from tsengine.functions import scalars as S
+from tsengine import queries
 from tsengine.operators.windows import part_size
+from tsengine.plans import serve
 from tsengine.plans.feature_plan import FeatureSpec, air_quality_spec, build_features
+from tsengine.queries import bindings, features  # noqa: F401
 from tsengine.series import HOURLY, anchored, bucketize, fill_gaps
 
 SMALL = FeatureSpec(
@@ -151,3 +154,36 @@ def test_one_shuffle_serves_grid_and_all_windows(spark):
     assert plan.count("Exchange hashpartitioning") <= 4
     assert plan.count("Window [") == 2 and plan.count("Sort [series_id") == 1
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan or "props" not in plan
+
+
+def test_two_rows_of_one_time_fail(spark):
+    rows = hourly(spark, [1, 2, 3]).unionByName(hourly(spark, [99]))
+    spec = FeatureSpec(level="v", prefix="v", measures=("v",), lags=(1,))
+    with pytest.raises(Exception, match="two rows of one series and time"):
+        build_features(rows, spec, HOURLY).collect()
+
+
+def test_given_bounds_span_the_grid_and_save_a_scan(spark):
+    rows = hourly(spark, [None, 5, 6]).where("v is not null")
+    ends = spark.createDataFrame([("a", START, START + timedelta(hours=4))], "series_id string, first timestamp_ntz, last timestamp_ntz")
+    spec = FeatureSpec(level="v", prefix="v", measures=("v",), lags=(1,))
+    built = build_features(rows, spec, HOURLY, bounds=ends)
+    assert column(built, "v_lag_1") == [None, None, 5, 6, None]
+    assert column(build_features(rows, spec, HOURLY), "v_lag_1") == [None, 5]
+
+
+def test_raw_table_is_read_once(spark):
+    plan = queries.features.feature_table(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan  # the stored series is read instead; writing it is the one scan of the raw table
+    days = queries.bindings.lineitem_days(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert days.count("FileScan") == 1
+
+
+def test_missing_inputs_stay_missing_when_served(spark):
+    spec = FeatureSpec(level="v", prefix="v", measures=("v",), horizons=(6,))
+    rows = spark.createDataFrame([("a", 10.0, None), ("b", None, 3.0), ("c", 10.0, 3.0)], "series_id string, v double, m_change_6 double")
+    rows = rows.withColumn("time", F.lit(START).cast("timestamp_ntz"))
+    table = serve.forecast_table(rows, [("m", 1.0)], spec, HOURLY, (6,))
+    got = {r["series_id"]: (r["predicted_level"], r["band"]) for r in table.collect()}
+    assert got == {"a": (None, None), "b": (None, None), "c": (13.0, "Good")}
+    assert {r["series_id"]: r["alert"] for r in serve.alert_table(table, HOURLY).collect()} == {"a": None, "b": None, "c": "none"}

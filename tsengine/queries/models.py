@@ -14,7 +14,7 @@ from tsengine.ml import attribution, boosting, forest, linear, network, saved
 from tsengine.ml.frame import VECTOR, change_column, fit_scaler, vector_table
 from tsengine.operators import metrics, selection, split
 from tsengine.plans import experiment, live, serve
-from tsengine.queries.bindings import FULL, feature_sql, lineitem_days, lineitem_days_sql, rounded, rounded_sql
+from tsengine.queries.bindings import FULL, feature_sql, lineitem_days, lineitem_days_sql, rounded, rounded_sql, stored_days
 from tsengine.queries.evaluation import _SPLIT, HELD_OUT, TEST, VALIDATION, _horizon_scores, training_rows
 from tsengine.series import DAILY
 from tsengine.session import materialize, new_path
@@ -170,7 +170,7 @@ def _network(data, **how):
 def network_forecast(spark, sf_dir):
     """All candidates, full layers, epochs and patience; data-parallel over the logical shards."""
     data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
-    return _facts(_network(data), data.part("wide", "test"), "network")
+    return _facts(_network(data, shards=2), data.part("wide", "test"), "network")
 
 
 def _small_trainers():
@@ -181,7 +181,7 @@ def _small_trainers():
             "vectors",
         ),
         "boosted_b": lambda d: (_boosted(d, "boosted_b", SMALL_BOOST, rounds=2), "vectors"),
-        "network": lambda d: (_network(d, hidden=(32, 16), dropout=(0.1, 0.0), epochs=2), "wide"),
+        "network": lambda d: (_network(d, hidden=(32, 16), dropout=(0.1, 0.0), epochs=2, shards=2), "wide"),
     }
 
 
@@ -209,7 +209,7 @@ def experiment_grid(spark, sf_dir):
 def _ensemble(spark, sf_dir):
     """The deployed pair, fitted, saved and read back from its folder."""
     data = experiment.prepare(split_rows(spark, sf_dir), COMPACT, FULL, DAILY)
-    models = {"boosted_b": _boosted(data, "boosted_b", SMALL_BOOST, rounds=4), "network": _network(data)}
+    models = {"boosted_b": _boosted(data, "boosted_b", SMALL_BOOST, rounds=4), "network": _network(data, hidden=(32, 16), dropout=(0.1, 0.0), epochs=10, shards=2)}
     path = new_path(spark, "ensemble")
     saved.save_ensemble(spark, saved.Ensemble(COMPACT, list(experiment.ENSEMBLE), models), path)
     return data, models, saved.load_ensemble(spark, path)
@@ -238,7 +238,7 @@ _LIVE_SOURCE = f"""(with raw as ({lineitem_days_sql()}) select * replace (us_aqi
 
 def _history_and_live(spark, sf_dir):
     """History up to now; a live window from 92 days before to 72 days after it, with revised levels."""
-    days = lineitem_days(spark, sf_dir)
+    days = stored_days(spark, sf_dir)
     history = days.where(F.col("time") <= F.lit("2000-06-01").cast("timestamp_ntz"))
     window = days.where(F.col("time").between(F.lit("2000-03-01").cast("timestamp_ntz"), F.lit("2000-08-12").cast("timestamp_ntz")))
     return history, window.withColumn("us_aqi", F.col("us_aqi") + 5)

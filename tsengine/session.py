@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
 _shipped: set[str] = set()
+_written: dict[str, list[str]] = {}
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
@@ -35,7 +38,7 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    A temporary folder is used only by a local master, where driver and executors are one process.
+    A temporary folder is used only by a local master, where driver and executors are one process; it goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
@@ -45,6 +48,7 @@ def shared_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_root:
         _local_root[app] = tempfile.mkdtemp(prefix="tsengine-")
+        atexit.register(shutil.rmtree, _local_root[app], ignore_errors=True)
     return _local_root[app]
 
 
@@ -74,7 +78,17 @@ def shipped(run):
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the intermediates that this application has written so far. Call it when their results have been used."""
+    context = spark.sparkContext
+    for path in _written.pop(context.applicationId, []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
