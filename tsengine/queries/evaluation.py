@@ -278,13 +278,26 @@ def family_breakdown(spark, sf_dir):
     return selection.family_breakdown(selection.feature_sets(_horizon_scores(spark, sf_dir)))
 
 
-@query()
+@query(
+    complete_sql().replace("with ", "with recursive ", 1)
+    + f""", s as (select row_number() over () as r, {_MEAN_TARGET} as y, * from complete where time < (select max(time) - interval '360 day' from complete)),
+ l as (unpivot (select r, y, {', '.join(f'cast({f} as double) as {f}' for f in FULL.features)} from s) on {', '.join(FULL.features)} into name name value x),
+ v as (select name, stddev_pop(x) > 0 as varies, corr(x, y) as c from l group by 1),
+ o as materialized (select name, varies, relevance, row_number() over (order by relevance desc, name) as k from (select name, varies, case when varies then round(abs(c), 9) else 0 end as relevance from v)),
+ w as (select l.r, o.k, l.x from l join o using (name) where o.varies),
+ pairs as (select a.k as j, b.k as k, abs(corr(a.x, b.x)) as c from w a join w b on a.r = b.r and a.k < b.k group by 1, 2),
+ rivals as materialized (select k, list(j) as js from pairs where c > {selection.CORRELATION_LIMIT} group by 1),
+ walk as (select 0::bigint as k, [0::bigint] as kept, 0::bigint as rival
+  union all select o.k, case when coalesce(len(list_intersect(walk.kept, rivals.js)), 0) = 0 then list_append(walk.kept, o.k) else walk.kept end,
+  coalesce(list_min(list_intersect(walk.kept, rivals.js)), 0) from walk join o on o.k = walk.k + 1 left join rivals on rivals.k = o.k)
+ select o.name as feature, round(o.relevance, 6) as relevance, walk.rival = 0 as kept, coalesce(p.name, '') as rival from walk join o using (k) left join o p on p.k = walk.rival"""
+)
 def pruned_features(spark, sf_dir):
-    """Greedy correlation pruning over all 188 features, with the reason for each dropped one."""
+    """Greedy correlation pruning over all 188 features, with the better feature that each dropped one is too close to."""
     rows = split.selection_rows(training_rows(spark, sf_dir), DAILY, HELD_OUT)
     kept, reasons, scores = selection.select_uncorrelated(rows, FULL.features, FULL.change_targets)
-    table = [(f, scores[f], f in kept, reasons.get(f, "")) for f in FULL.features]
-    return spark.createDataFrame(table, "feature string, relevance double, kept boolean, reason string")
+    table = [(f, round(scores[f], 6), f in kept, reasons.get(f, "").split(" ")[-1]) for f in FULL.features]
+    return spark.createDataFrame(table, "feature string, relevance double, kept boolean, rival string")
 
 
 @query(_BY_HORIZON + "select 'FS50' as set_name, cast(row_number() over (order by feature) - 1 as integer) as pos, feature from (select distinct feature from t where rank <= 50)")

@@ -255,8 +255,9 @@ def live_feature_rows(spark, sf_dir):
 
 
 @query(
-    f"""select series_id, time, h.horizon, us_aqi as current_level, 1 as consistent
- from {_LIVE_SOURCE} cross join (values (24), (48), (72)) h(horizon) where time = timestamp '2000-06-01'"""
+    feature_sql(FULL.without_targets(), f"select * from {_LIVE_SOURCE}")
+    + "select series_id, time, h.horizon, us_aqi as current_level, 1 as consistent from features cross join (values (24), (48), (72)) h(horizon)"
+    + f" where time = timestamp '2000-06-01' and {' and '.join(f'{c} is not null' for c in COMPACT)}"
 )
 def live_forecast(spark, sf_dir):
     """The row at now scored from the saved ensemble alone. A consistent row has the blend of its components, the level they lead
