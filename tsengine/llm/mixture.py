@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tsengine.session import materialize
 
 LEVELS = ("domain", "lang", "source")
-#: Hex digits of the order key that a leaf's tokens are first summed by.
-_DIGITS = 4
+#: Hex digits of the order key that a leaf's tokens are summed by, one after the other, before single documents are ordered.
+_DIGITS = (2, 4)
 
 
 @dataclass(frozen=True)
@@ -90,13 +90,15 @@ def _leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
     plan = plan.withColumn("epochs", whole).withColumn("part", F.col("budget") - F.col("epochs") * F.col("tokens"))
     plan = materialize(plan.select(*[F.col(c).alias(f"p_{c}") for c in LEVELS], "budget", "epochs", "part"), "mixture-plan")
     keyed = narrow.join(plan.where("part > 0"), _same_leaf()).withColumn("key", _order_key(mix, F.col("epochs"), "doc"))
-    keyed = keyed.select(*LEVELS, "tokens", "part", "key", F.substring("key", 1, _DIGITS).alias("slot"))
-    # The tokens before each slot of a leaf's order, then the order within the one slot where the budget ends.
-    slots = keyed.groupBy(*LEVELS, "slot", "part").agg(F.sum("tokens").alias("slot_tokens"))
-    upto = Window.partitionBy(*LEVELS).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.withColumn("before", F.coalesce(F.sum("slot_tokens").over(upto), F.lit(0)))
-    last = materialize(slots.where("before < part and before + slot_tokens >= part").select(*[F.col(c).alias(f"p_{c}") for c in LEVELS], F.col("slot").alias("p_slot"), "before"), "mixture-slots")
-    inside = keyed.join(last, F.expr(_same_leaf_sql() + " and slot = p_slot")).select(*LEVELS, "tokens", "part", "key", "before")
+    inside = keyed.select(*LEVELS, "tokens", "part", "key", F.lit(0).cast("bigint").alias("before"))
+    # Sums by the first digits of the key find the slot of a leaf's order where its budget ends, then the slot within that slot.
+    for digits in _DIGITS:
+        slot = F.substring("key", 1, digits)
+        slots = inside.groupBy(*LEVELS, slot.alias("slot"), "part", "before").agg(F.sum("tokens").alias("slot_tokens"))
+        upto = Window.partitionBy(*LEVELS).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+        slots = slots.withColumn("before", F.col("before") + F.coalesce(F.sum("slot_tokens").over(upto), F.lit(0)))
+        last = materialize(slots.where("before < part and before + slot_tokens >= part").select(*[F.col(c).alias(f"p_{c}") for c in LEVELS], F.col("slot").alias("p_slot"), F.col("before").alias("p_before")), "mixture-slots")
+        inside = inside.join(last, F.expr(_same_leaf_sql()) & (slot == F.col("p_slot"))).select(*LEVELS, "tokens", "part", "key", F.col("p_before").alias("before"))
     running = Window.partitionBy(*LEVELS).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ends = inside.withColumn("upto", F.col("before") + F.sum("tokens").over(running)).where("upto >= part")
     cuts = ends.groupBy(*LEVELS).agg(F.min("key").alias("cut"))
