@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 from datetime import timedelta
+from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ from tsengine.ml.frame import fit_scaler, vector_table
 from tsengine.operators import metrics, selection, split
 from tsengine.plans import experiment, live, serve
 from tsengine.plans.feature_plan import FeatureSpec, build_features, training_table
+from tsengine.queries import models
 from tsengine.series import HOURLY
 from tsengine.session import materialize, new_path
 
@@ -179,6 +181,45 @@ def test_saved_ensemble_predicts_the_same(data, spark, seasonal):
     assert {r["greatest_difference"] for r in gaps.collect()} == {0.0}
 
 
+def test_registered_ensembles_and_sets_are_whole(monkeypatch):
+    """The network of the grid and of the saved ensemble has the library's size, over all candidates; every set size is compared."""
+    seen = {}
+
+    class Data:
+        scaler = None
+
+        def part(self, *names):
+            return names
+
+    def prepare(rows, features, *_):
+        seen["features"] = list(features)
+        return Data()
+
+    def run(rows, sets, *_):
+        seen["sets"] = list(sets)
+        raise StopIteration
+
+    monkeypatch.setattr(models, "split_rows", lambda spark, sf_dir: None)
+    monkeypatch.setattr(models, "_boosted", lambda *a, **k: None)
+    monkeypatch.setattr(models, "new_path", lambda spark, name: name)
+    monkeypatch.setattr(experiment, "prepare", prepare)
+    monkeypatch.setattr(network, "train_network", lambda *a, **how: seen.setdefault("how", []).append(set(how)))
+    monkeypatch.setattr(saved, "save_ensemble", lambda spark, ensemble, path: seen.update(saved=ensemble.features))
+    monkeypatch.setattr(saved, "load_ensemble", lambda *a: None)
+    models._ensemble(None, "")
+    models._small_trainers()["network"](Data())
+    assert seen["features"] == seen["saved"] == list(models.FULL.features)
+    assert seen["how"] == [{"shards"}, {"shards"}]
+
+    monkeypatch.setattr(models, "_horizon_scores", lambda *a: None)
+    monkeypatch.setattr(selection, "feature_sets", lambda scores, sizes=selection.SET_SIZES: MagicMock())
+    monkeypatch.setattr(models.metadata, "read_feature_list", lambda spark, path, name: [name])
+    monkeypatch.setattr(experiment, "run_experiment", run)
+    with pytest.raises(StopIteration):
+        models.selected_sets_experiment(None, "")
+    assert seen["sets"] == [f"FS{n}" for n in selection.SET_SIZES]
+
+
 def test_best_round_waits_for_patience():
     assert boosting.best_round([5, 4, 3, 4, 4, 4, 1], patience=3) == 2
     assert boosting.best_round([5, 4, 3, 4, 4, 4, 1], patience=10) == 6

@@ -181,7 +181,7 @@ def _small_trainers():
             "vectors",
         ),
         "boosted_b": lambda d: (_boosted(d, "boosted_b", SMALL_BOOST, rounds=2), "vectors"),
-        "network": lambda d: (_network(d, hidden=(32, 16), dropout=(0.1, 0.0), epochs=2, shards=2), "wide"),
+        "network": lambda d: (_network(d, shards=2), "wide"),
     }
 
 
@@ -207,11 +207,11 @@ def experiment_grid(spark, sf_dir):
 
 
 def _ensemble(spark, sf_dir):
-    """The deployed pair, fitted, saved and read back from its folder."""
-    data = experiment.prepare(split_rows(spark, sf_dir), COMPACT, FULL, DAILY)
-    models = {"boosted_b": _boosted(data, "boosted_b", SMALL_BOOST, rounds=4), "network": _network(data, hidden=(32, 16), dropout=(0.1, 0.0), epochs=10, shards=2)}
+    """The deployed pair over all candidates, fitted, saved and read back from its folder."""
+    data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
+    models = {"boosted_b": _boosted(data, "boosted_b", SMALL_BOOST, rounds=4), "network": _network(data, shards=2)}
     path = new_path(spark, "ensemble")
-    saved.save_ensemble(spark, saved.Ensemble(COMPACT, list(experiment.ENSEMBLE), models), path)
+    saved.save_ensemble(spark, saved.Ensemble(list(FULL.features), list(experiment.ENSEMBLE), models), path)
     return data, models, saved.load_ensemble(spark, path)
 
 
@@ -223,8 +223,8 @@ def _ensemble(spark, sf_dir):
 def model_round_trip(spark, sf_dir):
     """The saved and reloaded ensemble predicts the same on every test row."""
     data, models, again = _ensemble(spark, sf_dir)
-    carry = [f for f in COMPACT if f != FULL.level]
-    rows = vector_table(data.part("wide", "test"), COMPACT, FULL, DAILY, carry=carry)
+    carry = [f for f in FULL.features if f != FULL.level]
+    rows = vector_table(data.part("wide", "test"), FULL.features, FULL, DAILY, carry=carry)
     before = models["network"].predict(models["boosted_b"].predict(rows))
     return saved.greatest_differences(before, again.predict(rows), DAILY.columns, list(models), FULL.horizons)
 
@@ -375,11 +375,11 @@ def attribution_check(spark, sf_dir):
 
 @query("select 'ridge' as model, 1 as winners")
 def selected_sets_experiment(spark, sf_dir):
-    """Two selected feature sets compared with ridge and persistence, winner by validation error."""
-    sets = selection.feature_sets(_horizon_scores(spark, sf_dir), (50, 70))
+    """All selected feature sets compared with ridge and persistence, winner by validation error."""
+    sets = selection.feature_sets(_horizon_scores(spark, sf_dir))
     path = new_path(spark, "lists")
     sets.coalesce(1).write.parquet(path)
-    names = {s: metadata.read_feature_list(spark, path, s) for s in ("FS50", "FS70")}
+    names = {s: metadata.read_feature_list(spark, path, s) for s in (f"FS{n}" for n in selection.SET_SIZES)}
     trainers = {"ridge": _small_trainers()["ridge"]}
     best = experiment.run_experiment(split_rows(spark, sf_dir), names, FULL, DAILY, trainers).best()
     return best.groupBy("model").agg(F.count(F.lit(1)).alias("winners"))
