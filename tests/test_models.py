@@ -220,6 +220,30 @@ def test_registered_ensembles_and_sets_are_whole(monkeypatch):
     assert seen["sets"] == [f"FS{n}" for n in selection.SET_SIZES]
 
 
+@pytest.mark.parametrize("name", ["boosted_forecast_a", "boosted_forecast_b", "forest_forecast", "attribution_check"])
+def test_registered_trees_see_all_candidates(name, monkeypatch):
+    """Boosted forecasts also go on until the library's patience ends."""
+    seen = {}
+
+    def prepare(rows, features, *_):
+        seen["features"] = list(features)
+        return MagicMock()
+
+    def stop(*args, **how):
+        seen["how"] = how
+        raise StopIteration
+
+    monkeypatch.setattr(models, "split_rows", lambda spark, sf_dir: None)
+    monkeypatch.setattr(experiment, "prepare", prepare)
+    monkeypatch.setattr(boosting, "train_boosted", stop)
+    monkeypatch.setattr(forest, "train_forest", stop)
+    with pytest.raises(StopIteration):
+        models.QUERIES[name](None, "")
+    assert seen["features"] == list(models.FULL.features)
+    if name.startswith("boosted"):
+        assert seen["how"] == {"rounds": boosting.ROUNDS}
+
+
 def test_best_round_waits_for_patience():
     assert boosting.best_round([5, 4, 3, 4, 4, 4, 1], patience=3) == 2
     assert boosting.best_round([5, 4, 3, 4, 4, 4, 1], patience=10) == 6

@@ -34,12 +34,11 @@ def query(sql: str | None = None):
     return add
 
 
-# Ridge and the network run with the library defaults over all candidates. Tree learners are small here: their full search takes hours on
-# one machine, a finding the README leaves open; library defaults are the full sizes.
+# Ridge and the network run with the library defaults; boosted forecasts run one setting until patience ends. Other tree learners are
+# small here, a finding the README leaves open; library defaults are the full sizes.
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 5, "minInstancesPerNode": 4}
 SMALL_SEARCH = {"numTrees": (8,), "maxDepth": (3, 5), "minInstancesPerNode": (4,), "featureSubsetStrategy": ("sqrt", "0.5")}
 SMALL_BOOST = ({"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},)
-ROUNDS = 8
 COMPACT = [
     *FULL.measures,
     *FULL.families()["calendar"],
@@ -137,27 +136,27 @@ def ridge_optimality(spark, sf_dir):
 
 @query(_FACTS)
 def forest_forecast(spark, sf_dir):
-    data = experiment.prepare(split_rows(spark, sf_dir), COMPACT, FULL, DAILY)
+    data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
     model = forest.train_forest(
         data.part("vectors", "train"), data.part("vectors", "train", "val"), FULL, DAILY, SMALL_SEARCH, draws=2, folds=2
     )
     return _facts(model, data.part("vectors", "test"), "forest")
 
 
-def _boosted(data, name, grid, rounds=ROUNDS):
+def _boosted(data, name, grid, rounds=boosting.ROUNDS):
     parts = data.part("vectors", "train"), data.part("vectors", "val"), data.part("vectors", "train", "val")
     return boosting.train_boosted(*parts, FULL, name, grid, rounds=rounds)
 
 
 @query(_FACTS)
 def boosted_forecast_a(spark, sf_dir):
-    data = experiment.prepare(split_rows(spark, sf_dir), COMPACT, FULL, DAILY)
+    data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
     return _facts(_boosted(data, "boosted_a", SMALL_BOOST), data.part("vectors", "test"), "boosted_a")
 
 
 @query(_FACTS)
 def boosted_forecast_b(spark, sf_dir):
-    data = experiment.prepare(split_rows(spark, sf_dir), COMPACT, FULL, DAILY)
+    data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
     grid = ({"maxDepth": 3, "stepSize": 0.2, "minInstancesPerNode": 3},)
     return _facts(_boosted(data, "boosted_b", grid), data.part("vectors", "test"), "boosted_b")
 
@@ -337,17 +336,17 @@ def forecast_alerts(spark, sf_dir):
 
 
 def _attributed(spark, sf_dir):
-    data = experiment.prepare(split_rows(spark, sf_dir), COMPACT, FULL, DAILY)
+    data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
     model = _boosted(data, "boosted_b", SMALL_BOOST, rounds=6).models[24]
     test = data.part("vectors", "test")
-    return attribution.attribute(test, model, COMPACT, DAILY.columns), model.transform(test)
+    return attribution.attribute(test, model, FULL.features, DAILY.columns), model.transform(test)
 
 
 @query(_SPLIT + "select series_id, time, 10 as drivers, 0 as misplaced from parts where split = 'test'")
 def attribution_top_ten(spark, sf_dir):
     """The ten strongest drivers of each test row's 24-step prediction, counted, with those that a stronger one is missing or ranked after."""
     shares = materialize(_attributed(spark, sf_dir)[0], "attributions")
-    top = attribution.top_drivers(shares, COMPACT, DAILY.columns)
+    top = attribution.top_drivers(shares, FULL.features, DAILY.columns)
     strengths = shares.select(*DAILY.columns, F.sort_array(F.transform("values", lambda v: F.abs(v)), asc=False).alias("_all"))
     placed = top.join(strengths, DAILY.columns)
     wrong = F.count_if(F.col("impact") != F.expr("_all[rank - 1]"))
@@ -358,8 +357,8 @@ def attribution_top_ten(spark, sf_dir):
 def attribution_ranking(spark, sf_dir):
     """The ten features of greatest mean impact; each place against the same mean taken column by column."""
     shares = materialize(_attributed(spark, sf_dir)[0], "attributions")
-    found = attribution.global_drivers(shares, COMPACT).select(F.row_number().over(Window.orderBy(F.desc("mean_impact"), "feature")).alias("rank"), "mean_impact")
-    means = shares.agg(F.sort_array(F.array(*[F.avg(F.abs(F.col("values")[i])) for i in range(len(COMPACT))]), asc=False).alias("_means"))
+    found = attribution.global_drivers(shares, FULL.features).select(F.row_number().over(Window.orderBy(F.desc("mean_impact"), "feature")).alias("rank"), "mean_impact")
+    means = shares.agg(F.sort_array(F.array(*[F.avg(F.abs(F.col("values")[i])) for i in range(len(FULL.features))]), asc=False).alias("_means"))
     again = means.select(F.posexplode("_means").alias("_pos", "_mean"))
     return found.join(again, F.col("rank") == F.col("_pos") + 1).select("rank", (F.round(F.col("mean_impact") - F.col("_mean"), 6) + F.lit(0.0)).alias("difference"))
 
