@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 from brute import components, equal_texts, shingles, without_repeats
 from pyspark.sql import functions as F
 
@@ -69,6 +70,30 @@ def test_repeated_passages_of_rows_that_share_an_id_or_have_none(documents):
     assert substrings.remove_repeated_passages(documents([])).count() == 0
 
 
+def test_chunks_keep_the_order_and_split_a_hot_id(documents, monkeypatch):
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 400)
+    rows = [(None, f"null {i} " * 5) for i in range(80)] + [(50, f"hot {i} " * 6) for i in range(80)] + [(i, f"own {i} " * 5) for i in range(100)]
+    for ranges in (10_000, 8):
+        monkeypatch.setattr(chunks, "_RANGES", ranges)
+        places = chunks.chunks_of(documents(rows), "doc_id", "text")
+        texts = [t.encode() for _, t in rows]
+        got = places.of(chunks.pa.array([i for i, _ in rows], chunks.pa.int64()), texts).tolist()
+        order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, xxhash.xxh3_64_intdigest(texts[k])))
+        assert [got[k] for k in order] == sorted(got)
+        assert max(got.count(c) for c in set(got)) < 50 and len(set(got[80:160])) > 4 and len(set(got[:80])) > 4
+    found = substrings.remove_repeated_passages(documents([(r, t * 10) for r, t in rows]))
+    assert found.count() == len(rows)
+
+
+def test_repeats_across_chunks_of_one_id(documents, monkeypatch):
+    """Rows without an id in many chunks: each window stays once in all."""
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 500)
+    text = " ".join(f"z{i}" for i in range(25))
+    rows = [(None, f"n{i} {text} m{i}") for i in range(40)]
+    got = substrings.remove_repeated_passages(documents(rows)).collect()
+    assert sorted(r["n_removed"] for r in got) == [0] + [25] * 39
+
+
 def test_equal_texts(documents, corpus):
     rows = corpus + [(i + 2000 if i else None, t) for i, t in EDGES]
     got = exact.mark_equal_texts(documents(rows)).collect()

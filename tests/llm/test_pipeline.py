@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tsengine.llm import queries
-from tsengine.session import materialize
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,12 +12,10 @@ FOLDER = "/root/testdata/sf0.001"
 def test_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = {}
-    before = docs
-    for name, stage in corpus_pipeline.STAGES:
-        kept[name] = materialize(stage(spark, before, FOLDER), "stage")
+    for name, result in corpus_pipeline.steps(spark, FOLDER):
+        kept[name] = result
         if name != "best-fit packing":
             assert kept[name].columns == docs.columns
-        before = kept[name]
     rows = {name: [(r["doc_id"], r["text"]) for r in df.collect()] for name, df in kept.items() if name != "best-fit packing"}
 
     scored = queries.op1_quality_classifier(spark, FOLDER).where("score >= 0.3")
@@ -43,6 +40,21 @@ def test_stages(spark):
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("e")).where("n <> e or n > 1024").count() == 0
 
 
+def test_stages_of_odd_tables(spark, documents):
+    """Null and repeated ids, null and repeated texts, clashing columns; then an empty table."""
+    rows = [(None, "null id"), (None, "null id"), (1, None), (2, ""), (3, "same words here"), (3, "same words here"), (4, "Same  words here"), (5, "w " * 3000)]
+    for table in (documents(rows), documents([])):
+        docs = table
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            docs = stage(spark, docs, FOLDER)
+            if name == "n-gram Jaccard join":
+                assert sorted(str(r["doc_id"]) for r in docs.collect()) == (["1", "3", "5", "None"] if table.count() else [])
+            if name != "best-fit packing":
+                assert docs.columns == table.columns
+        docs.collect()
+    assert corpus_pipeline.good_quality(spark, documents([]), FOLDER).count() == 0
+
+
 def test_run_registers_and_gives_the_last_stage(spark):
     import __spark_entry__ as contract
 

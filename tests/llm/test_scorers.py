@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tsengine.llm import quality, toxicity
@@ -77,6 +78,67 @@ def test_word_vectors_are_sums_of_neighbours(spark, documents):
     assert np.allclose(vectors, table, atol=1e-5)
 
 
+def test_words_of_a_long_document_count_once(monkeypatch):
+    """A document in several parts gives the contexts of the same document in one."""
+    texts = [" ".join(f"w{i % 50}" for i in range(3000)), "a b", " ".join(f"v{i % 7}" for i in range(1500))]
+    batch = pa.record_batch({"text": texts})
+    want = {b["block"][0].as_py(): b["payload"][0].as_py() for b in quality._contexts([batch])}
+    monkeypatch.setattr(quality, "_STEP", 700)
+    got = {b["block"][0].as_py(): b["payload"][0].as_py() for b in quality._contexts([batch])}
+    assert want and got == want
+    assert sum(np.frombuffer(p, "<i8")[quality._BLOCK * quality.DIMS :].sum() for p in got.values()) == 9002
+
+
+def test_quality_scores_equal_a_plain_version(spark, documents):
+    """Pooling, network and temperature row by row."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice("red green blue grey".split() if i % 2 else "x1 y2 ## good".split()) for _ in range(rng.randrange(1, 60)))) for i in range(120)]
+    docs = documents([*rows, (500, None), (501, "")])
+    model = quality.fit_quality(docs, spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id bigint, quality int"))
+    net = model.network
+    got = {r["row"]["doc_id"]: r["score"] for r in quality.score_quality(docs, model).collect()}
+    for i, t in [*rows, (500, "")]:
+        ids = quality.word_ids(t.encode())
+        x = np.zeros(2 * quality.DIMS)
+        if len(ids):
+            vectors = [[float(v) for v in model.vectors[k]] for k in ids]
+            for d in range(quality.DIMS):
+                mean = sum(v[d] for v in vectors) / len(ids)
+                x[d], x[quality.DIMS + d] = mean, max(sum(v[d] ** 2 for v in vectors) / len(ids) - mean * mean, 0) ** 0.5
+        hidden = [np.tanh(sum((x[k] - net.shift[k]) / net.scale[k] * net.w1[k, h] for k in range(len(x))) + net.b1[h]) for h in range(quality.HIDDEN)]
+        logit = sum(h * w for h, w in zip(hidden, net.w2)) + net.b2
+        assert abs(got[i] - 1 / (1 + np.exp(-logit / net.temperature))) < 1e-5
+    assert abs(got[500] - got[501]) < 1e-9
+
+
+def test_severity_equals_a_plain_version(spark, documents):
+    """Expected grade from word counts, by loops."""
+    from collections import Counter
+
+    import xxhash
+
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["nice", "calm", "tree", *(["awful", "hateful"] * 3 if i % 3 == 0 else [])]) for _ in range(rng.randrange(5, 40)))) for i in range(300)]
+    docs = documents([*rows, (900, None), (901, "awful " * 50)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    got = {r["row"]["doc_id"]: r for r in toxicity.score_toxicity(docs, model).collect()}
+    for i, t in [*rows, (900, ""), (901, "awful " * 50)]:
+        found = Counter()
+        for w in t.split():
+            found[xxhash.xxh3_64_intdigest(w.encode()) % toxicity.FEATURES] += 1
+            for size in (4, 5, 6, 7):
+                if len(w) >= size:
+                    found[xxhash.xxh3_64_intdigest(w[:size].encode(), seed=size) % toxicity.FEATURES] += 1
+        z = sum(float(model.weights[k]) * np.log2(1 + n) for k, n in found.items())
+        above = [1 / (1 + np.exp(-(z - b))) for b in model.thresholds]
+        assert abs(got[i]["severity"] - sum(above)) < 1e-4
+        assert got[i]["toxic"] == (sum(above) >= toxicity.TOXIC_FROM) or abs(sum(above) - toxicity.TOXIC_FROM) < 1e-4
+    assert got[901]["toxic"] and not got[900]["toxic"]
+    assert toxicity.score_toxicity(documents([]), model).count() == 0
+    assert toxicity.score_toxicity(docs, model).select("row.*").columns == docs.columns
+
+
 def test_ordinal_grades_come_in_order():
     rng = np.random.default_rng(3)
     rows, grades = [], []

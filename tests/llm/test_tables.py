@@ -155,3 +155,15 @@ def test_estimates_stay_within_their_bounds():
     about, error = neighbours.estimates(*neighbours.codes(data, centre, turn), queries_, centre, turn, 4.0)
     off = np.abs(about - data @ queries_.T)
     assert (off <= error + 1e-4).mean() > 0.999 and off.mean() < error.mean() / 3
+
+
+def test_nearest_of_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(60)] + [(i, rng.normal(size=2).tolist()) for i in range(60, 100)] + [(100, [1.0]), (101, None), (102, [])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0).collect()}
+    want = set()
+    for low, high in ((0, 60), (60, 100)):
+        ids, vectors = zip(*rows[low:high])
+        want |= set(nearest(list(ids), [np.array(v) for v in vectors], [i for i in ids if i % 20 == 0], 20))
+    assert got == want

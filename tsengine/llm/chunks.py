@@ -1,12 +1,15 @@
 """Hash values of all documents met in Spark: ranges of document ids, and sorted hashes packed for the shuffle.
 
-A *chunk* is a range of document ids. What a document's words hash to travels as one packed row per chunk and hash
+A *chunk* is a range of document ids (of one id's texts, if it has very many rows) with a bounded share of the text. What a document's words hash to travels as one packed row per chunk and hash
 bucket, so a shuffled value costs about six bytes, and a value that one chunk holds a million times travels once.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
@@ -17,8 +20,15 @@ from pyspark.sql import functions as F
 
 #: Multiplier of the polynomial hash. Odd, so that a window's factor can be divided out modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
-_power = np.ones(1, np.uint64)
-_inverse = np.ones(1, np.uint64)
+#: Bytes of text in a chunk, and hash values in a bucket: what one task holds of either, whatever the size of the table.
+CHUNK_BYTES = 24 << 20
+_BUCKET_BYTES = 32 << 20
+#: Ranges of ids that are found by quantiles; more chunks than that divide each range evenly.
+_RANGES = 10_000
+#: Words up to which the powers of the hash are kept for the next text.
+_KEPT_POWERS = 1 << 16
+_INVERSE = pow(_BASE, -1, 2**64)
+_NULL_ID = -(2**63)
 #: Bytes of text that a packed row of documents holds at most, unless one document is longer.
 _PAYLOAD_BYTES = 8 << 20
 
@@ -26,35 +36,67 @@ DOCS_SCHEMA = "chunk int, payload binary"
 
 
 def parts_of(spark) -> int:
-    """Chunks and at least as many hash buckets as a shuffle has partitions: the session's own measure of the data."""
+    """Tasks of a shuffle: the session's own measure of the cluster."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def buckets_of(parts: int) -> int:
-    return 1 << (parts - 1).bit_length()
+@dataclass(frozen=True)
+class Chunks:
+    """Ranges of (id, hash of the text), in ascending order; a null id counts as the smallest.
+
+    ``bounds`` are the upper ends of ranges of ids with about as many rows each. An id at several bounds holds the rows of several ranges;
+    these are told apart by the hash of the text. Each range is cut into ``split`` even parts.
+    """
+
+    bounds: np.ndarray
+    lowest: int
+    highest: int
+    split: int
+    buckets: int
+
+    def of(self, ids: pa.Array, texts: list[bytes]) -> np.ndarray:
+        """The chunk of each row. Rows equal in id and text share one."""
+        keys = ids.fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
+        at = np.searchsorted(self.bounds, keys, side="left")
+        held = np.searchsorted(self.bounds, keys, side="right") - at
+        if self.split > 1:
+            ends = np.concatenate(([float(self.lowest)], self.bounds.astype(float), [float(self.highest)]))
+            share = (keys.astype(float) - ends[at]) / np.maximum(ends[at + 1] - ends[at], 1)
+            within = np.clip(share * self.split, 0, self.split - 1).astype(np.int64)
+        else:
+            within = np.zeros(len(keys), np.int64)
+        for i in np.flatnonzero(held > 1).tolist():
+            within[i] = xxhash.xxh3_64_intdigest(texts[i]) * int(held[i]) * self.split >> 64
+        return at * self.split + within
+
+
+def chunks_of(docs: DataFrame, id_col: str, text_col: str) -> Chunks:
+    """Chunks of about ``CHUNK_BYTES`` of text and hash buckets of about ``_BUCKET_BYTES``, so their number follows the table, not the cluster."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(size / CHUNK_BYTES))
+    ranges = min(parts, _RANGES)
+    key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL_ID))
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    bounds, lowest, highest = docs.agg(F.percentile_approx(key, shares, max(10_000, 20 * ranges)), F.min(key), F.max(key)).first()
+    hashes = math.ceil(size * 1.5 / _BUCKET_BYTES)
+    return Chunks(np.array((bounds or []) if ranges > 1 else [], np.int64), lowest or 0, highest or 0, math.ceil(parts / ranges), buckets_of(max(1, hashes)))
 
 
-def id_bounds(docs: DataFrame, id_col: str, parts: int) -> list[int]:
-    """Upper ends of ``parts`` ranges of ids with about as many rows each; a null id counts as the smallest."""
-    if parts < 2:
-        return []
-    shares = [i / parts for i in range(1, parts)]
-    row = docs.agg(F.percentile_approx(F.col(id_col).cast("bigint"), shares, 100 * parts)).first()
-    return sorted(set(row[0] or []))
+def buckets_of(parts: int) -> int:
+    return 1 << (parts - 1).bit_length()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _power, _inverse
-    if len(_power) < n:
-        size = 1 << n.bit_length()
+    """The first ``n`` powers of the base and of its inverse; only those of texts of common length are kept."""
+    if n <= _KEPT_POWERS:
+        power, inverse = _kept_powers()
+        return power[:n], inverse[:n]
+    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, base, np.uint64))), dtype=np.uint64) for base in (_BASE, _INVERSE))
 
-        def powers(base: int) -> np.ndarray:
-            steps = np.full(size, base & (2**64 - 1), np.uint64)
-            steps[0] = 1
-            return np.cumprod(steps, dtype=np.uint64)
 
-        _power, _inverse = powers(_BASE), powers(pow(_BASE, -1, 2**64))
-    return _power[:n], _inverse[:n]
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(_KEPT_POWERS - 1, base, np.uint64))), dtype=np.uint64) for base in (_BASE, _INVERSE))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -103,17 +145,6 @@ def by_bucket(values: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
         begin = end
 
 
-def chunk_of(ids: pa.Array, bounds: list[int]) -> np.ndarray:
-    low = bounds[0] - 1 if bounds else 0
-    return np.searchsorted(np.asarray(bounds, np.int64), ids.fill_null(low).to_numpy(zero_copy_only=False), side="left")
-
-
-def chunk_column(id_col: str, bounds: list[int]):
-    """The chunk of an id, as ``chunk_of`` has it, for tables without texts."""
-    ends = F.array(*[F.lit(b).cast("bigint") for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    return F.coalesce(F.size(F.filter(ends, lambda b: b < F.col(id_col))), F.lit(0))
-
-
 def runs(chunk: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Row numbers of each chunk."""
     order = np.argsort(chunk, kind="stable")
@@ -126,7 +157,7 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def dealt_documents(docs: DataFrame, id_col: str, text_col: str, bounds: list[int]) -> DataFrame:
+def dealt_documents(docs: DataFrame, id_col: str, text_col: str, places: Chunks) -> DataFrame:
     """Documents as compressed rows ``(chunk, payload)``; ``read_documents`` opens a chunk's payloads."""
 
     def deal(batches):
@@ -134,7 +165,7 @@ def dealt_documents(docs: DataFrame, id_col: str, text_col: str, bounds: list[in
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.large_string())
             sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)) if len(texts) else []
-            for number, rows in runs(chunk_of(ids, bounds)):
+            for number, rows in runs(places.of(ids, texts_of(batch.column(1)))):
                 part = np.cumsum(np.asarray(sizes)[rows]) // _PAYLOAD_BYTES
                 for piece in np.split(rows, np.flatnonzero(np.diff(part)) + 1):
                     table = pa.table({"id": ids.take(pa.array(piece)), "text": texts.take(pa.array(piece))})

@@ -44,14 +44,15 @@ def _node(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-def _sign(bounds: list[int], words: int):
+def _sign(places: chunks.Chunks, words: int):
     def sign(batches):
         for batch in batches:
-            sets = [shingles(t, words) for t in chunks.texts_of(batch.column(1))]
+            texts = chunks.texts_of(batch.column(1))
+            sets = [shingles(t, words) for t in texts]
             yield pa.record_batch(
                 {
                     "id": batch.column(0),
-                    "chunk": pa.array(chunks.chunk_of(batch.column(0), bounds), pa.int32()),
+                    "chunk": pa.array(places.of(batch.column(0), texts), pa.int32()),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "node": pa.array([_node(s) for s in sets], pa.binary()),
                 }
@@ -60,14 +61,14 @@ def _sign(bounds: list[int], words: int):
     return sign
 
 
-def _emit(bounds: list[int], buckets: int, words: int):
+def _emit(places: chunks.Chunks, words: int):
     def emit(batches):
         for batch in batches:
             texts = chunks.texts_of(batch.column(1))
-            for number, rows in chunks.runs(chunks.chunk_of(batch.column(0), bounds)):
+            for number, rows in chunks.runs(places.of(batch.column(0), texts)):
                 values, counts = np.unique(np.concatenate([shingles(texts[i], words) for i in rows.tolist()]), return_counts=True)
                 counts = np.minimum(counts, 255).astype(np.uint8)
-                parts = [(b, chunks.pack(values[s]), counts[s].tobytes()) for b, s in chunks.by_bucket(values, buckets)]
+                parts = [(b, chunks.pack(values[s]), counts[s].tobytes()) for b, s in chunks.by_bucket(values, places.buckets)]
                 yield pa.record_batch(
                     {
                         "bucket": pa.array([p[0] for p in parts], pa.int32()),
@@ -331,17 +332,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Fewer words than a shingle has are one shingle. Rows that share an id each give a row. A null id counts as the smallest.
     Other columns are not read.
     """
-    spark = docs.sparkSession
-    parts = chunks.parts_of(spark)
-    bounds = chunks.id_bounds(docs, id_col, parts)
+    places = chunks.chunks_of(docs, id_col, text_col)
     read = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = materialize(read.mapInArrow(_sign(bounds, words), _SETS), "shingle-sets")
-    places = sets.where("n_shingles > 0").groupBy("node").agg(F.collect_set("chunk").alias("chunks")).where("size(chunks) > 1")
-    elsewhere = places.select("node", F.array_min("chunks").alias("home"), F.explode("chunks").alias("chunk")).where("chunk <> home")
-    hashes = read.mapInArrow(_emit(bounds, chunks.buckets_of(parts), words), _BLOBS)
+    sets = materialize(read.mapInArrow(_sign(places, words), _SETS), "shingle-sets")
+    spread = sets.where("n_shingles > 0").groupBy("node").agg(F.collect_set("chunk").alias("chunks")).where("size(chunks) > 1")
+    elsewhere = spread.select("node", F.array_min("chunks").alias("home"), F.explode("chunks").alias("chunk")).where("chunk <> home")
+    hashes = read.mapInArrow(_emit(places, words), _BLOBS)
     reply = hashes.groupBy("bucket").applyInArrow(_shared, _REPLY)
     reply = reply.union(elsewhere.select("chunk", F.lit(None).cast("binary"), F.lit(None).cast("binary"), "node"))
-    dealt = chunks.dealt_documents(docs, id_col, text_col, bounds)
+    dealt = chunks.dealt_documents(docs, id_col, text_col, places)
     docs = dealt.groupBy("chunk").cogroup(reply.groupBy("chunk")).applyInArrow(_candidates(words, percent), _DOCS)
     joined = _labels(materialize(docs, "shingle-candidates"), percent, group_docs)
     smallest = sets.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("least"))

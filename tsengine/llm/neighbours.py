@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -145,19 +146,26 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     Every vector is indexed: the signs of its randomly rotated residual from the mean, the residual's length and its cosine with the
     code. A query estimates all products from the codes; the exact products of its best estimates give a bar, and every vector
     whose estimate plus error bound reaches the bar is compared exactly, in double precision. Blocks of queries meet blocks of vectors.
+    Vectors meet those of their own length; each length has a mean and a rotation of its own.
 
     ``is_query`` is a condition on ``vec_id``. Rows with the query's own id are not its neighbours; with fewer candidates than ``k``
-    all are returned. Null ids, and vectors that are null, empty, zero or hold null or non-finite components, take no part; nor do
-    vectors of another length than most have (the shorter of equally common lengths counts). Of query rows that share an id the smallest vector asks.
-    Other columns are not read.
+    all are returned. Null ids, and vectors that are null, empty, zero or hold null or non-finite components, take no part.
+    Of query rows of one length that share an id the smallest vector asks. Other columns are not read.
     """
     spark = vectors.sparkSession
     picked = materialize(usable(vectors, id_col, vector_col).withColumn("hash", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 31))), "vectors")
-    common = picked.groupBy(F.size("vector").alias("dims")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dims").first()
-    if common is None:
+    lengths = picked.groupBy(F.size("vector").alias("dims")).agg(F.count(F.lit(1)).alias("n")).orderBy("dims").collect()
+    found = [_found_in(picked.where(F.size("vector") == r["dims"]), r["dims"], r["n"], is_query, k, bound) for r in lengths]
+    if not found:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    dims, rows = common["dims"], common["n"]
-    picked = picked.where(F.size("vector") == dims)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = functools.reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found_in(picked: DataFrame, dims: int, rows: int, is_query, k: int, bound: float) -> DataFrame:
+    """The ``k`` best of each cell that a query's block meets, among vectors of one length."""
+    spark = picked.sparkSession
     sums = picked.select(*[F.avg(F.col("vector")[i]).alias(f"c{i}") for i in range(dims)], F.lit(0).alias("z")).first()
     centre, turn = np.array(sums[:dims]), rotation(dims)
     asked = picked.where(is_query)
@@ -168,6 +176,4 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     dealt_rows = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     dealt_queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     cells = ["block", "query_block"]
-    found = dealt_rows.groupBy(*cells).cogroup(dealt_queries.groupBy(*cells)).applyInArrow(_searcher(centre, turn, k, bound), _FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return dealt_rows.groupBy(*cells).cogroup(dealt_queries.groupBy(*cells)).applyInArrow(_searcher(centre, turn, k, bound), _FOUND)

@@ -32,22 +32,25 @@ THRESHOLD = 0.3
 _STEP = 1 << 17
 #: Rows of the word table in one shuffled block.
 _BLOCK = 256
+#: Words whose buckets are remembered while a batch is read.
+_MOST_KNOWN = 1 << 15
 
 _WORD = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
-_known: dict[bytes, int] = {}
 
 
-def word_ids(text: bytes) -> np.ndarray:
-    """Buckets of a text's words: runs of letters, of digits and of other signs."""
-    if len(_known) > 1_000_000:
-        _known.clear()
-    out = []
-    for w in _WORD.findall(text):
-        i = _known.get(w)
+def word_ids(text: bytes, known: dict[bytes, int] | None = None) -> np.ndarray:
+    """Buckets of a text's words: runs of letters, of digits and of other signs. ``known`` remembers words for the next text."""
+    known = {} if known is None else known
+    words = _WORD.findall(text)
+    out = np.empty(len(words), np.int64)
+    for k, w in enumerate(words):
+        i = known.get(w)
         if i is None:
-            i = _known[w] = xxhash.xxh3_64_intdigest(w) % BUCKETS
-        out.append(i)
-    return np.array(out, np.int64)
+            if len(known) >= _MOST_KNOWN:
+                known.clear()
+            i = known[w] = xxhash.xxh3_64_intdigest(w) % BUCKETS
+        out[k] = i
+    return out
 
 
 def index_vectors(seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -62,10 +65,10 @@ def _contexts(batches):
     total = np.zeros(BUCKETS * DIMS, np.int64)
     count = np.zeros(BUCKETS, np.int64)
 
-    def add(words: np.ndarray, doc: np.ndarray) -> None:
-        np.add(count, np.bincount(words, minlength=BUCKETS), out=count)
+    def add(words: np.ndarray, doc: np.ndarray, new: np.ndarray) -> None:
+        np.add(count, np.bincount(words[new], minlength=BUCKETS), out=count)
         for step in range(1, REACH + 1):
-            same = doc[step:] == doc[:-step]
+            same = (doc[step:] == doc[:-step]) & new[step:]
             a, b = words[:-step][same], words[step:][same]
             centre, other = np.concatenate((a, b))[:, None] * DIMS, np.concatenate((b, a))
             for sign, columns in ((1, plus), (-1, minus)):
@@ -73,11 +76,14 @@ def _contexts(batches):
 
     held, size = [], 0
     for batch in batches:
+        known: dict[bytes, int] = {}
         for number, text in enumerate(texts_of(batch.column(0))):
-            ids = word_ids(text)
+            ids = word_ids(text, known)
             for begin in range(0, len(ids), _STEP):
-                part = ids[max(0, begin - REACH) : begin + _STEP] if begin else ids[:_STEP]
-                held.append((part, np.full(len(part), number)))
+                # A later part takes the last words of the one before as context; they are counted there.
+                back = min(begin, REACH)
+                part = ids[begin - back : begin + _STEP]
+                held.append((part, np.full(len(part), number), np.arange(len(part)) >= back))
                 size += len(part)
                 if size >= _STEP:
                     add(*map(np.concatenate, zip(*held, strict=True)))
@@ -123,8 +129,9 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of a document's word vectors, over all its words; zeros without words."""
     out = np.zeros((len(texts), 2 * DIMS))
+    known: dict[bytes, int] = {}
     for row, text in zip(out, texts, strict=True):
-        words = word_ids(text)
+        words = word_ids(text, known)
         if not len(words):
             continue
         first, second = np.zeros(DIMS), np.zeros(DIMS)

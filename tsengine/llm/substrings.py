@@ -15,14 +15,14 @@ _BLOBS = "bucket int, chunk int, hashes binary"
 _RESULT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept_text string"
 
 
-def _emit(bounds: list[int], buckets: int, width: int):
+def _emit(places: chunks.Chunks, width: int):
     def emit(batches):
         for batch in batches:
             texts = chunks.texts_of(batch.column(1))
-            for number, rows in chunks.runs(chunks.chunk_of(batch.column(0), bounds)):
+            for number, rows in chunks.runs(places.of(batch.column(0), texts)):
                 found = [chunks.window_hashes(texts[i].split(), width) for i in rows.tolist()]
                 values = np.unique(np.concatenate(found))
-                parts = [(b, chunks.pack(values[s])) for b, s in chunks.by_bucket(values, buckets)]
+                parts = [(b, chunks.pack(values[s])) for b, s in chunks.by_bucket(values, places.buckets)]
                 yield pa.record_batch(
                     {
                         "bucket": pa.array([b for b, _ in parts], pa.int32()),
@@ -98,12 +98,9 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     an id are ordered by text, so of equal rows the second loses its windows. Other columns of ``docs`` are not read.
     An empty table gives an empty table.
     """
-    spark = docs.sparkSession
-    parts = chunks.parts_of(spark)
-    bounds = chunks.id_bounds(docs, id_col, parts)
-    buckets = chunks.buckets_of(parts)
+    places = chunks.chunks_of(docs, id_col, text_col)
     read = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    hashes = read.mapInArrow(_emit(bounds, buckets, width), _BLOBS)
+    hashes = read.mapInArrow(_emit(places, width), _BLOBS)
     later = hashes.groupBy("bucket").applyInArrow(_later, "chunk int, hashes binary")
-    dealt = chunks.dealt_documents(docs, id_col, text_col, bounds)
+    dealt = chunks.dealt_documents(docs, id_col, text_col, places)
     return dealt.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(_remove(width), _RESULT)

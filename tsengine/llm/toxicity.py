@@ -28,8 +28,6 @@ SEED = 23
 TOXIC_FROM = 0.5
 #: Bytes of the word beginnings that are features of their own, so that inflected and compound words share weights.
 _STEMS = (4, 5, 6, 7)
-#: Occurrences of one feature in a document beyond which it counts no more.
-_MOST = 5
 #: Sample documents that a feature must occur in to get a weight.
 LEAST_DOCS = 8
 
@@ -37,7 +35,7 @@ _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and values: how often each word and word beginning occurs in the whole text, up to ``_MOST``."""
+    """Feature numbers and values: log2(1 + occurrences) of each word and word beginning in the whole text."""
     counts = Counter(_WORD.findall(text.lower()))
     found: Counter = Counter()
     for word, n in counts.items():
@@ -46,7 +44,7 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
             if len(word) >= size:
                 found[xxhash.xxh3_64_intdigest(word[:size], seed=size) % FEATURES] += n
     numbers = np.fromiter(found, np.int32, len(found))
-    return numbers, np.minimum(np.fromiter(found.values(), np.float32, len(found)), _MOST)
+    return numbers, np.log2(1 + np.fromiter(found.values(), np.float32, len(found)))
 
 
 @dataclass
@@ -135,16 +133,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             yield pa.record_batch(
                 {
                     "numbers": pa.array([n.astype("<i4").tobytes() for n, _ in found], pa.binary()),
-                    "counts": pa.array([v.astype(np.uint8).tobytes() for _, v in found], pa.binary()),
+                    "values": pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary()),
                     "key": batch.column(1).cast(pa.int64()),
                     "label": batch.column(2).cast(pa.int32()),
                 }
             )
 
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("bigint").alias("key")).join(F.broadcast(sample), "key")
-    got = rows.select("text", "key", F.col("label").cast("int")).mapInArrow(extract, "numbers binary, counts binary, key bigint, label int").collect()
-    got.sort(key=lambda r: (r["key"], r["numbers"], r["counts"]))
-    sparse = [(np.frombuffer(r["numbers"], "<i4"), np.frombuffer(r["counts"], np.uint8).astype(np.float32)) for r in got]
+    got = rows.select("text", "key", F.col("label").cast("int")).mapInArrow(extract, "numbers binary, values binary, key bigint, label int").collect()
+    got.sort(key=lambda r: (r["key"], r["numbers"], r["values"]))
+    sparse = [(np.frombuffer(r["numbers"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in got]
     grades = np.array([r["label"] for r in got], int)
     if len(grades) and grades.max() == 1:
         grades = severity_grades(sparse, grades)
