@@ -1,7 +1,7 @@
 """The corpus pipeline: documents to packed training sequences, each stage by an operator of ``tsengine.llm``."""
 
 from tsengine.llm import exact, jaccard, mixture, packing, quality, queries
-from tsengine.session import shipped
+from tsengine.session import materialize, shipped
 
 
 def good_quality(spark, docs, sf_dir):
@@ -42,8 +42,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def steps(spark, sf_dir):
+    """``(name, result)`` of each stage; all but the last are written and read back, so no stage works out an earlier one again."""
     docs = queries.table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = materialize(docs, "stage")
+        yield name, docs
+
+
+def run(spark, sf_dir):
+    """Pieces of the packed sequences made from ``documents``.
+
+    Texts that are null or empty are scored, compared and packed as empty ones. Of equal texts the smallest id stays, of rows that repeat an id
+    and a text one; a null id stays only where its text has no other. Extra columns are carried along. An empty table gives no piece.
+    """
+    *_, (_, docs) = steps(spark, sf_dir)
     return docs
