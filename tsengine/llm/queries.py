@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsengine.llm import exact, jaccard, mixture, neighbours, packing, quality, sharding, substrings, token_output, toxicity
+from tsengine.llm import exact, fingerprints, jaccard, mixture, neighbours, packing, phrases, quality, ranked, sharding, substrings, token_output, toxicity
 from tsengine.session import shipped
 
 
@@ -147,6 +147,47 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("matrix_id", "n_rows", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"), "cu_seqlens", "doc_ids", "pieces", "starts")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _terms_sql(text: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+OP11_SQL = f"""with docs as (select doc_id, {_terms_sql("text")} as t from documents),
+totals as (select count(*) as big_n, cast(sum(len(t)) as bigint) as big_l from docs where len(t) > 0),
+asked as (select distinct item_id, unnest({_terms_sql("text")}) as w from benchmark),
+held as (select doc_id, n, w, count(*) as tf from (select doc_id, len(t) as n, unnest(t) as w from docs) where w in (select w from asked) group by all),
+weights as (select w, cast(floor(1000 * ln(cast(2 * big_n + 2 as double) / (2 * df + 1))) as bigint) as weight from (select w, count(*) as df from held group by w), totals),
+scored as (select item_id, doc_id, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * big_n) // big_l)))) as bigint) as score
+ from asked join weights using (w) join held using (w), totals group by all),
+ranked as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from scored where score > 0)
+select * from ranked where rank <= 10"""
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.best_collocations(phrases.collocations(table(spark, sf_dir, "documents")))
+
+
+OP12_SQL = r"""with pieces as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+spoken as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+totals as (select lang, cast(sum(len(words)) as bigint) as n from spoken group by lang),
+grams as (select lang, k, words[s:s + k - 1] as p from (select lang, k, words, unnest(range(1, len(words) - k + 2)) as s from spoken, (values (1), (2), (3)) sizes(k))),
+counted as (select lang, k, p, count(*) as a from grams group by all having count(*) >= 10),
+cuts as (select c.lang, c.k, c.p, c.a, c.cut, l.a as l, r.a as r, cast(1000000 as hugeint) * c.a * c.a // (cast(l.a as hugeint) * r.a) as score
+ from (select *, unnest(range(1, k)) as cut from counted where k > 1) c join counted l on l.lang = c.lang and l.p = c.p[1:c.cut] join counted r on r.lang = c.lang and r.p = c.p[c.cut + 1:]),
+least_cut as (select * from (select *, row_number() over (partition by lang, p order by score, cut) as o from cuts) where o = 1),
+around as (select lang, p, max(a) as most from (select lang, p[1:2] as p, a from counted where k = 3 union all select lang, p[2:3], a from counted where k = 3) group by all),
+kept as (select c.* from least_cut c left join around o on o.lang = c.lang and o.p = c.p where o.most is null or 100 * o.most < 50 * c.a),
+ranked as (select lang, row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank, array_to_string(p, ' ') as phrase, a, l, r, cast(score as bigint) as score from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
+
+
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_toxicity": op2_toxicity,
@@ -158,6 +199,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_output": op10_token_output,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_order_minhash": op13_order_minhash,
 }
 QUERIES = {name: shipped(run) for name, run in QUERIES.items()}
 ORACLES = {
@@ -166,4 +210,6 @@ ORACLES = {
     "op5_source_mixture": OP5_SQL,
     "op6_ngram_jaccard_join": OP6_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op11_ranked_search": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL,
 }
