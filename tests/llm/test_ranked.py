@@ -71,21 +71,20 @@ def shard_index(rng, docs=400, terms=8):
     impacts = {t: rng.integers(1, 50, len(d)).astype(np.int32) for t, d in lists.items()}
     weights = {t: int(rng.integers(1, 90)) for t in lists}
     order = sorted(lists, key=lambda t: (-weights[t], t))
-    row = {"ids": rng.permutation(docs).astype(np.int64).tobytes(), "a": [], "b": [], "sizes": [], "most": [], "docs": b"", "a_impacts": b"", "b_impacts": b""}
+    row = {"ids": rng.permutation(docs).astype(np.int64).tobytes(), "a": [], "b": [], "sizes": [], "most": [], "docs": b"", "impacts": b""}
 
-    def add(a, b, d, x, y, most):
+    def add(a, b, d, x, most):
         for name, v in (("a", a), ("b", b), ("sizes", len(d)), ("most", most)):
             row[name].append(v)
         row["docs"] += d.tobytes()
-        row["a_impacts"] += x.tobytes()
-        row["b_impacts"] += y.tobytes()
+        row["impacts"] += x.tobytes()
 
     for t in lists:
-        add(t, None, lists[t], impacts[t], np.empty(0, np.int32), weights[t] * int(impacts[t].max()))
+        add(t, None, lists[t], impacts[t], weights[t] * int(impacts[t].max()))
     for a, b in zip(order, order[1:]):
         both, i, j = np.intersect1d(lists[a], lists[b], return_indices=True)
-        x, y = impacts[a][i], impacts[b][j]
-        add(a, b, both.astype(np.int32), x, y, int((weights[a] * x + weights[b] * y).max(initial=0)))
+        together = weights[a] * impacts[a][i] + weights[b] * impacts[b][j]
+        add(a, b, both[np.argsort(-together)].astype(np.int32), np.empty(0, np.int32), int(together.max(initial=0)))
     return ranked.ShardIndex(row, weights), order
 
 

@@ -17,7 +17,7 @@ from tsengine.session import materialize
 
 TOP = 10
 #: Bytes of text in a shard of the index, unless one document has more.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Terms of queries (counted per query) that one pass looks for, unless one query has more; more queries take more passes.
 TERMS_AT_ONCE = 200_000
 
@@ -25,7 +25,7 @@ TERMS_AT_ONCE = 200_000
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 _SHARDS = "shard bigint, ids binary, lengths binary, n_documents bigint, n_terms bigint, terms array<bigint>, counts array<bigint>, docs binary, occurrences binary"
-_INDEX = "shard bigint, ids binary, a array<bigint>, b array<bigint>, sizes array<bigint>, most array<bigint>, docs binary, a_impacts binary, b_impacts binary"
+_INDEX = "shard bigint, ids binary, a array<bigint>, b array<bigint>, sizes array<bigint>, most array<bigint>, docs binary, impacts binary"
 _HITS = "item_id bigint, doc_id bigint, score bigint"
 _NO_ID = np.iinfo(np.int64).min
 
@@ -96,30 +96,35 @@ def _row(values: list, schema: str) -> pa.RecordBatch:
     return pa.record_batch([pa.array([v], types[t]) for v, (_, t) in zip(values, fields, strict=True)], [name for name, _ in fields])
 
 
+def _rows(batches):
+    """One shard at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _index(queries: list[tuple], weights: dict[int, int], n_documents: int, n_terms: int):
     """Of each shard a list per term with its documents and impacts, and one per pair of terms that are neighbours in a query with those that hold both.
 
-    ``most`` is the largest weighted impact of a term's list, and of a pair's list the largest sum of both.
+    ``most`` is the largest weighted impact of a term's list, and of a pair's list the largest sum of both. A pair's documents come by falling sum.
     """
     pairs = sorted({pair for _, keys in queries for pair in zip(keys, keys[1:])})
 
     def index(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                m = 10 + 90 * np.frombuffer(row["lengths"], np.int64) * n_documents // max(n_terms, 1)
-                docs, tf = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["occurrences"], np.int32).astype(np.int64)
-                impact = (1_000_000_000 * tf // (1000 * tf + 8 * m[docs])).astype(np.int32)
-                ends = np.cumsum([0, *row["counts"]]).tolist()
-                lists = {t: (docs[b:e], impact[b:e]) for t, b, e in zip(row["terms"], ends[:-1], ends[1:], strict=True)}
-                none = np.empty(0, np.int32)
-                out = [(t, None, d, x, none, weights[t] * int(x.max())) for t, (d, x) in lists.items()]
-                for a, b in pairs:
-                    if a in lists and b in lists:
-                        both, i, j = np.intersect1d(lists[a][0], lists[b][0], assume_unique=True, return_indices=True)
-                        x, y = lists[a][1][i], lists[b][1][j]
-                        out.append((a, b, both, x, y, int((weights[a] * x.astype(np.int64) + weights[b] * y).max()) if len(both) else 0))
-                flat = [b"".join(e[k].tobytes() for e in out) for k in (2, 3, 4)]
-                yield _row([row["shard"], row["ids"], [e[0] for e in out], [e[1] for e in out], [len(e[2]) for e in out], [e[5] for e in out], *flat], _INDEX)
+        for row in _rows(batches):
+            m = 10 + 90 * np.frombuffer(row["lengths"], np.int64) * n_documents // max(n_terms, 1)
+            docs, tf = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["occurrences"], np.int32).astype(np.int64)
+            impact = (1_000_000_000 * tf // (1000 * tf + 8 * m[docs])).astype(np.int32)
+            ends = np.cumsum([0, *row["counts"]]).tolist()
+            lists = {t: (docs[b:e], impact[b:e]) for t, b, e in zip(row["terms"], ends[:-1], ends[1:], strict=True)}
+            out = [(t, None, d, weights[t] * int(x.max())) for t, (d, x) in lists.items()]
+            for a, b in pairs:
+                if a in lists and b in lists:
+                    both, i, j = np.intersect1d(lists[a][0], lists[b][0], assume_unique=True, return_indices=True)
+                    together = weights[a] * lists[a][1][i].astype(np.int64) + weights[b] * lists[b][1][j]
+                    out.append((a, b, both[np.argsort(-together, kind="stable")], int(together.max(initial=0))))
+            docs, impacts = (b"".join(e.tobytes() for e in part) for part in ((e[2] for e in out), (x for _, x in lists.values())))
+            yield _row([row["shard"], row["ids"], [e[0] for e in out], [e[1] for e in out], [len(e[2]) for e in out], [e[3] for e in out], docs, impacts], _INDEX)
 
     return index
 
@@ -131,20 +136,18 @@ class ShardIndex:
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.most: dict[int, int] = {}
-        self.pairs: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        self.pairs: dict[tuple[int, int], np.ndarray] = {}
         self.joint: dict[tuple[int, int], int] = {}
         self.weights = weights
-        docs, x, y = (np.frombuffer(row[c], np.int32) for c in ("docs", "a_impacts", "b_impacts"))
-        begin = second = 0
+        docs, x = (np.frombuffer(row[c], np.int32) for c in ("docs", "impacts"))
+        begin = 0
         for a, b, n, most in zip(row["a"], row["b"], row["sizes"], row["most"], strict=True):
             own = slice(begin, begin + n)
             begin += n
             if b is None:
                 self.lists[a], self.most[a] = (docs[own], x[own]), most
             else:
-                self.pairs[a, b] = docs[own], weights[a] * x[own].astype(np.int64) + weights[b] * y[second : second + n]
-                self.joint[a, b] = most
-                second += n
+                self.pairs[a, b], self.joint[a, b] = docs[own], most
 
     def bounds(self, terms: list[int]) -> list[int]:
         """``bounds[i]``: what ``terms[i:]`` can add to a document at most.
@@ -185,7 +188,7 @@ class ShardIndex:
         if not terms:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         bounds = self.bounds(terms)
-        leads = [d[np.argpartition(-x, min(top, len(x)) - 1)[:top]] for d, x in [self.pairs.get(p, self._none) for p in zip(terms, terms[1:])] if len(d)]
+        leads = [self.pairs[p][:top] for p in zip(terms, terms[1:]) if p in self.pairs]
         leads += [d[np.argpartition(-x, min(top, len(x)) - 1)[:top]] for d, x in (self.lists[t] for t in terms[:3])]
         bar = self._bar(self.scores(terms, np.unique(np.concatenate(leads))), top)
         essential = next((i for i in range(len(terms) + 1) if bounds[i] < bar), len(terms))
@@ -201,8 +204,6 @@ class ShardIndex:
         order = np.lexsort((ids, -total))[:top]
         return ids[order], total[order]
 
-    _none = (np.empty(0, np.int32), np.empty(0, np.int64))
-
     @staticmethod
     def _bar(scores: np.ndarray, top: int) -> int:
         return int(np.partition(scores, -top)[-top]) if len(scores) >= top else 0
@@ -210,13 +211,12 @@ class ShardIndex:
 
 def _search(queries: list[tuple], weights: dict[int, int], top: int):
     def search(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                shard = ShardIndex(row, weights)
-                found = [shard.best(keys, top) for _, keys in queries]
-                items = [item for (item, _), (ids, _) in zip(queries, found, strict=True) for _ in ids]
-                ids, scores = (np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in (0, 1))
-                yield pa.record_batch({"item_id": pa.array(items, pa.int64()), "doc_id": pa.array(ids, mask=ids == _NO_ID), "score": scores})
+        for row in _rows(batches):
+            shard = ShardIndex(row, weights)
+            found = [shard.best(keys, top) for _, keys in queries]
+            items = [item for (item, _), (ids, _) in zip(queries, found, strict=True) for _ in ids]
+            ids, scores = (np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in (0, 1))
+            yield pa.record_batch({"item_id": pa.array(items, pa.int64()), "doc_id": pa.array(ids, mask=ids == _NO_ID), "score": scores})
 
     return search
 
