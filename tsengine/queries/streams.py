@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import functions as F
 
@@ -144,17 +144,43 @@ def streamed_revisions(spark, sf_dir):
     return accepted.withColumn("verdict", F.lit("accepted")).unionByName(rejected.withColumn("verdict", F.lit("rejected")))
 
 
-@query(f"select event_id, ts, value from events where ts < (select max(ts) from events where ts >= timestamp '{_FAR}') - interval '10 day' and ts < timestamp '{_FAR}'")
-def late_event_rejects(spark, sf_dir):
-    """Events landed behind the watermark of a tumbling stream are kept, not lost."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
-    far = F.lit(_FAR).cast("timestamp_ntz")
+_MIDDLE = "2024-01-18"
+_OUTCOMES_SQL = f"""with mark as (select max(ts) - interval '10 day' as mark from events where ts >= timestamp '{_FAR}'),
+ judged as (select e.*, date_trunc('hour', ts) as time, ts >= timestamp '{_FAR}' or date_trunc('hour', ts) + interval '1 hour' > mark as kept from events e, mark)"""
+
+
+def _late_landings(spark, sf_dir):
+    """The newest days land first, then those before them, then the oldest: one stream of three batches."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value").withColumn("series_id", F.col("event_type"))
+    ends = [F.lit(d).cast("timestamp_ntz") for d in (_FAR, _MIDDLE)]
+    landings = (events.where(F.col("ts") >= ends[0]), events.where((F.col("ts") < ends[0]) & (F.col("ts") >= ends[1])), events.where(F.col("ts") < ends[1]))
     folder, rejects, checkpoint = (new_path(spark, n) for n in ("landing", "rejects", "checkpoint"))
-    for i, batch in enumerate((events.where(F.col("ts") >= far), events.where(F.col("ts") < far))):
+    group = FeatureGroup(new_path(spark, "stream"), "hours", 1, HOURLY)
+    partials = {"n": (F.count(F.lit(1)), "sum"), "cents": (F.sum(F.round(F.col("value") * 100).cast("bigint")), "sum")}
+    for i, batch in enumerate(landings):
         batch.write.parquet(f"{folder}/landed={i}")
         stream = ingest.file_stream(spark, f"{folder}/*", "*.parquet", events.schema)
-        _wait(ingest.late_events(stream, HOURLY, "ts", timedelta(days=10), rejects, checkpoint))
-    return spark.read.schema(events.schema).parquet(f"{rejects}/rows").select("event_id", "ts", "value")
+        _wait(ingest.bucket_stream(stream, HOURLY, "ts", partials, timedelta(days=10), group, rejects, checkpoint))
+    return group.read(spark), spark.read.schema(events.schema).parquet(f"{rejects}/rows")
+
+
+@query(f"{_OUTCOMES_SQL} select event_id, ts, value from judged where not kept")
+def late_event_rejects(spark, sf_dir):
+    """Events whose bucket lies behind the watermark of the stream are kept apart, not lost."""
+    return _late_landings(spark, sf_dir)[1].select("event_id", "ts", "value")
+
+
+@query(
+    f"""{_OUTCOMES_SQL} select event_type as series_id, time, case when kept then 'accepted' else 'rejected' end as outcome, count(*) as n,
+ cast(sum(cast(round(value * 100) as bigint)) as bigint) as cents from judged group by 1, 2, 3"""
+)
+def late_event_outcomes(spark, sf_dir):
+    """Three batches, each event once: in its bucket, also in one that straddles the watermark, or with the rejects."""
+    accepted, rejected = _late_landings(spark, sf_dir)
+    late = rejected.groupBy("series_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"))
+    late = late.agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
+    both = accepted.withColumn("outcome", F.lit("accepted")).unionByName(late.withColumn("outcome", F.lit("rejected")))
+    return both.select("series_id", "time", "outcome", "n", "cents")
 
 
 @query(
@@ -170,24 +196,30 @@ def revision_window(spark, sf_dir):
     return accepted.withColumn("verdict", F.lit("accepted")).unionByName(rejected.withColumn("verdict", F.lit("rejected")))
 
 
-# Three batches: hours up to the 8th of all series but one; after a gap of days, hours from the 16th on with the series left out;
-# late hours of the 5th again with other values, and one hour inside the gap.
+# Three batches. All series: hours up to the 8th, those from the 16th on, and then, late, all hours between. Copies of two series, with ids of their own: the first without the
+# hours between (but one), the second only from the 16th on; both have their hours of the 5th in the last batch, with other values.
 _GAP = "(time < timestamp '2024-01-08' or time >= timestamp '2024-01-16' or time = timestamp '2024-01-11 05:00:00')"
+_FIFTH = "time >= timestamp '2024-01-05' and time < timestamp '2024-01-06'"
+_COPIED = ("view", "click")
 _GAPPED_SQL = f"""with raw as ({event_hours_sql(True)}),
- series as (select series_id, time, cast(n as double) as n,
- cast(cents + case when time >= timestamp '2024-01-05' and time < timestamp '2024-01-06' then 7 else 0 end as double) as cents from raw
- where {_GAP} and (series_id <> 'click' or time >= timestamp '2024-01-16' or time >= timestamp '2024-01-05' and time < timestamp '2024-01-06' or time = timestamp '2024-01-11 05:00:00'))"""
+ series as (select series_id, time, cast(n as double) as n, cast(cents as double) as cents from raw
+ union all select series_id || ' copy', time, cast(n as double), cast(cents + case when {_FIFTH} then 7 else 0 end as double) from raw
+ where series_id in {_COPIED} and {_GAP} and (series_id <> 'click' or time >= timestamp '2024-01-16' or {_FIFTH} or time = timestamp '2024-01-11 05:00:00'))"""
 
 
 def gapped_batches(spark, sf_dir):
     hours = event_hours(spark, sf_dir, by_type=True).select(
         "series_id", "time", F.col("n").cast("double").alias("n"), F.col("cents").cast("double").alias("cents")
     )
-    fifth = "time >= timestamp_ntz'2024-01-05' and time < timestamp_ntz'2024-01-06'"
+    copies = hours.where(F.col("series_id").isin(*_COPIED)).withColumn("series_id", F.concat("series_id", F.lit(" copy")))
+    early, late = "time < timestamp_ntz'2024-01-08'", "time >= timestamp_ntz'2024-01-16'"
+    fifth = _FIFTH.replace("timestamp", "timestamp_ntz")
     return (
-        hours.where("time < timestamp_ntz'2024-01-08' and series_id <> 'click'"),
-        hours.where("time >= timestamp_ntz'2024-01-16'"),
-        hours.where(f"{fifth} or time = timestamp_ntz'2024-01-11 05:00:00'").withColumn("cents", F.expr(f"cents + if({fifth}, 7, 0)")),
+        hours.where(early).unionByName(copies.where(f"{early} and series_id <> 'click copy'")),
+        hours.where(late).unionByName(copies.where(late)),
+        hours.where(f"not ({early}) and not ({late})").unionByName(
+            copies.where(f"{fifth} or time = timestamp_ntz'2024-01-11 05:00:00'").withColumn("cents", F.expr(f"cents + if({fifth}, 7, 0)"))
+        ),
     )
 
 
@@ -201,12 +233,14 @@ def incremental_features(spark, sf_dir):
     return rounded(wide.read(spark), NAMES)
 
 
-_ALERT_ENDS = ("2024-01-20 11:00:00", "2024-01-20 14:00:00")
+# The landing is cut every six days from the first day on, at eleven o'clock; the last batch has no end.
+_ALERT_BATCHES, _ALERT_DAYS = 5, 6
 _ALERTS_SQL = (
     feature_sql(SPEC.without_targets(), f"select * from ({HOURS} select series_id, time, cast(n as double) as n, cast(cents as double) as cents from series)", "'1 hour'")
-    + ", ends as ("
-    + " union all ".join(f"select {i}::bigint as batch, timestamp '{t}' as upto, timestamp '{f}' as since" for i, (f, t) in enumerate(zip(("2024-01-01 00:00:00", _ALERT_ENDS[0]), _ALERT_ENDS)))
-    + """), last as (select batch, f.series_id, max(f.time) as time from ends join (select series_id, time from features where n is not null) f on f.time <= upto and (batch = 0 or f.time > since) group by 1, 2),
+    + f""", first as (select date_trunc('day', min(ts)) + interval '11 hour' as t from events),
+ ends as (select i as batch, case when i = 0 then timestamp '1970-01-01' else t + to_days(cast({_ALERT_DAYS} * i as int)) end as since,
+ case when i = {_ALERT_BATCHES - 1} then timestamp '2200-01-01' else t + to_days(cast({_ALERT_DAYS} * (i + 1) as int)) end as upto from range({_ALERT_BATCHES}) r(i), first),
+ last as (select batch, f.series_id, max(f.time) as time from ends join (select series_id, time from features where n is not null) f on f.time <= upto and f.time > since group by 1, 2),
  scored as (select l.batch, f.series_id, f.time, round_even(f.cents, 1) as level, round_even(greatest(0, f.cents + (f.cents_lag_1 - f.cents) * 0.5), 1) as ahead
  from last l join features f on f.series_id = l.series_id and f.time = l.time where f.cents_lag_1 is not null and f.cents_rolling_mean_24 is not null)
  select batch, series_id, time, greatest(level, ahead) as peak, case when greatest(level, ahead) >= 200 then 'severe' when greatest(level, ahead) >= 150 then 'sensitive' else 'none' end as alert from scored"""
@@ -215,7 +249,7 @@ _ALERTS_SQL = (
 
 @query(_ALERTS_SQL)
 def streamed_alerts(spark, sf_dir):
-    """Two batches, each scored at its newest time from all rows so far; the drift model stands in for a trained one."""
+    """The whole table in batches, each scored at its newest time from all rows so far; the drift model stands in for a trained one."""
     hours = event_hours(spark, sf_dir, by_type=True).select(
         "series_id", "time", F.col("n").cast("double").alias("n"), F.col("cents").cast("double").alias("cents")
     )
@@ -226,8 +260,10 @@ def streamed_alerts(spark, sf_dir):
         change = (F.col("cents_lag_1") - F.col("cents")) * 0.5
         return rows.withColumns({change_column("drift", h): change for h in SPEC.horizons})
 
+    first = datetime.combine(table(spark, sf_dir, "events").agg(F.min("ts").cast("timestamp_ntz")).first()[0], time()) + timedelta(hours=11)
     since = F.lit("1970-01-01").cast("timestamp_ntz")
-    for end in _ALERT_ENDS:
+    for i in range(_ALERT_BATCHES):
+        end = first + timedelta(days=_ALERT_DAYS * (i + 1)) if i + 1 < _ALERT_BATCHES else datetime(2200, 1, 1)
         upto = F.lit(end).cast("timestamp_ntz")
         stream = _stream_of(spark, new_path(spark, "landing"), hours.where((F.col("time") > since) & (F.col("time") <= upto)))
         names = ["cents", "cents_lag_1", "cents_rolling_mean_24"]

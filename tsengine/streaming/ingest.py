@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tsengine.series import SeriesKeys
+from tsengine.series import SeriesKeys, floor_time
 from tsengine.session import materialize
 from tsengine.sources.store import FeatureGroup
 
@@ -84,22 +84,52 @@ def revision_stream(stream: DataFrame, group: FeatureGroup, rejects: FeatureGrou
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(commit).start()
 
 
-def late_events(stream: DataFrame, ks: SeriesKeys, event_time: str, lateness: timedelta, rejects: str, checkpoint: str) -> StreamingQuery:
-    """Writes the events that ``tumbling_series`` would find behind its watermark to the folder ``rejects``.
-
-    The watermark of a batch is the newest event time of the batches before it less ``lateness``; it is kept beside the rejected rows.
+def merged_buckets(parts: DataFrame, known: DataFrame, ks: SeriesKeys, merges: dict[str, str]) -> DataFrame:
+    """Partial aggregates of buckets added to those that ``known`` has of the same buckets; ``merges`` says how: sum, min or max."""
+    touched = known.join(parts.select(*ks.columns), ks.columns, "left_semi").select(*ks.columns, *merges)
+    merge = {"sum": F.sum, "min": F.min, "max": F.max}
+    return parts.select(*ks.columns, *merges).unionByName(touched).groupBy(*ks.columns).agg(*[merge[how](c).alias(c) for c, how in merges.items()])
+
+
+def bucket_stream(
+    stream: DataFrame,
+    ks: SeriesKeys,
+    event_time: str,
+    partials: dict[str, tuple[Column, str]],
+    lateness: timedelta,
+    group: FeatureGroup,
+    rejects: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Events into buckets of ``group``, or to the folder ``rejects``: each event has exactly one of the two outcomes.
+
+    The watermark of a batch is the newest event time of all batches before it less ``lateness``, kept beside the rejected rows. An event is late if its whole
+    bucket lies at or before the watermark; events of a bucket that straddles it still count. ``partials`` maps each measure to its aggregate over events and to how
+    two partial results merge. Only the touched buckets are read back, as they were before the batch, so a replayed batch gives the same commit. A null event time is late.
     """
+    end = floor_time(F.col(event_time).cast("timestamp_ntz"), ks.step_seconds) + F.expr(f"interval '{ks.step_seconds}' second")
+    merges = {name: how for name, (_, how) in partials.items()}
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, name = batch.sparkSession, batch_name(checkpoint, batch_id)
         batch = materialize(batch, "events")
         try:
             seen = spark.read.schema("batch_id bigint, newest timestamp_ntz").parquet(f"{rejects}/newest").where(F.col("batch_id") < batch_id)
             newest = seen.agg(F.max("newest")).first()[0]
         except AnalysisException:
             newest = None
-        late = batch.where(F.lit(False)) if newest is None else batch.where(F.col(event_time) < F.lit(newest - lateness).cast("timestamp_ntz"))
-        late.write.mode("overwrite").parquet(f"{rejects}/rows/batch_id={batch_id}")
+        on_time = F.col(event_time).isNotNull()
+        if newest is not None:
+            on_time = F.coalesce(end > F.lit(newest - lateness).cast("timestamp_ntz"), F.lit(False))
+        batch.where(~on_time).write.mode("overwrite").parquet(f"{rejects}/rows/batch_id={batch_id}")
+        buckets = batch.where(on_time).groupBy(*ks.keys, floor_time(F.col(event_time).cast("timestamp_ntz"), ks.step_seconds).alias(ks.time))
+        parts = materialize(buckets.agg(*[c.alias(n) for n, (c, _) in partials.items()]), "partial-buckets")
+        first = parts.agg(F.min(ks.time)).first()[0]
+        if first is not None:
+            number = group.next_commit(spark, name)
+            before = [r["commit_id"] for r in group.markers(spark) if r["commit_id"] < number]
+            known = group.read(spark, before[-1], first) if before else parts.limit(0)
+            group.commit(merged_buckets(parts, known, ks, merges), number, name)
         top = batch.agg(F.max(event_time).cast("timestamp_ntz").alias("newest")).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "newest")
         top.coalesce(1).write.mode("append").parquet(f"{rejects}/newest")
 
