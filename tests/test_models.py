@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import START, hourly
-from tsengine.ml import attribution, boosting, forest, linear, network, saved
+from tsengine.ml import attribution, boosting, forest, linear, network, saved, trees
 from tsengine.ml.frame import fit_scaler, vector_table
 from tsengine.operators import metrics, selection, split
 from tsengine.plans import experiment, live, serve
@@ -105,7 +105,7 @@ def test_learners_beat_persistence(seasonal, data):
         "boosted_b": lambda d: (
             boosting.train_boosted(
                 d.part("vectors", "train"), d.part("vectors", "val"), d.part("vectors", "train"), SPEC, "boosted_b",
-                ({"maxDepth": 3, "stepSize": 0.5},), rounds=4,
+                (boosting.setting(depth=3, rate=0.5),), rounds=4,
             ),
             "vectors",
         ),
@@ -138,35 +138,92 @@ def test_network_does_not_depend_on_layout(data, spark):
     assert np.allclose(first.weights, second.weights, rtol=0, atol=1e-12) and len(first.notes["losses"]) == 2
 
 
-def test_boosting_goes_on_until_patience_ends(data, monkeypatch):
-    asked = []
-
-    class Model:
-        def __init__(self, rounds):
-            self.rounds = rounds
-
-        def evaluateEachIteration(self, rows, loss):
-            return [abs(i - 90) + 1.0 for i in range(self.rounds)]
-
-        def transform(self, df):
-            return df
-
-    class Learner:
-        def __init__(self, rounds):
-            self.rounds = rounds
-
-        def fit(self, rows):
-            asked.append(self.rounds)
-            return Model(self.rounds)
-
-    monkeypatch.setattr(boosting, "booster", lambda label, out, rounds, params: Learner(rounds))
-    done = boosting.train_boosted(None, None, None, SPEC, "b", ({},), refit_threads=1)
-    assert sorted(asked) == sorted([64, 128, 256] * 2 + [91, 91]) and done.notes[6]["rounds"] == 91
+def table_of(n, seed, bins=trees.BINS):
+    rng = np.random.default_rng(seed)
+    b = rng.integers(0, bins, (n, 6)).astype(np.uint8)
+    y = np.where(b[:, 0] > 9, b[:, 1] * 1.0, -3) + b[:, 2] / 5 + rng.normal(size=n)
+    return rng.integers(0, 2**62, n), b, y, np.arange(n) % 5 == 0
+
+
+def test_boosting_stops_when_patience_ends():
+    h, b, y, held = table_of(300, 1)
+    base, grown, losses = boosting.boost(h, b, y, held, boosting.setting(depth=3, rate=0.5), 400, 10, 1)
+    at = boosting.best_round(losses, 10)
+    assert len(grown) == len(losses) == at + 11 < 400 and losses[at] == min(losses)
+    assert base == pytest.approx(y[~held].mean())
+    assert len(boosting.boost(h, b, y, np.zeros(300, bool), boosting.setting(depth=3), 7, 10, 1)[1]) == 7
+
+
+@pytest.mark.parametrize("growth", [trees.Growth(depth=3, penalty=1.0), trees.Growth(depth=3, penalty=2.0, equal=True), trees.Growth(depth=4, least=15)])
+def test_trees_split_where_loops_would(growth):
+    """First split by trying all cuts; leaf values in closed form; rows of a leaf."""
+    _, b, y, _ = table_of(200, 2)
+    tree = trees.grow(b, y, np.ones(200), growth, 3)
+
+    def score(part):
+        return part.sum() ** 2 / (len(part) + growth.penalty) if len(part) else 0.0
+
+    tried = {}
+    for f in range(6):
+        for cut in range(trees.BINS - 1):
+            left, right = y[b[:, f] <= cut], y[b[:, f] > cut]
+            if min(len(left), len(right)) >= growth.least or growth.equal:
+                tried[f, cut] = score(left) + score(right) - score(y)
+    assert tree.gain[0] == pytest.approx(max(tried.values())) and tried[tree.feature[0], tree.cut[0]] == pytest.approx(max(tried.values()))
+    at, values = tree.leaves(b), tree.values(growth)
+    for leaf in set(at.tolist()):
+        own = y[at == leaf]
+        assert tree.rows[leaf] == len(own) >= growth.least and values[leaf] == pytest.approx(own.sum() / (len(own) + growth.penalty))
+    if growth.equal:
+        level = [tree.left[0], tree.right[0]]
+        assert len({(tree.feature[i], tree.cut[i]) for i in level}) == 1
+
+
+def test_boosting_over_tasks_grows_the_same_trees(spark):
+    h, b, y, held = table_of(240, 4)
+    second = np.round(y * 2 - b[:, 3], 3)
+    rows = [(int(i), bytes(r), [float(u), float(v)], bool(o)) for i, r, u, v, o in zip(h, b, y, second, held)]
+    df = spark.createDataFrame(rows, "h bigint, bins binary, y array<double>, held boolean").repartition(3)
+    jobs = [(0, boosting.setting(depth=3, rate=0.5), 4), (1, trees.Growth(depth=2, rate=0.3, penalty=2.0, equal=True), 25)]
+    got = boosting.boost_over_tasks(df, 6, jobs, patience=3)
+    for (label, growth, rounds), (base, grown, losses) in zip(jobs, got, strict=True):
+        want = boosting.boost(h, b, (y, second)[label], held, growth, rounds, 3, boosting.SEED, label)
+        assert base == pytest.approx(want[0]) and np.allclose(losses, want[2])
+        assert [(t.feature, t.cut, t.left) for t in grown] == [(t.feature, t.cut, t.left) for t in want[1]]
+        assert np.allclose(np.concatenate([t.values(growth) for t in grown]), np.concatenate([t.values(growth) for t in want[1]]))
+
+
+def test_boosted_models_of_small_and_large_tables_agree(data, monkeypatch):
+    parts = [data.part("vectors", *p) for p in (("train",), ("val",), ("train", "val"))]
+    one = boosting.train_boosted(*parts, SPEC, "b", (boosting.setting(depth=2, rate=0.5),), rounds=3)
+    two = boosting.train_boosted(*parts, SPEC, "b", (boosting.setting(depth=2, rate=0.5),), rounds=3, local_cells=0)
+    for h in SPEC.horizons:
+        assert one.notes[h] == pytest.approx(two.notes[h])
+        assert [t[0] for t in one.models[h].trees] == [t[0] for t in two.models[h].trees]
+
+
+def test_forest_search_scores_whole_forests(spark, data):
+    """Errors of folds against the mean of all trees; importances from the trees; the chosen draw is the best."""
+    rows = data.part("vectors", "train")
+    space = {"numTrees": (5,), "maxDepth": (2, 4), "minInstancesPerNode": (2,), "featureSubsetStrategy": ("0.5",)}
+    model = forest.train_forest(rows, rows, SPEC, HOURLY, space, draws=2, folds=2)
+    for h in SPEC.horizons:
+        found = [(i, e) for g, i, f, n, e in model.notes["search"] if g == h and n > 0]
+        assert len(found) == 4
+        means = [sum(e for i, e in found if i == k) for k in (0, 1)]
+        assert model.notes[h] == forest.draw(space, 2)[int(np.argmin(means))] and len(model.models[h].trees) == 5
+    again = forest.train_forest(rows.repartition(7), rows, SPEC, HOURLY, space, draws=2, folds=2)
+    assert [r[:4] for r in again.notes["search"]] == [r[:4] for r in model.notes["search"]]
+    assert [r[4] for r in again.notes["search"]] == pytest.approx([r[4] for r in model.notes["search"]])
+    shares = forest.importances(rows, SPEC.features, SPEC, {"numTrees": 6, "maxDepth": 3}).collect()
+    assert len(shares) == len(SPEC.features) * len(SPEC.horizons)
+    for h in SPEC.horizons:
+        assert sum(r["importance"] for r in shares if r["horizon"] == h) == pytest.approx(1)
 
 
 def test_saved_ensemble_predicts_the_same(data, spark, seasonal):
     ridge = linear.train_ridge(data.part("scaled", "train"), SPEC, HOURLY, alphas=(1.0,), folds=2)
-    boosted = boosting.train_boosted(data.part("vectors", "train"), data.part("vectors", "val"), data.part("vectors", "train"), SPEC, "boosted_b", ({"maxDepth": 2},), rounds=2)
+    boosted = boosting.train_boosted(data.part("vectors", "train"), data.part("vectors", "val"), data.part("vectors", "train"), SPEC, "boosted_b", (boosting.setting(depth=2),), rounds=2)
     net = network.train_network(data.part("wide", "train"), data.part("wide", "val"), data.scaler, SPEC.change_targets, SPEC.horizons, hidden=(4,), dropout=(0.0,), epochs=1)
     path = new_path(spark, "ensemble")
     saved.save_ensemble(spark, saved.Ensemble(list(SPEC.features), [("boosted_b", 0.5), ("network", 0.5)], {"boosted_b": boosted, "network": net}), path)
@@ -274,16 +331,24 @@ def brute_force(leaf_list, x):
     return value(set()), out
 
 
-@pytest.mark.parametrize("kind", ["boosted", "forest"])
+@pytest.mark.parametrize("kind", ["boosted", "forest", "spark"])
 def test_attribution_matches_brute_force(spark, kind):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(300, 4))
     y = x[:, 0] * 2 + np.where(x[:, 1] > 0, x[:, 2], -1) + rng.normal(size=300) / 10
     df = spark.createDataFrame([(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))], ["id", "a", "b", "c", "d", "t"])
     rows = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="x").transform(df)
-    learner = boosting.booster("t", "p", 4, {"maxDepth": 3}) if kind == "boosted" else forest.forest("t", "p", {"numTrees": 3, "maxDepth": 4})
-    model = learner.fit(rows)
-    leaf_list = attribution.leaves(*attribution.ensemble_nodes(model, spark))
+    if kind == "spark":
+        model = forest.forest("t", "p", {"numTrees": 3, "maxDepth": 4}).fit(rows)
+    else:
+        edges = trees.bin_edges(rows, "x", 4)
+        table = trees.binned(rows.withColumn("held", F.lit(False)).withColumn("fold", F.lit(-1)), "x", edges, ["t"], ["id"], ["held", "fold"])
+        if kind == "boosted":
+            found = boosting.boosters_in_tasks(table, edges, [(0, boosting.setting(depth=3, rate=0.5), 4)], 50, True).orderBy("tree").collect()
+        else:
+            found = forest.forest_trees(table, edges, [forest.Job(0, forest.growth_of({"numTrees": 3, "maxDepth": 4, "minInstancesPerNode": 1}), 3)]).orderBy("tree").collect()
+        model = trees.TreeModel([[r[c] for c in trees.TREE_NAMES] for r in found], found[0]["base"] if kind == "boosted" else 0.0, "p", "x", mean=kind == "forest")
+    leaf_list = attribution.leaves(*attribution.ensemble_nodes(model, spark)) + [(getattr(model, "base", 0.0), [])]
     got = attribution.attribute(rows, model, ["a", "b", "c", "d"], ["id"]).join(model.transform(rows).select("id", "p"), "id").collect()
     assert len(got) == 300
     for r in got[:5]:

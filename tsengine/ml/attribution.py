@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsengine.ml.frame import VECTOR
+from tsengine.ml.trees import TreeModel
 from tsengine.session import new_path
 
 
@@ -22,6 +23,8 @@ MOST_LEAVES = 500_000
 
 def ensemble_nodes(model, spark) -> tuple[list[dict], dict[int, float]]:
     """(nodes, tree weights) from the model's own saved form; a few thousand nodes, bounded by trees and depth."""
+    if isinstance(model, TreeModel):
+        return _own_nodes(model), dict.fromkeys(range(len(model.trees)), 1.0 / len(model.trees) if model.mean else 1.0)
     path = new_path(spark, "trees")
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
@@ -32,6 +35,14 @@ def ensemble_nodes(model, spark) -> tuple[list[dict], dict[int, float]]:
     return [n.asDict(recursive=True) for n in nodes], dict(enumerate(weights))
 
 
+def _own_nodes(model: TreeModel) -> list[dict]:
+    return [
+        {"treeID": t, "id": i, "leftChild": left, "rightChild": right, "split": {"featureIndex": f, "leftCategoriesOrThreshold": [edge]}, "rawCount": n, "prediction": v}
+        for t, tree in enumerate(model.trees)
+        for i, (f, edge, left, right, v, n, _) in enumerate(zip(*tree, strict=True))
+    ]
+
+
 def leaves(nodes: Sequence[dict], weights: dict[int, float]) -> list[tuple[float, list[tuple[int, float, float, float]]]]:
     """Per leaf (weighted value, [(feature, above, up to, share of rows)]), splits on one feature joined to an interval."""
     trees: dict[int, dict[int, dict]] = {}
@@ -50,7 +61,7 @@ def leaves(nodes: Sequence[dict], weights: dict[int, float]) -> list[tuple[float
             edge = node["split"]["leftCategoriesOrThreshold"][0]
             lo, hi, z = path.get(feature, (float("-inf"), float("inf"), 1.0))
             for child, bounds in ((node["leftChild"], (lo, min(hi, edge))), (node["rightChild"], (max(lo, edge), hi))):
-                share = by_id[child]["rawCount"] / node["rawCount"]
+                share = by_id[child]["rawCount"] / node["rawCount"] if node["rawCount"] else 0.5  # a node of no row is never reached
                 stack.append((child, {**path, feature: (*bounds, z * share)}))
     return found
 
@@ -61,7 +72,7 @@ def attribute(df: DataFrame, model, features: Sequence[str], keys: Sequence[str]
 
     spark = df.sparkSession
     nodes, weights = ensemble_nodes(model, spark)
-    parts = leaves(nodes, weights)
+    parts = leaves(nodes, weights) + [(getattr(model, "base", 0.0), [])]
     if len(parts) > MOST_LEAVES:
         raise ValueError(f"{len(parts)} leaves are too many to broadcast; explain a smaller model")
     shared = spark.sparkContext.broadcast(parts)  # a model of checked size

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tsengine.ml.frame import Forecaster, Scaler, change_column
 from tsengine.ml.linear import Ridge
 from tsengine.ml.network import Network
+from tsengine.ml.trees import TREE_NAMES, TreeModel
 
 _WEIGHTS = "horizon int, weights array<double>, intercept double"
 
@@ -32,7 +33,7 @@ def read_scaler(spark: SparkSession, path: str) -> Scaler:
 
 
 def save_forecaster(spark: SparkSession, model, path: str) -> None:
-    """A network with its scaler, a ridge model, or one Spark model per horizon."""
+    """A network with its scaler, a ridge model, or one tree model per horizon."""
     about = {"name": model.name, "horizons": list(model.horizons), "kind": type(model).__name__}
     if isinstance(model, Network):
         about["sizes"] = list(model.sizes)
@@ -45,7 +46,11 @@ def save_forecaster(spark: SparkSession, model, path: str) -> None:
     else:
         about["classes"] = {str(h): type(m).__name__ for h, m in model.models.items()}
         for h, m in model.models.items():
-            m.write().overwrite().save(f"{path}/horizon={h}")
+            if isinstance(m, TreeModel):
+                m.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/horizon={h}")
+            else:
+                m.write().overwrite().save(f"{path}/horizon={h}")
+        about["trees"] = {str(h): [m.base, m.out, m.vector, m.mean] for h, m in model.models.items() if isinstance(m, TreeModel)}
     _write_json(spark, f"{path}/about", about)
 
 
@@ -58,7 +63,10 @@ def load_forecaster(spark: SparkSession, path: str):
     if about["kind"] == "Ridge":
         rows = spark.read.schema(_WEIGHTS).parquet(f"{path}/weights").collect()  # one row per horizon
         return Ridge(name, horizons, {r["horizon"]: np.array(r["weights"]) for r in rows}, {r["horizon"]: r["intercept"] for r in rows})
-    models = {int(h): getattr(regression, c).load(f"{path}/horizon={h}") for h, c in about["classes"].items()}
+    models = {int(h): getattr(regression, c).load(f"{path}/horizon={h}") for h, c in about["classes"].items() if h not in about["trees"]}
+    for h, how in about["trees"].items():
+        rows = spark.read.parquet(f"{path}/horizon={h}").orderBy("tree").collect()  # a model
+        models[int(h)] = TreeModel([[r[c] for c in TREE_NAMES] for r in rows], *how[:3], mean=how[3])
     return Forecaster(name, horizons, models)
 
 

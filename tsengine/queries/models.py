@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tsengine.functions import scalars as S
-from tsengine.ml import attribution, boosting, forest, linear, network, saved
+from tsengine.ml import attribution, boosting, forest, linear, network, saved, trees
 from tsengine.ml.frame import VECTOR, change_column, fit_scaler, vector_table
 from tsengine.operators import metrics, selection, split
 from tsengine.plans import experiment, live, serve
@@ -34,11 +34,8 @@ def query(sql: str | None = None):
     return add
 
 
-# Ridge and the network run with the library defaults; boosted forecasts run one setting until patience ends. Other tree learners are
-# small here, a finding the README leaves open; library defaults are the full sizes.
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 5, "minInstancesPerNode": 4}
-SMALL_SEARCH = {"numTrees": (8,), "maxDepth": (3, 5), "minInstancesPerNode": (4,), "featureSubsetStrategy": ("sqrt", "0.5")}
-SMALL_BOOST = ({"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},)
+# Learners of a family run with the library defaults: all settings, patience, folds. The README lists what the grid and the ensemble queries leave out.
+SMALL_SEARCH = {"numTrees": (40,), "maxDepth": (10,), "minInstancesPerNode": (4,), "featureSubsetStrategy": ("sqrt",)}
 COMPACT = [
     *FULL.measures,
     *FULL.families()["calendar"],
@@ -85,24 +82,38 @@ def standardised_features(spark, sf_dir):
     return rounded(rows.select("series_id", "time", *scaler.columns()), FULL.features)
 
 
-def _importance(spark, sf_dir, features):
+def _selection_vectors(spark, sf_dir, features):
     rows = split.selection_rows(training_rows(spark, sf_dir), DAILY, HELD_OUT)
     kept = features(rows)
-    vectors = materialize(vector_table(rows, kept, FULL, DAILY), "vectors")
-    return forest.importances(vectors, kept, FULL, SMALL_FOREST)
+    return materialize(vector_table(rows, kept, FULL, DAILY), "vectors"), kept
 
 
-@query("select h.horizon, 188 as features, 1.0 as total from (values (24), (48), (72)) h(horizon)")
+@query("select h.horizon, 188 as features, 1.0 as total, 200 as trees, 0 as wrong_gains, 0 as small_leaves from (values (24), (48), (72)) h(horizon)")
 def forest_importance(spark, sf_dir):
-    """Importance of all candidates per horizon: they sum to 1."""
-    found = _importance(spark, sf_dir, lambda rows: list(FULL.features))
-    return found.groupBy("horizon").agg(F.count("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+    """Importance of all candidates per horizon from 200 trees of depth 12: they sum to 1. Recomputed from the stored trees: a split's gain is what its
+    children's sums give, and no leaf has fewer than four rows."""
+    vectors, kept = _selection_vectors(spark, sf_dir, lambda rows: list(FULL.features))
+    grown = forest.importance_trees(vectors, FULL)
+    horizon = F.element_at(F.array(*[F.lit(h) for h in FULL.horizons]), F.col("job") + 1).alias("horizon")
+    splits = grown.select(horizon, "tree", F.posexplode("feature").alias("node", "f"), "left", "right", "rows", "value", "gain")
+
+    def score(node):
+        return F.get("rows", node) * F.get("value", node) * F.get("value", node)
+
+    gain = score(F.get("left", F.col("node"))) + score(F.get("right", F.col("node"))) - score(F.col("node"))
+    off = (F.col("f") >= 0) & (F.abs(gain - F.get("gain", F.col("node"))) > 1e-6 * (1 + F.abs(score(F.col("node")))))
+    small = (F.col("f") < 0) & (F.get("rows", F.col("node")) < 4) & (F.size("rows") > 1)
+    facts = splits.groupBy("horizon").agg(F.countDistinct("tree").cast("int").alias("trees"), F.count_if(off).cast("int").alias("wrong_gains"), F.count_if(small).cast("int").alias("small_leaves"))
+    shares = forest.tree_importances(grown).select(horizon, "feature", "importance")
+    totals = shares.groupBy("horizon").agg(F.round(F.sum("importance"), 6).alias("total"))
+    return totals.join(facts, "horizon").select("horizon", F.lit(len(kept)).alias("features"), "total", "trees", "wrong_gains", "small_leaves")
 
 
 @query()
 def feature_sets_by_forest(spark, sf_dir):
     """Pruned features, forest importance per horizon, unions of the top features per set size."""
-    return selection.feature_sets(_importance(spark, sf_dir, lambda rows: selection.select_uncorrelated(rows, FULL.features, FULL.change_targets)[0]))
+    vectors, kept = _selection_vectors(spark, sf_dir, lambda rows: selection.select_uncorrelated(rows, FULL.features, FULL.change_targets)[0])
+    return selection.feature_sets(forest.importances(vectors, kept, FULL))
 
 
 @query(_FACTS)
@@ -134,13 +145,22 @@ def ridge_optimality(spark, sf_dir):
     return predicted.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
 
 
-@query(_FACTS)
+def _with_columns(sql: str, columns: str) -> str:
+    return f"select *, {columns} from ({sql})"
+
+
+@query(_with_columns(_FACTS, "24 as fits, 8 as draws, 0 as wrong_choice"))
 def forest_forecast(spark, sf_dir):
+    """Eight draws over three folds per horizon; the draw with the least mean error is the fitted one."""
     data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
-    model = forest.train_forest(
-        data.part("vectors", "train"), data.part("vectors", "train", "val"), FULL, DAILY, SMALL_SEARCH, draws=2, folds=2
-    )
-    return _facts(model, data.part("vectors", "test"), "forest")
+    model = forest.train_forest(data.part("vectors", "train"), data.part("vectors", "train", "val"), FULL, DAILY)
+    candidates = forest.draw(forest.SEARCH_SPACE, forest.DRAWS)
+    search = spark.createDataFrame([(str(h), i, f, float(e)) for h, i, f, _, e in model.notes["search"]], "horizon string, draw int, fold int, rmse double")
+    used = spark.createDataFrame([(str(h), candidates.index(model.notes[h])) for h in FULL.horizons], "horizon string, used int")
+    means = search.groupBy("horizon", "draw").agg(F.count("rmse").alias("fits"), F.avg("rmse").alias("mean"))
+    best = means.groupBy("horizon").agg(F.sum("fits").cast("int").alias("fits"), F.count("draw").cast("int").alias("draws"), F.min_by("draw", F.struct("mean", "draw")).alias("best"))
+    chosen = best.join(used, "horizon").select("horizon", "fits", "draws", (F.col("best") != F.col("used")).cast("int").alias("wrong_choice"))
+    return _facts(model, data.part("vectors", "test"), "forest").join(chosen, "horizon")
 
 
 def _boosted(data, name, grid, rounds=boosting.ROUNDS):
@@ -148,17 +168,36 @@ def _boosted(data, name, grid, rounds=boosting.ROUNDS):
     return boosting.train_boosted(*parts, FULL, name, grid, rounds=rounds)
 
 
-@query(_FACTS)
+def _boosting_facts(spark, data, model, name):
+    """``_facts``, and from the stored losses: settings tried, those whose rounds are not the least loss's or that ended before patience."""
+    search = spark.createDataFrame([(str(h), n, list(losses)) for h, _, n, _, losses in model.notes["search"]], "horizon string, rounds int, losses array<double>")
+    least = F.array_position("losses", F.array_min("losses"))
+    early = (F.size("losses") - F.col("rounds") < boosting.PATIENCE) & (F.size("losses") < boosting.ROUNDS)
+    found = search.groupBy("horizon").agg(F.count("rounds").cast("int").alias("settings"), F.count_if((least != F.col("rounds")) | early).cast("int").alias("wrong_rounds"))
+    return _facts(model, data.part("vectors", "test"), name).join(found, "horizon")
+
+
+@query(_with_columns(_FACTS, "3 as settings, 0 as wrong_rounds"))
 def boosted_forecast_a(spark, sf_dir):
+    """All three settings of the first family, up to 3,000 rounds with patience 50."""
     data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
-    return _facts(_boosted(data, "boosted_a", SMALL_BOOST), data.part("vectors", "test"), "boosted_a")
+    return _boosting_facts(spark, data, _boosted(data, "boosted_a", boosting.FAMILY_A), "boosted_a")
 
 
-@query(_FACTS)
+@query(_with_columns(_FACTS, "3 as settings, 0 as wrong_rounds, 0.0 as leaf_difference"))
 def boosted_forecast_b(spark, sf_dir):
+    """All three settings of the second family. ``leaf_difference``: the values of the first tree against their closed form, the rate times the
+    sum of residuals over rows plus penalty, taken from the fitted rows."""
     data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
-    grid = ({"maxDepth": 3, "stepSize": 0.2, "minInstancesPerNode": 3},)
-    return _facts(_boosted(data, "boosted_b", grid), data.part("vectors", "test"), "boosted_b")
+    model = _boosted(data, "boosted_b", boosting.FAMILY_B)
+    rows, parts = data.part("vectors", "train", "val"), []
+    for h in FULL.horizons:
+        m, how = model.models[h], model.notes[h]
+        first = trees.TreeModel(m.trees[:1], 0.0, "_leaf", VECTOR).transform(rows)
+        value = how["rate"] * F.sum(F.col(FULL.change_target_name(h)) - F.lit(m.base)) / (F.count(F.lit(1)) + F.lit(how["penalty"]))
+        leaves = first.groupBy("_leaf").agg(value.alias("_again"))
+        parts.append(leaves.agg(F.lit(str(h)).alias("horizon"), (F.round(F.max(F.abs(F.col("_leaf") - F.col("_again"))), 6) + F.lit(0.0)).alias("leaf_difference")))
+    return _boosting_facts(spark, data, model, "boosted_b").join(parts[0].union(parts[1]).union(parts[2]), "horizon")
 
 
 def _network(data, **how):
@@ -176,10 +215,10 @@ def _small_trainers():
     return {
         "ridge": lambda d: (linear.train_ridge(d.part("scaled", "train"), FULL, DAILY), "scaled"),
         "forest": lambda d: (
-            forest.train_forest(d.part("vectors", "train"), d.part("vectors", "train"), FULL, DAILY, {k: v[:1] for k, v in SMALL_SEARCH.items()}, draws=1),
+            forest.train_forest(d.part("vectors", "train"), d.part("vectors", "train"), FULL, DAILY, SMALL_SEARCH, draws=1),
             "vectors",
         ),
-        "boosted_b": lambda d: (_boosted(d, "boosted_b", SMALL_BOOST, rounds=2), "vectors"),
+        "boosted_b": lambda d: (_boosted(d, "boosted_b", boosting.FAMILY_B[:1]), "vectors"),
         "network": lambda d: (_network(d, shards=2), "wide"),
     }
 
@@ -208,7 +247,7 @@ def experiment_grid(spark, sf_dir):
 def _ensemble(spark, sf_dir):
     """The deployed pair over all candidates, fitted, saved and read back from its folder."""
     data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
-    models = {"boosted_b": _boosted(data, "boosted_b", SMALL_BOOST, rounds=4), "network": _network(data, shards=2)}
+    models = {"boosted_b": _boosted(data, "boosted_b", boosting.FAMILY_B), "network": _network(data, shards=2)}
     path = new_path(spark, "ensemble")
     saved.save_ensemble(spark, saved.Ensemble(list(FULL.features), list(experiment.ENSEMBLE), models), path)
     return data, models, saved.load_ensemble(spark, path)
@@ -337,7 +376,7 @@ def forecast_alerts(spark, sf_dir):
 
 def _attributed(spark, sf_dir):
     data = experiment.prepare(split_rows(spark, sf_dir), FULL.features, FULL, DAILY)
-    model = _boosted(data, "boosted_b", SMALL_BOOST, rounds=6).models[24]
+    model = _boosted(data, "boosted_b", boosting.FAMILY_B[:1]).models[24]
     test = data.part("vectors", "test")
     return attribution.attribute(test, model, FULL.features, DAILY.columns), model.transform(test)
 
