@@ -68,13 +68,13 @@ def test_intervals_of_both_sides_stay_together():
             assert np.searchsorted(ranks, c * len(fm.after) + row) == starts[c] + (fm.after[:row] == c).sum()
 
 
-@pytest.mark.parametrize("shard_words", [50, 1 << 20])
-def test_collocations_equal_loops(spark, shard_words):
+@pytest.mark.parametrize("shard_bytes", [300, 1 << 23])
+def test_collocations_equal_loops(spark, shard_bytes):
     rows = corpus()
     docs = spark.createDataFrame([(g, t, "x", 1, "r") for g, t in rows], "lang string, text string, phrase string, n int, row string").repartition(3)
-    got = phrases.best_collocations(phrases.collocations(docs, shard_words=shard_words)).collect()
+    got = phrases.best_collocations(phrases.collocations(docs, shard_bytes=shard_bytes)).collect()
     assert sorted(map(tuple, got)) == report(rows, 10)
-    few = phrases.best_collocations(phrases.collocations(docs, least=3, shard_words=shard_words), top=7).collect()
+    few = phrases.best_collocations(phrases.collocations(docs, least=3, shard_bytes=shard_bytes), top=7).collect()
     assert sorted(map(tuple, few)) == report(rows, 3, top=7)
 
 

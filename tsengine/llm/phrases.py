@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,8 @@ INSIDE_PERCENT = 50
 TOP = 2000
 #: Language of rows without one.
 NO_LANG = "und"
-#: Words of one language in a shard, unless one document has more.
-SHARD_WORDS = 1 << 20
+#: Bytes of one language's texts in a shard, unless one document has more.
+SHARD_BYTES = 6 << 20
 #: Bits of a phrase's hash. Equal hashes only bring a phrase to the exact count that needs none; no phrase is lost.
 _HASH_BITS = 48
 _BUCKET_BYTES = 32 << 20
@@ -69,7 +70,7 @@ class FMIndex:
     after: np.ndarray
 
     @classmethod
-    def build(cls, texts: list[list[bytes]], depth: int = MOST_WORDS) -> FMIndex:
+    def build(cls, texts: Iterable[list[bytes]], depth: int = MOST_WORDS) -> FMIndex:
         known: dict[bytes, int] = {b".": 0}
         ids = [0]
         for words in texts:
@@ -142,33 +143,30 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
-def _build(shard_words: int, depth: int):
-    """Documents ``(lang, text)`` of a task to one index per language and ``shard_words`` words."""
+def _build(shard_bytes: int, depth: int):
+    """Documents ``(lang, text)`` of a task to one index per language and ``shard_bytes`` of text."""
 
     def build(batches):
         number = TaskContext.get().partitionId() << 32
-        held: dict[str, list[list[bytes]]] = {}
+        held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
 
         def index(lang: str):
             nonlocal number
-            texts = held.pop(lang)
-            fm = FMIndex.build(texts, depth)
-            n = sum(len(t) - t.count(b".") for t in texts)
+            fm = FMIndex.build(map(words_of, held.pop(lang)), depth)
             number += 1
-            row = {"shard": [number - 1], "lang": [lang], "n": [n], "rows": [len(fm.before)], "words": [b"\n".join(fm.words)], "before": [_packed(fm.before)], "after": [_packed(fm.after)]}
+            row = {"shard": [number - 1], "lang": [lang], "n": [int(np.count_nonzero(fm.before))], "rows": [len(fm.before)], "words": [b"\n".join(fm.words)], "before": [_packed(fm.before)], "after": [_packed(fm.after)]}
             sizes[lang] = 0
             return pa.record_batch([pa.array(v, pa.binary() if isinstance(v[0], bytes) else None) for v in row.values()], list(row))
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), chunks.texts_of(batch.column(1)), strict=True):
-                words = words_of(text)
-                if not words:
-                    continue
-                held.setdefault(lang, []).append(words)
-                sizes[lang] = sizes.get(lang, 0) + len(words)
-                if sizes[lang] >= shard_words:
-                    yield index(lang)
+            langs = batch.column(0).to_pylist()
+            for lang, text in zip(langs, chunks.texts_of(batch.column(1)), strict=True):
+                if text:
+                    held.setdefault(lang, []).append(text)
+                    sizes[lang] = sizes.get(lang, 0) + len(text)
+                    if sizes[lang] >= shard_bytes:
+                        yield index(lang)
         for lang in sorted(held):
             yield index(lang)
 
@@ -193,7 +191,8 @@ def _counted(buckets: int, most: int, least: int):
 
     def count(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 fm = _opened(row)
                 parts = [(_hashes(row["lang"], fm, ids), np.minimum(n, least).astype(np.uint8)) for ids, n in fm.phrases(most)]
                 values, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -246,7 +245,8 @@ def _spelled(most: int):
     def spell(shard: pa.Table, reply: pa.Table) -> pa.Table:
         out = []
         known = np.sort(np.concatenate([chunks.unpack(b) for b in reply["hashes"].to_pylist()] or [np.empty(0, np.uint64)]))
-        for row in shard.to_pylist() if len(known) else ():
+        for i in range(shard.num_rows if len(known) else 0):
+            row = shard.slice(i, 1).to_pylist()[0]
             fm = _opened(row)
             for ids, n in fm.phrases(most):
                 values = _hashes(row["lang"], fm, ids)
@@ -260,10 +260,10 @@ def _spelled(most: int):
     return spell
 
 
-def shards_of(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", shard_words: int = SHARD_WORDS, most: int = MOST_WORDS) -> DataFrame:
+def shards_of(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", shard_bytes: int = SHARD_BYTES, most: int = MOST_WORDS) -> DataFrame:
     """The written index: one row per shard, a share of one language's documents of one task."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    return materialize(rows.mapInArrow(_build(shard_words, most), _SHARDS), "phrase-index")
+    return materialize(rows.mapInArrow(_build(shard_bytes, most), _SHARDS), "phrase-index")
 
 
 def frequent_phrases(shards: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
@@ -282,7 +282,7 @@ def frequent_phrases(shards: DataFrame, least: int = LEAST, most: int = MOST_WOR
     return spelled.groupBy("lang", "phrase", "size").agg(F.sum("found").alias("found")).where(F.col("found") >= least)
 
 
-def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, most: int = MOST_WORDS, inside_percent: int = INSIDE_PERCENT, shard_words: int = SHARD_WORDS) -> DataFrame:
+def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, most: int = MOST_WORDS, inside_percent: int = INSIDE_PERCENT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``(lang, phrase, size, a, l, r, n, score)`` of the phrases of 2 to ``most`` words that occur ``least`` times and are not part of a longer one.
 
     A text is cut at ``.,;:!?`` and line ends into pieces, these at blanks into words. ``a`` counts all occurrences of the phrase within pieces, ``l`` and ``r``
@@ -293,7 +293,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     Null texts and texts without words count nothing; a null language is ``und``. Repeated rows count each. An empty table gives no row.
     Other columns are not read. Scores are by language, so the same phrase may be in several.
     """
-    shards = shards_of(docs, lang_col, text_col, shard_words, most)
+    shards = shards_of(docs, lang_col, text_col, shard_bytes, most)
     totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
     counted = materialize(frequent_phrases(shards, least, most), "phrase-counts")
     candidates = counted.where("size > 1").withColumnRenamed("found", "a")
