@@ -13,9 +13,9 @@ COMPONENTS = 48
 TOKENS = 3
 #: A token is a run of at most 12 characters with the blanks after it, so the tokens of a text are the whole text.
 TOKEN = "[^\\x20\\x09-\\x0D]{1,12}[\\x20\\x09-\\x0D]{0,4}|[\\x20\\x09-\\x0D]{1,4}"
-#: Bytes of text in a chunk of documents and in a partition of chunks, and chunks at most; beyond 128 GB the chunks grow.
-_CHUNK_BYTES = 2 << 20
-_PARTITION_BYTES = 8 << 20
+#: Bytes of text in a chunk of documents and in a partition of chunks, and chunks at most; beyond 64 GB the chunks grow.
+_CHUNK_BYTES = 1 << 20
+_PARTITION_BYTES = 4 << 20
 _CHUNKS = 1 << 16
 #: Ranges of ids that quantiles find at most, each cut into even parts; one comparison step of the search for a range.
 _RANGES = 1 << 12
@@ -75,14 +75,15 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     place = F.array(F.struct("chunk", F.lit(False).alias("copy")), F.struct(F.col("back").alias("chunk"), F.lit(True).alias("copy")))
     dealt = met.select("id", "key", "own", "text", F.inline(F.when(F.col("back").isNull(), F.slice(place, 1, 1)).otherwise(place)))
     dealt = dealt.repartition(max(1, math.ceil(size / _PARTITION_BYTES)), "chunk")
-    order = Window.partitionBy("chunk").orderBy("copy", "key", "own", "text")
+    # The id decides nothing here; it keeps the columns of all uses alike, so that the texts are shuffled once.
+    order = Window.partitionBy("chunk").orderBy("copy", "key", "own", "text", "id")
     return dealt.select("chunk", F.row_number().over(order).alias("place"), "copy", "id", "text", F.coalesce(F.lead("text").over(order), F.lit("")).alias("following"))
 
 
 def order_minhash(texts: DataFrame, keys: list[str], text_col: str, components: int = COMPONENTS, tokens: int = TOKENS) -> DataFrame:
-    """``keys`` and ``components``, an array of 32-bit numbers, of each text that has a token; ``keys`` tell the texts apart.
+    """``keys`` and ``components``, an array of 32-bit numbers, of each text; ``keys`` tell the texts apart.
 
-    The k-mers of a text are its runs of ``tokens`` tokens (a shorter text is one), numbered by occurrence, so that repeated ones differ.
+    The k-mers of a text are its runs of ``tokens`` tokens (a shorter or empty text is one), numbered by occurrence, so that repeated ones differ.
     Component ``j`` deals the numbered k-mers into two classes by bit ``j`` of their hash, selects the minimum of each class under
     its own order, and hashes the two selected k-mers in the order they have in the text. Two texts agree in a component if they share both minima and their order.
     """
@@ -91,8 +92,8 @@ def order_minhash(texts: DataFrame, keys: list[str], text_col: str, components:
     found = texts.select(*keys, F.regexp_extract_all(text_col, F.lit(TOKEN), F.lit(0)).alias("token"))
     n = F.greatest(F.size("token") - (tokens - 1), F.lit(1))
     runs = F.arrays_zip(*[F.slice("token", F.lit(i + 1), n).alias(f"t{i}") for i in range(tokens)])
-    rows = found.select(*keys, F.posexplode(runs).alias("place_in_text", "run"))
-    rows = rows.select(*keys, "place_in_text", F.xxhash64(*[F.col("run")[f"t{i}"] for i in range(tokens)]).alias("kmer"))
+    rows = found.select(*keys, F.posexplode_outer(runs).alias("place_in_text", "run"))
+    rows = rows.select(*keys, F.coalesce("place_in_text", F.lit(0)).alias("place_in_text"), F.xxhash64(*[F.col("run")[f"t{i}"] for i in range(tokens)]).alias("kmer"))
     occurrence = F.row_number().over(Window.partitionBy(*keys, "kmer").orderBy("place_in_text"))
     mask = (1 << _PLACE_BITS) - 1
     rows = rows.select(*keys, F.least("place_in_text", F.lit(mask)).cast("bigint").alias("at"), F.xxhash64("kmer", occurrence).alias("h"))
@@ -108,7 +109,7 @@ def order_minhash(texts: DataFrame, keys: list[str], text_col: str, components:
         a, b = F.col(f"m{j}_0"), F.col(f"m{j}_1")
         x, y = F.shiftright(a, _PLACE_BITS), F.shiftright(b, _PLACE_BITS)
         first = F.coalesce(a.bitwiseAND(F.lit(mask)) <= b.bitwiseAND(F.lit(mask)), F.lit(True))
-        return F.xxhash64(F.lit(j), F.when(first, x).otherwise(y), F.when(first, y).otherwise(x), first).bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.shiftright(F.xxhash64(F.lit(j), F.when(first, x).otherwise(y), F.when(first, y).otherwise(x), first), 32).cast("int")
 
     return minima.select(*keys, F.array(*[component(j) for j in range(components)]).alias("components"))
 
@@ -122,7 +123,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Per document: id, ``n_chars``, the hash of its edited text, fingerprints of both, and their likeness to it and to the next document.
 
     The edited text ends in the beginning of the next document (see ``edited``), in ascending order of ids; after the last comes the first, and a lone document
-    follows itself. Rows that share an id are in the order of their texts' hashes. A null id comes first. A null text is an empty one; an empty text has a fingerprint of zeros.
+    follows itself. Rows that share an id are in the order of their texts' hashes. A null id comes first. A null text is an empty one; all empty texts have one fingerprint.
     Other columns are not read. An empty table gives an empty table.
     """
     keys = ["chunk", "place", "which"]
@@ -133,14 +134,13 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = ordered.select("chunk", "place", F.inline(F.when(F.col("copy"), F.slice(both, 1, 1)).otherwise(both)))
     signed = order_minhash(texts, keys, "t", components, tokens)
     pairs = signed.groupBy("chunk", "place").agg(*[F.first(F.when(F.col("which") == w, F.col("components")), ignorenulls=True).alias(f"c{w}") for w in (0, 1)])
-    facts = ordered.select("chunk", "place", "copy", "id", n.cast("bigint").alias("n_chars"), F.sha2(changed, 256).alias("edited_sha256"))
-    none = F.array_repeat(F.lit(0).cast("bigint"), components)
-    rows = facts.join(pairs, ["chunk", "place"], "left").select(*facts.columns, *[F.coalesce(f"c{w}", none).alias(f"c{w}") for w in (0, 1)])
-    following = F.lead("c0").over(Window.partitionBy("chunk").orderBy("place"))
-    rows = rows.withColumn("next", following).where(~F.col("copy"))
+    # Neighbours are still in one partition here: the next document's components need no shuffle of their own.
+    pairs = pairs.withColumn("following", F.lead("c0").over(Window.partitionBy("chunk").orderBy("place")))
+    facts = ordered.where(~F.col("copy")).select("chunk", "place", "id", n.cast("bigint").alias("n_chars"), F.sha2(changed, 256).alias("edited_sha256"))
+    rows = facts.join(pairs, ["chunk", "place"])
 
     def text(c: str) -> Column:
-        return F.array_join(F.transform(c, lambda x: F.lpad(F.hex(x), 8, "0")), "")
+        return F.array_join(F.transform(c, lambda x: F.lpad(F.hex(x.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
 
     return rows.select(
         F.col("id").alias(id_col),
@@ -149,5 +149,5 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         text("c0").alias("fingerprint"),
         text("c1").alias("edited_fingerprint"),
         likeness(F.col("c0"), F.col("c1"), components).alias("near_edited"),
-        likeness(F.col("c0"), F.col("next"), components).alias("near_next"),
+        likeness(F.col("c0"), F.col("following"), components).alias("near_next"),
     )
