@@ -147,6 +147,20 @@ class Tree:
             for column, v in zip((self.feature, self.cut, self.left, self.right, self.total, self.rows, self.gain), (-1, 0, -1, -1, total, rows, 0.0), strict=True):
                 column.append(v)
 
+    def settle(self, totals: np.ndarray, rows: np.ndarray, growth: Growth) -> None:
+        """Sums and gains anew from the sums of the leaves, free of the rounding of histograms."""
+        self.total, self.rows = totals.tolist(), rows.tolist()
+        least = max(growth.penalty, 1e-12)
+
+        def score(i: int) -> float:
+            return self.total[i] ** 2 / (self.rows[i] + least)
+
+        for i in range(len(self.feature) - 1, -1, -1):  # children come after their parent
+            if self.feature[i] >= 0:
+                a, b = self.left[i], self.right[i]
+                self.total[i], self.rows[i] = self.total[a] + self.total[b], self.rows[a] + self.rows[b]
+                self.gain[i] = score(a) + score(b) - score(i)
+
     def values(self, growth: Growth) -> np.ndarray:
         return np.array(self.total) / (np.array(self.rows) + max(growth.penalty, 1e-12))
 
@@ -241,6 +255,7 @@ def grow(bins: np.ndarray, g: np.ndarray, w: np.ndarray, growth: Growth, *seeds:
         at = np.where(split, np.where(goes_left, np.array(tree.left)[at], np.array(tree.right)[at]), at)
         if not active:
             break
+    tree.settle(np.bincount(at, w * g, len(tree.feature)), np.bincount(at, w, len(tree.feature)), growth)
     return tree
 
 
