@@ -15,9 +15,13 @@ from tsengine.series import SeriesKeys
 from tsengine.session import materialize
 
 
-def live_times(history: DataFrame, live: DataFrame, ks: SeriesKeys, now: datetime) -> DataFrame:
-    """Per series of either table ``_now``: ``now``, or the series' last time when it ends earlier, floored to a step."""
-    both = history.select(*ks.columns).unionByName(live.select(*ks.columns))
+def live_times(history: DataFrame, live: DataFrame, ks: SeriesKeys, now: datetime, ends: DataFrame | None = None) -> DataFrame:
+    """Per series of either table ``_now``: ``now``, or the series' last time when it ends earlier, floored to a step.
+
+    Given ``ends`` (series, ``last``) of the history, as a feature group keeps them, the history is not read.
+    """
+    past = history.select(*ks.columns) if ends is None else ends.select(*ks.keys, F.col("last").alias(ks.time))
+    both = past.unionByName(live.select(*ks.columns))
     return now_times(both, ks, now, "_now")
 
 
@@ -30,15 +34,15 @@ def merge_live(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: Serie
     return dedup_by_key(both, ks.columns, "_seq", "last").drop("_seq")
 
 
-def live_features(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: SeriesKeys, now: datetime) -> DataFrame:
+def live_features(history: DataFrame, live: DataFrame, spec: FeatureSpec, ks: SeriesKeys, now: datetime, ends: DataFrame | None = None) -> DataFrame:
     """One row per series at ``now`` (or its last step when it ends earlier) with every feature of ``spec``.
 
     A series without a row at that step, such as one whose only row lies off the grid, comes with null features, so
-    ``model_inputs`` rejects it by name. Series ends come from keys and times alone. Both tables are cut to the steps that windows reach
+    ``model_inputs`` rejects it by name. Series ends come from ``ends`` where given (see ``live_times``), else from keys and times alone. Both tables are cut to the steps that windows reach
     before rows are merged, by bounds on the time that reach the scan and by each series' own now.
     """
     spec = spec.without_targets()
-    at = materialize(live_times(history, live, ks, now), "live-times")
+    at = materialize(live_times(history, live, ks, now, ends), "live-times")
     first, last = at.agg(F.min("_now"), F.max("_now")).first()  # two times
     if first is None:
         return build_features(merge_live(history, live, spec, ks), spec, ks)

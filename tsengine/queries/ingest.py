@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsengine.functions import scalars as S
@@ -118,6 +120,38 @@ def group_read_since(spark, sf_dir):
     return _two_commits(spark, sf_dir).read(spark, since=datetime(2000, 1, 1))
 
 
+def _state_sql(as_of: int) -> str:
+    """Rows after so many of the commits of ``_snapshots``; a later addition wins."""
+    known = ["time < timestamp '1999-07-01'", "time >= timestamp '1998-01-01'", "pm10 % 3 = 0"][:as_of]
+    added = ["0", "1000", "-5"][:as_of]
+    cases = " ".join(f"when {k} then us_aqi + {a}" for k, a in reversed(list(zip(known, added, strict=True))))
+    return f"select {as_of} as as_of, series_id, time, case {cases} end as us_aqi, pm10 from series where {' or '.join(known)}"
+
+
+def _snapshots(spark, sf_dir) -> FeatureGroup:
+    """Two overlapping commits, a snapshot of both, a third commit and a second snapshot."""
+    group = _two_commits(spark, sf_dir)
+    group.snapshot(spark)
+    days = lineitem_days(spark, sf_dir).select("series_id", "time", "us_aqi", "pm10")
+    group.commit(days.where("pm10 % 3 = 0").withColumn("us_aqi", F.col("us_aqi") - 5), 3)
+    group.snapshot(spark)
+    return group
+
+
+@query(DAYS + " " + " union all ".join(_state_sql(i) for i in (1, 2, 3)))
+def snapshot_reads(spark, sf_dir):
+    """The group as of a commit before the first snapshot, at it and at the second one."""
+    group = _snapshots(spark, sf_dir)
+    states = [group.read(spark, as_of=i).select(F.lit(i).alias("as_of"), "series_id", "time", "us_aqi", "pm10") for i in (1, 2, 3)]
+    return functools.reduce(DataFrame.unionByName, states)
+
+
+@query(f"{DAYS} select series_id, min(time) as first, max(time) as last from series group by 1")
+def group_ends(spark, sf_dir):
+    """First and last time of each series from the summaries kept with snapshots and commits, without reading rows."""
+    return _snapshots(spark, sf_dir).ends(spark)
+
+
 @query(f"{DAYS} select series_id, time, us_aqi, lead(us_aqi, 24) over (partition by series_id order by time) as target_aqi_24 from ({grid_sql('series', chr(39) + '1 day' + chr(39), ['us_aqi'])}) series")
 def feature_view_read(spark, sf_dir):
     """The group's columns without the change target; the level target is the label."""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import atexit
 import functools
+import os
 import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
@@ -85,10 +87,45 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Deletes the intermediates that this application has written so far. Call it when their results have been used."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        delete_folder(spark, path)
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(Hadoop file system, its path object) of ``path``."""
     context = spark.sparkContext
-    for path in _written.pop(context.applicationId, []):
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, place = file_system(spark, path)
+    files.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none where it does not exist."""
+    files, place = file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()] if files.exists(place) else []
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates the empty file ``path`` and tells whether this call made it: of several writers exactly one gets True."""
+    files, place = file_system(spark, path)
+    files.mkdirs(place.getParent())
+    if files.getScheme() == "file":  # Hadoop's local file system looks first and creates then
+        try:
+            os.close(os.open(place.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        files.create(place, False).close()
+    except Py4JJavaError:
+        if files.exists(place):
+            return False
+        raise
+    return True
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Sequence
 
@@ -9,6 +10,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tsengine.session import claim
+
 FEATURE_LIST = "set_name string, pos int, feature string"
 
 
@@ -73,14 +76,31 @@ def registry_rows(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.schema(REGISTRY).parquet(path)
+        return spark.read.schema(REGISTRY).parquet(path).select(*[c.split()[0] for c in REGISTRY.split(", ")])
     except AnalysisException:
         return spark.createDataFrame([], REGISTRY)
 
 
 def register_model(spark: SparkSession, path: str, name: str, metrics: dict[str, float], artifact_path: str, description: str = "") -> int:
-    """Appends the next version of ``name`` and returns it."""
+    """Appends the next version of ``name`` and returns it.
+
+    The number is claimed by creating its file, so two writers never get the same one; each writes its row to a folder of its own. A writer
+    lost after its claim leaves a gap.
+    """
     newest = registry_rows(spark, path).where(F.col("name") == name).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-    row = [(name, newest + 1, description, artifact_path, {k: float(v) for k, v in metrics.items()})]
-    spark.createDataFrame(row, REGISTRY).coalesce(1).write.mode("append").parquet(path)
-    return newest + 1
+    key = hashlib.sha256(name.encode()).hexdigest()
+    version = newest + 1
+    while not claim(spark, f"{path}/_claims/{key}/version={version}"):
+        version += 1
+    row = [(name, version, description, artifact_path, {k: float(v) for k, v in metrics.items()})]
+    spark.createDataFrame(row, REGISTRY).coalesce(1).write.parquet(f"{path}/entry={key}-{version}")
+    return version
+
+
+def registered(spark: SparkSession, path: str, name: str, version: int | None = None):
+    """The row of one version of ``name``, or of its newest."""
+    rows = registry_rows(spark, path).where(F.col("name") == name)
+    found = (rows if version is None else rows.where(F.col("version") == version)).orderBy(F.desc("version")).first()
+    if found is None:
+        raise ValueError(f"no model {name}" + ("" if version is None else f" of version {version}"))
+    return found

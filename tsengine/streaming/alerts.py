@@ -49,7 +49,8 @@ def score_stream(
         since = min(now, oldest_end) - timedelta(seconds=ks.step_seconds * (spec.back + 1))
         touched = batch.select(*ks.keys).distinct()
         past = raw.read(spark, since=since).join(touched, list(ks.keys), "left_semi")
-        ready, missing = model_inputs(live_features(past, batch, spec, ks, now), features, spec, ks)
+        ends = raw.ends(spark).join(touched, list(ks.keys), "left_semi")
+        ready, missing = model_inputs(live_features(past, batch, spec, ks, now, ends), features, spec, ks)
         rejects.commit(missing.select(*ks.columns, "null_columns"), rejects.next_commit(spark, name), name)
         forecast = forecast_table(predict(ready), components, spec, ks, spec.horizons)
         scored = alert_table(forecast, ks).withColumn("batch_id", F.lit(batch_id).cast("bigint"))

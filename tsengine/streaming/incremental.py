@@ -11,19 +11,22 @@ from tsengine.session import materialize
 from tsengine.sources.store import FeatureGroup
 
 
-def changed_ranges(changes: DataFrame, series: DataFrame, ks: SeriesKeys, spec: FeatureSpec) -> DataFrame:
+def changed_ranges(changes: DataFrame, raw: FeatureGroup, ks: SeriesKeys, spec: FeatureSpec) -> DataFrame:
     """Per touched series the times whose features a change can reach, ``_from`` to ``_to``, and its ``first`` and ``last`` time.
 
     Targets and leads look ahead, lags look back. A change after, before or inside a gap also makes the grid rows up
-    to the next row on either side. ``series`` is the whole group after the change; only its keys and times are read.
+    to the next row on either side. ``raw`` is the group after the change. Neighbours and series ends come from its day summaries; rows are
+    read only of the dates that hold a series' first or last change, and of them only keys and times.
     """
     touched = changes.groupBy(*ks.keys).agg(F.min(ks.time).alias("_min"), F.max(ks.time).alias("_max"))
-    t = F.col(ks.time)
-    around = series.select(*ks.columns).join(touched, list(ks.keys)).groupBy(*ks.keys, "_min", "_max").agg(
-        F.max(F.when(t < F.col("_min"), t)).alias("_before"),
-        F.min(F.when(t > F.col("_max"), t)).alias("_after"),
-        F.min(t).alias("first"),
-        F.max(t).alias("last"),
+    spark, t = changes.sparkSession, F.col(ks.time)
+    days = raw.days(spark).select(*ks.keys, "first", "last")
+    near = raw.times(spark, raw.edge_dates(changes)).select(*ks.keys, t.alias("first"), t.alias("last"))
+    around = days.unionByName(near).join(touched, list(ks.keys)).groupBy(*ks.keys, "_min", "_max").agg(
+        F.max(F.when(F.col("last") < F.col("_min"), F.col("last"))).alias("_before"),
+        F.min(F.when(F.col("first") > F.col("_max"), F.col("first"))).alias("_after"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
     )
     start = F.least(F.col("_min") - ks.steps(spec.ahead), F.col("_before") + ks.steps(1))
     end = F.greatest(F.col("_max") + ks.steps(spec.back), F.col("_after") - ks.steps(1))
@@ -49,16 +52,15 @@ def apply_changes(
 ) -> None:
     """One batch (one row per key): changes into the raw group, then the reached features into the feature group.
 
-    The measures of raw rows before the oldest one any changed window needs are never read: their directories are pruned. A
-    series' very first row anchors its grid, so aligned series are required.
+    Raw rows outside the span that any changed window needs are never read: their directories are pruned. A series' very first row anchors its grid, so aligned series are required.
     """
     if not ks.aligned:
         raise ValueError("incremental features need an aligned grid")
     spark = changes.sparkSession
     changes = materialize(changes.select(*ks.columns, *spec.measures), "changes")
     raw.commit(changes, commit_id, batch)
-    ranges = materialize(changed_ranges(changes, raw.log(spark), ks, spec), "ranges")
-    oldest = ranges.agg((F.min("_from") - ks.steps(spec.back)).alias("t")).first()["t"]
+    ranges = materialize(changed_ranges(changes, raw, ks, spec), "ranges")
+    oldest, newest = ranges.agg(F.min("_from") - ks.steps(spec.back), F.max("_to") + ks.steps(spec.ahead)).first()
     if oldest is None:
         return
-    features.commit(recompute(raw.read(spark, since=oldest), ranges, spec, ks), commit_id, batch)
+    features.commit(recompute(raw.read(spark, since=oldest, until=newest), ranges, spec, ks), commit_id, batch)

@@ -66,7 +66,7 @@ def upsert_stream(stream: DataFrame, group: FeatureGroup, checkpoint: str) -> St
 def revision_stream(stream: DataFrame, group: FeatureGroup, rejects: FeatureGroup, checkpoint: str, window: timedelta = REVISION_WINDOW) -> StreamingQuery:
     """Like ``upsert_stream`` for bucketed rows, but rows older than a series' newest time less ``window`` go to ``rejects``.
 
-    No row is lost: each is in one group or the other. The newest times are those of the group before the batch.
+    No row is lost: each is in one group or the other. The newest times are those of the group before the batch, from its day summaries.
     """
     ks = group.ks
 
@@ -74,9 +74,9 @@ def revision_stream(stream: DataFrame, group: FeatureGroup, rejects: FeatureGrou
         spark, name = batch.sparkSession, batch_name(checkpoint, batch_id)
         batch = materialize(batch, "revisions")
         number = group.next_commit(spark, name)
-        known = [r["commit_id"] for r in group.markers(spark) if r["commit_id"] < number]
-        past = group.log(spark, known[-1]).select(*ks.columns) if known else batch.select(*ks.columns).limit(0)
-        newest = past.groupBy(*ks.keys).agg(F.max(ks.time).alias("_newest"))
+        before = group.last_commit(spark, number)
+        past = group.ends(spark, before) if before else batch.select(*ks.keys, F.col(ks.time).alias("last")).limit(0)
+        newest = past.select(*ks.keys, F.col("last").alias("_newest"))
         accepted, rejected = split_revisions(batch, ks, newest, window)
         rejects.commit(rejected.drop("_newest"), rejects.next_commit(spark, name), name)
         group.commit(accepted.drop("_newest"), number, name)
@@ -124,11 +124,11 @@ def bucket_stream(
         batch.where(~on_time).write.mode("overwrite").parquet(f"{rejects}/rows/batch_id={batch_id}")
         buckets = batch.where(on_time).groupBy(*ks.keys, floor_time(F.col(event_time).cast("timestamp_ntz"), ks.step_seconds).alias(ks.time))
         parts = materialize(buckets.agg(*[c.alias(n) for n, (c, _) in partials.items()]), "partial-buckets")
-        first = parts.agg(F.min(ks.time)).first()[0]
+        first, last = parts.agg(F.min(ks.time), F.max(ks.time)).first()
         if first is not None:
             number = group.next_commit(spark, name)
-            before = [r["commit_id"] for r in group.markers(spark) if r["commit_id"] < number]
-            known = group.read(spark, before[-1], first) if before else parts.limit(0)
+            before = group.last_commit(spark, number)
+            known = group.read(spark, before, first, last) if before else parts.limit(0)
             group.commit(merged_buckets(parts, known, ks, merges), number, name)
         top = batch.agg(F.max(event_time).cast("timestamp_ntz").alias("newest")).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "newest")
         top.coalesce(1).write.mode("append").parquet(f"{rejects}/newest")
