@@ -359,6 +359,30 @@ def test_attribution_matches_brute_force(spark, kind):
     assert top.count() == 600 and top.where("rank = 1").select(F.min("impact")).first()[0] >= 0
 
 
+def test_attribution_of_a_model_in_slices(spark, monkeypatch):
+    """Deep trees in many slices: base and contributions add up to the prediction and are those of one slice."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 12))
+    y = x[:, 0] * x[:, 1] + np.sin(3 * x[:, 2]) + rng.normal(size=2000) / 5
+    df = spark.createDataFrame([(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))], ["id", *[f"f{j}" for j in range(12)], "t"])
+    rows = VectorAssembler(inputCols=[f"f{j}" for j in range(12)], outputCol="x").transform(df)
+    edges = trees.bin_edges(rows, "x", 12)
+    table = trees.binned(rows.withColumn("held", F.lit(False)).withColumn("fold", F.lit(-1)), "x", edges, ["t"], ["id"], ["held", "fold"])
+    growth = forest.growth_of({"numTrees": 6, "maxDepth": 12, "minInstancesPerNode": 1})
+    found = forest.forest_trees(table, edges, [forest.Job(0, growth, 6)]).orderBy("tree").collect()
+    model = trees.TreeModel([[r[c] for c in trees.TREE_NAMES] for r in found], 0.0, "p", "x", mean=True)
+    assert max(len(t[0]) for t in model.trees) > 1000
+    few = rows.where("id < 40")
+    whole = {r["id"]: r for r in attribution.attribute(few, model, [f"f{j}" for j in range(12)], ["id"]).collect()}
+    monkeypatch.setattr(attribution, "SLICE_NODES", 2500)
+    monkeypatch.setattr(attribution, "_CELLS", 5000)
+    assert len(list(attribution.compact_trees(model, spark))) >= 3
+    for r in attribution.attribute(few, model, [f"f{j}" for j in range(12)], ["id"]).join(model.transform(few).select("id", "p"), "id").collect():
+        assert r["base"] + sum(r["values"]) == pytest.approx(r["p"], abs=1e-9)
+        assert np.allclose(r["values"], whole[r["id"]]["values"]) and r["base"] == pytest.approx(whole[r["id"]]["base"])
+    assert attribution.attribute(rows.limit(0), model, [f"f{j}" for j in range(12)], ["id"]).count() == 0
+
+
 def test_live_row_equals_training_row(spark):
     """The row built at now from history and a live window is the training row of that hour."""
     rng = random.Random(9)

@@ -2,23 +2,28 @@
 
 A tree is a sum over its leaves, and a leaf is a product over the distinct features on its path: 1 or 0 when the
 feature is known (the row passes all its splits or not) and the share of training rows that passed when it is not. The
-Shapley value of such a product has a closed form over subset sizes, evaluated for a whole Arrow batch at once.
+Shapley value of such a product is an integral of a polynomial, evaluated for many rows and leaves at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsengine.ml.frame import VECTOR
 from tsengine.ml.trees import TreeModel
-from tsengine.session import new_path
+from tsengine.session import materialize, new_path
 
 
-#: Leaves of a model that is sent to every task, about 1 kB each. Larger forests are refused rather than cut.
-MOST_LEAVES = 500_000
+#: Nodes of the trees that are sent to every task at a time, 36 bytes each.
+SLICE_NODES = 1_000_000
+#: Nodes whose path tables a task keeps for its next batch, about 200 bytes each; those of larger slices are made tree by tree.
+_HELD_NODES = 200_000
+#: Numbers in the arrays over rows, leaves and path features.
+_CELLS = 1 << 18
 
 
 def ensemble_nodes(model, spark) -> tuple[list[dict], dict[int, float]]:
@@ -66,52 +71,138 @@ def leaves(nodes: Sequence[dict], weights: dict[int, float]) -> list[tuple[float
     return found
 
 
-def attribute(df: DataFrame, model, features: Sequence[str], keys: Sequence[str], vector: str = VECTOR) -> DataFrame:
-    """(keys, base, values) where ``values[i]`` is the contribution of feature ``i`` and base + sum = prediction."""
-    from pyspark.ml.functions import vector_to_array
+def compact_trees(model, spark) -> Iterator[list[tuple]]:
+    """The model in slices of at most ``SLICE_NODES`` nodes (or one tree): (weight, feature, threshold, left, right, value, rows) per tree.
 
-    spark = df.sparkSession
-    nodes, weights = ensemble_nodes(model, spark)
-    parts = leaves(nodes, weights) + [(getattr(model, "base", 0.0), [])]
-    if len(parts) > MOST_LEAVES:
-        raise ValueError(f"{len(parts)} leaves are too many to broadcast; explain a smaller model")
-    shared = spark.sparkContext.broadcast(parts)  # a model of checked size
-    width = len(features)
-    names = list(keys)
-    rows = df.select(*names, vector_to_array(vector).alias("_x"))
+    A model saved by Spark is read back slice by slice, so no more than one slice is on its way.
+    """
+    if isinstance(model, TreeModel):
+        weight = 1.0 / len(model.trees) if model.mean else 1.0
+        for group in _sliced([len(t[0]) for t in model.trees]):
+            yield [_arrays(weight, *model.trees[i][:6]) for i in group]
+        return
+    path = new_path(spark, "trees")
+    model.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    sizes = dict(nodes.groupBy("treeID").count().collect())  # one number per tree
+    weights = [1.0 / model.getNumTrees] * model.getNumTrees if type(model).__name__.startswith("RandomForest") else list(model.treeWeights)
+    edge = F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("edge")
+    numbers = sorted(sizes)
+    for group in _sliced([sizes[n] for n in numbers]):
+        wanted = [numbers[i] for i in group]
+        part = nodes.where(F.col("treeID").isin(wanted)).select("treeID", "id", "split.featureIndex", edge, "leftChild", "rightChild", "prediction", "rawCount")
+        table = part.toPandas().sort_values(["treeID", "id"])
+        yield [_arrays(weights[n], *(g[c].to_numpy() for c in table.columns[2:])) for n, g in table.groupby("treeID")]
+
+
+def _arrays(weight: float, feature, threshold, left, right, value, rows) -> tuple:
+    types = (np.int32, float, np.int32, np.int32, float, float)
+    return (weight, *(np.nan_to_num(np.asarray(c, float)).astype(t) for c, t in zip((feature, threshold, left, right, value, rows), types, strict=True)))
+
+
+def _sliced(sizes: Sequence[int]) -> Iterator[list[int]]:
+    group, held = [], 0
+    for i, n in enumerate(sizes):
+        if group and held + n > SLICE_NODES:
+            yield group
+            group, held = [], 0
+        group.append(i)
+        held += n
+    if group:
+        yield group
+
+
+def path_tables(tree: tuple) -> list[tuple[np.ndarray, ...]]:
+    """A tree's leaves by number of distinct features on their path: (value, feature, above, up to, share of rows), one line per leaf."""
+    weight, feature, threshold, left, right, value, rows = tree
+    found: dict[int, list] = {}
+    stack = [(0, {})]
+    while stack:
+        at, path = stack.pop()
+        a, b = int(left[at]), int(right[at])
+        if a < 0:
+            found.setdefault(len(path), []).append((weight * value[at], [(f, *cell) for f, cell in path.items()]))
+            continue
+        f, edge = int(feature[at]), threshold[at]
+        lo, hi, z = path.get(f, (-np.inf, np.inf, 1.0))
+        for child, bounds in ((a, (lo, min(hi, edge))), (b, (max(lo, edge), hi))):
+            share = rows[child] / rows[at] if rows[at] else 0.5  # a node of no row is never reached
+            stack.append((child, {**path, f: (*bounds, z * share)}))
+    tables = []
+    for m, leaf in sorted(found.items()):
+        cells = np.array([c for _, c in leaf], float).reshape(len(leaf), m, 4)
+        tables.append((np.array([v for v, _ in leaf]), cells[..., 0].astype(np.int64), cells[..., 1], cells[..., 2], cells[..., 3]))
+    return tables
+
+
+def add_contributions(x: np.ndarray, table: tuple[np.ndarray, ...], total: np.ndarray) -> float:
+    """Adds the leaves of ``table`` to ``total`` (rows by features) and returns their part of the base.
+
+    The weight k! (m - 1 - k)! / m! of a subset of k others is the integral of t**k (1 - t)**(m - 1 - k) over 0..1, so a feature's value is
+    (known - unknown) times the integral of the product of the others' ``known t + unknown (1 - t)``: a polynomial that Gauss nodes
+    integrate exactly, with positive terms only.
+    """
+    value, feature, above, up_to, share = table
+    m = feature.shape[1]
+    base = float(value @ share.prod(axis=1))
+    if not m:
+        return base
+    nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+    nodes, weights = (nodes + 1) / 2, weights / 2
+    step = max(1, _CELLS // (m * len(value)))
+    order = np.argsort(feature.ravel(), kind="stable")
+    owner = feature.ravel()[order]
+    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    for begin in range(0, len(x), step):
+        part = x[begin : begin + step]
+        cell = part[:, feature]
+        known = (cell > above) & (cell <= up_to)
+        inside = np.zeros(known.shape)
+        for t, w in zip(nodes, weights, strict=True):
+            factor = np.maximum(np.where(known, t, 0.0) + share * (1 - t), 1e-30)
+            inside += w * factor.prod(axis=2, keepdims=True) / factor
+        inside *= (known - share) * value[:, None]
+        total[begin : begin + step, owner[starts]] += np.add.reduceat(inside.reshape(len(part), -1)[:, order], starts, axis=1)
+    return base
 
-    def run(batches):
-        from math import factorial
 
-        import numpy as np
+def attribute(df: DataFrame, model, features: Sequence[str], keys: Sequence[str], vector: str = VECTOR) -> DataFrame:
+    """(keys, base, values) where ``values[i]`` is the contribution of feature ``i`` and base + sum = prediction.
+
+    The model reaches the tasks in slices of bounded size, and each slice adds to the rows' sums. With several slices the sums are
+    written between them, so a model may have any number of leaves, and rows never meet in a shuffle.
+    """
+    from pyspark.ml.functions import vector_to_array
 
+    spark, width, names = df.sparkSession, len(features), list(keys)
+    start = F.lit(float(getattr(model, "base", 0.0)))
+    rows = df.select(*names, vector_to_array(vector).alias("_x"), start.alias("base"), F.array_repeat(F.lit(0.0), width).alias("values"))
+    fields = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
+    slices = compact_trees(model, spark)
+    trees = next(slices, None)
+    while trees is not None:
+        rows = rows.mapInPandas(_add_slice(spark.sparkContext.broadcast(trees), width), fields)  # at most SLICE_NODES nodes, or one tree
+        trees = next(slices, None)
+        if trees is not None:
+            rows = materialize(rows, "contributions")
+    return rows.drop("_x")
+
+
+def _add_slice(shared, width: int):
+    def run(batches):
+        held = [t for tree in shared.value for t in path_tables(tree)] if sum(len(t[1]) for t in shared.value) <= _HELD_NODES else None
         for pdf in batches:
-            x = np.stack(pdf["_x"].to_numpy()) if len(pdf) else np.zeros((0, width))
-            total, base = np.zeros((len(x), width)), 0.0
-            for value, path in shared.value:
-                m = len(path)
-                zero = np.array([z for *_, z in path])
-                base += value * zero.prod()
-                if not m:
-                    continue
-                one = np.stack([(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi, _ in path], axis=1).astype(float)
-                chance = [factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)]
-                for i in range(m):
-                    # coefficient k: sum over subsets of size k of the other features
-                    known = np.zeros((len(x), m))
-                    known[:, 0] = 1.0
-                    for j in range(m):
-                        if j != i:
-                            known[:, 1:] = known[:, 1:] * zero[j] + known[:, :-1] * one[:, j : j + 1]
-                            known[:, 0] *= zero[j]
-                    total[:, path[i][0]] += value * (one[:, i] - zero[i]) * (known @ chance)
-            out = pdf[names].copy()
-            out["base"] = base
-            out["values"] = list(total)
-            yield out
-
-    fields = ", ".join(f"`{n}` {t}" for n, t in rows.select(*names).dtypes)
-    return rows.mapInPandas(run, f"{fields}, base double, values array<double>")
+            if not len(pdf):
+                yield pdf
+                continue
+            x, total, base = np.stack(pdf["_x"].to_numpy()), np.stack(pdf["values"].to_numpy()).reshape(len(pdf), width).copy(), 0.0
+            for table in held if held is not None else (t for tree in shared.value for t in path_tables(tree)):
+                base += add_contributions(x, table, total)
+            pdf["base"] += base
+            pdf["values"] = list(total)
+            yield pdf
+
+    return run
 
 
 def top_drivers(attributions: DataFrame, features: Sequence[str], keys: Sequence[str], k: int = 10) -> DataFrame:
