@@ -14,11 +14,12 @@ from helpers import START, hourly
 from tsengine.ml import attribution, boosting, forest, linear, network, saved, trees
 from tsengine.ml.frame import fit_scaler, vector_table
 from tsengine.operators import metrics, selection, split
-from tsengine.plans import experiment, live, serve
+from tsengine.plans import experiment, live, serve, winners
 from tsengine.plans.feature_plan import FeatureSpec, build_features, training_table
 from tsengine.queries import models
 from tsengine.series import HOURLY
 from tsengine.session import materialize, new_path
+from tsengine.sources import metadata
 
 SPEC = FeatureSpec(level="v", prefix="v", measures=("v",), lags=(1, 12, 24), windows=(6, 24), stats=("mean",), horizons=(6, 12))
 
@@ -124,6 +125,56 @@ def test_learners_beat_persistence(seasonal, data):
     assert done.best().first()["mean_rmse"] == min(rmse.values())
 
 
+def test_an_aborted_grid_goes_on_and_its_winner_serves(spark, seasonal):
+    fitted = []
+
+    def ridge(d):
+        fitted.append(("ridge", len(d.features)))
+        return linear.train_ridge(d.part("scaled", "train"), SPEC, HOURLY, alphas=(1.0,), folds=2), "scaled"
+
+    def trees_of(d):
+        fitted.append(("boosted_b", len(d.features)))
+        parts = d.part("vectors", "train"), d.part("vectors", "val"), d.part("vectors", "train")
+        return boosting.train_boosted(*parts, SPEC, "boosted_b", (boosting.setting(depth=3, rate=0.5),), rounds=4), "vectors"
+
+    def wide_net(d):
+        fitted.append(("network", len(d.features)))
+        how = {"hidden": (8,), "dropout": (0.0,), "epochs": 2, "shards": 2}
+        return network.train_network(d.part("wide", "train"), d.part("wide", "val"), d.scaler, SPEC.change_targets, SPEC.horizons, **how), "wide"
+
+    def lost(d):
+        raise RuntimeError("lost")
+
+    sets = {"all": list(SPEC.features), "few": [SPEC.level, *SPEC.features[-3:]]}
+    ledger = winners.Ledger(new_path(spark, "ledger"))
+    with pytest.raises(RuntimeError, match="lost"):
+        experiment.run_experiment(seasonal, sets, SPEC, HOURLY, {"ridge": ridge, "boosted_b": lost}, ledger=ledger)
+    done = experiment.run_experiment(seasonal, sets, SPEC, HOURLY, {"ridge": ridge, "boosted_b": trees_of, "network": wide_net}, ledger=ledger)
+    assert [m for m, _ in fitted] == ["ridge", "boosted_b", "network", "ridge", "boosted_b", "network"]
+    again = experiment.run_experiment(seasonal, sets, SPEC, HOURLY, {"ridge": lost, "boosted_b": lost, "network": lost}, ledger=ledger)
+    assert {tuple(r) for r in again.summary().collect()} == {tuple(r) for r in done.summary().collect()}
+    lines = spark.read.parquet(f"{ledger.path}/done")
+    assert lines.count() == 2 * 3 * 2 and lines.select("feature_set", "model", "horizon").distinct().count() == 12
+    with pytest.raises(ValueError, match="other rows"):
+        experiment.run_experiment(seasonal, {"all": list(SPEC.features[:-1])}, SPEC, HOURLY, {"ridge": ridge}, ledger=ledger)
+
+    registry, root = new_path(spark, "registry"), new_path(spark, "artifacts")
+    assert winners.publish_winner(spark, again, sets, HOURLY, registry, "winner", root) == 1
+    served = winners.load_registered(spark, registry, "winner")
+    best = done.best().first()
+    assert (served.record["feature_set"], served.record["model"]) == (best["feature_set"], best["model"]) and served.features == sets[best["feature_set"]]
+    assert served.record["evaluated"]["predictions"] == seasonal.where("split = 'val'").count() * 2 and set(served.record["by_horizon"]) == {"6", "12"}
+    # each model in turn as the winner: rows scored from the registry are those of the grid
+    for version, model in enumerate(("ridge", "boosted_b", "network", "ensemble", "persistence"), start=2):
+        only = experiment.Experiment(done.predictions.where((F.col("feature_set") == "few") & (F.col("model") == model)), done.models, done.served, done.ensemble)
+        assert winners.publish_winner(spark, only, sets, HOURLY, registry, "winner", root) == version
+        scored = winners.load_registered(spark, registry, "winner", version).forecast(seasonal.where("split = 'val'").drop("split"), SPEC, HOURLY)
+        want = only.predictions.select("series_id", "time", F.col("horizon").cast("int"), F.bround(F.greatest("predicted", F.lit(0.0)), 1).alias("want"))
+        both = scored.join(want, ["series_id", "time", "horizon"])
+        assert both.count() == want.count() and both.where("abs(predicted_level - want) > 0.11").count() == 0
+    assert metadata.registry_rows(spark, registry).count() == 6
+
+
 def test_network_does_not_depend_on_layout(data, spark):
     def fit(rows, batch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)

@@ -19,11 +19,11 @@ from tsengine.ml.trees import TREE_NAMES, TreeModel
 _WEIGHTS = "horizon int, weights array<double>, intercept double"
 
 
-def _write_json(spark: SparkSession, path: str, value: dict) -> None:
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
     spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def _read_json(spark: SparkSession, path: str) -> dict:
+def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
 
 
@@ -51,11 +51,11 @@ def save_forecaster(spark: SparkSession, model, path: str) -> None:
             else:
                 m.write().overwrite().save(f"{path}/horizon={h}")
         about["trees"] = {str(h): [m.base, m.out, m.vector, m.mean] for h, m in model.models.items() if isinstance(m, TreeModel)}
-    _write_json(spark, f"{path}/about", about)
+    write_json(spark, f"{path}/about", about)
 
 
 def load_forecaster(spark: SparkSession, path: str):
-    about = _read_json(spark, f"{path}/about")
+    about = read_json(spark, f"{path}/about")
     name, horizons = about["name"], tuple(about["horizons"])
     if about["kind"] == "Network":
         weights = np.array(spark.read.schema(_WEIGHTS).parquet(f"{path}/weights").first()["weights"])
@@ -88,11 +88,11 @@ class Ensemble:
 def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
     for name, model in ensemble.models.items():
         save_forecaster(spark, model, f"{path}/models/{name}")
-    _write_json(spark, f"{path}/ensemble", {"features": ensemble.features, "components": ensemble.components, "models": list(ensemble.models)})
+    write_json(spark, f"{path}/ensemble", {"features": ensemble.features, "components": ensemble.components, "models": list(ensemble.models)})
 
 
 def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
-    about = _read_json(spark, f"{path}/ensemble")
+    about = read_json(spark, f"{path}/ensemble")
     models = {name: load_forecaster(spark, f"{path}/models/{name}") for name in about["models"]}
     return Ensemble(about["features"], [(m, float(w)) for m, w in about["components"]], models)
 

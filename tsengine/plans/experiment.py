@@ -13,6 +13,7 @@ from tsengine.ml import boosting, forest, linear, network
 from tsengine.ml.frame import VECTOR, Scaler, change_column, fit_scaler, vector_table
 from tsengine.operators.metrics import horizon_means, regression_metrics, winner
 from tsengine.plans.feature_plan import FeatureSpec
+from tsengine.plans.winners import Ledger, rows_mark
 from tsengine.series import SeriesKeys
 from tsengine.session import materialize
 
@@ -95,6 +96,9 @@ def default_trainers() -> dict[str, Callable[[SetData], tuple[object, str]]]:
 class Experiment:
     predictions: DataFrame
     models: dict[tuple[str, str], object] = field(default_factory=dict)
+    #: By set and model the form of the rows it predicts on, and the set's scaler.
+    served: dict[tuple[str, str], tuple[str, Scaler]] = field(default_factory=dict)
+    ensemble: Sequence[tuple[str, float]] = ()
 
     def metrics(self) -> DataFrame:
         return regression_metrics(self.predictions)
@@ -123,27 +127,40 @@ def run_experiment(
     trainers: dict[str, Callable] | None = None,
     evaluate_on: str = "val",
     ensemble: Sequence[tuple[str, float]] = ENSEMBLE,
+    ledger: Ledger | None = None,
 ) -> Experiment:
     """Every model of every set, evaluated on one part.
 
-    ``evaluate_on="val"`` picks winners without touching the test rows; ``"test"`` is the historical way.
+    ``evaluate_on="val"`` picks winners without touching the test rows; ``"test"`` is the historical way. With a ``ledger`` each job is
+    kept when it ends, and one that is kept already is read back and not trained again.
     """
     trainers = default_trainers() if trainers is None else trainers
     columns = ["feature_set", "model", *ks.columns, "horizon", "actual", "predicted"]
-    parts, models = [], {}
+    spark, parts, models, served = table.sparkSession, [], {}, {}
+    mark = rows_mark(table, ks) if ledger else 0
+    finished = ledger.finished(spark) if ledger else {}
     for set_name, features in sets.items():
-        data = prepare(table, features, spec, ks)
-        base = persistence(data.part("vectors", evaluate_on), spec)
+        data = None
+        base = persistence(table.where(F.col("split") == evaluate_on), spec)
         parts.append(long_predictions(base, "persistence", set_name, spec, ks).select(*columns))
         for name, train in trainers.items():
+            key = set_name, name
+            if key in finished:
+                ledger.check(finished[key], features, evaluate_on, mark)
+                models[key], scaler, known = ledger.recall(spark, finished[key])
+                served[key] = finished[key]["on"], scaler
+                parts.append(known.select(*columns))
+                continue
+            data = data or prepare(table, features, spec, ks)
             model, on = train(data)
-            models[set_name, name] = model
-            predicted = model.predict(data.part(on, evaluate_on))
-            parts.append(materialize(long_predictions(predicted, name, set_name, spec, ks).select(*columns), "predictions"))
+            models[key], served[key] = model, (on, data.scaler)
+            predicted = long_predictions(model.predict(data.part(on, evaluate_on)), name, set_name, spec, ks).select(*columns)
+            kept = ledger.keep(spark, key, model, data.scaler, on, predicted, features, evaluate_on, mark) if ledger else materialize(predicted, "predictions")
+            parts.append(kept)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     names = [m for m, _ in ensemble]
     if all(n in trainers for n in names):
         out = out.unionByName(blend_predictions(out, ks.columns, ensemble, "ensemble").select(*columns))
-    return Experiment(materialize(out, "predictions"), models)
+    return Experiment(materialize(out, "predictions"), models, served, tuple(ensemble))

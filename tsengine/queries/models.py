@@ -13,7 +13,7 @@ from tsengine.functions import scalars as S
 from tsengine.ml import attribution, boosting, forest, linear, network, saved, trees
 from tsengine.ml.frame import VECTOR, change_column, fit_scaler, vector_table
 from tsengine.operators import metrics, selection, split
-from tsengine.plans import experiment, live, serve
+from tsengine.plans import experiment, live, serve, winners
 from tsengine.queries.bindings import FULL, feature_sql, lineitem_days, lineitem_days_sql, rounded, rounded_sql, stored_days
 from tsengine.queries.evaluation import _SPLIT, HELD_OUT, TEST, VALIDATION, _horizon_scores, training_rows
 from tsengine.series import DAILY
@@ -269,6 +269,31 @@ def model_round_trip(spark, sf_dir):
     return saved.greatest_differences(before, again.predict(rows), DAILY.columns, list(models), FULL.horizons)
 
 
+@query(
+    _SPLIT
+    + """select cast(h.horizon as int) as horizon, 1 as version, count(*) as rows, 0 as differing from parts
+ cross join (values (24), (48), (72)) h(horizon) where split = 'test' group by 1"""
+)
+def registered_winner_forecast(spark, sf_dir):
+    """A grid kept in a ledger and taken up again, its winner registered, and the test rows scored from name and version alone, beside the fitted model's own forecast."""
+    rows = split_rows(spark, sf_dir)
+    sets = {"means": [FULL.level, *FULL.families()["rolling mean"]], "lags": [FULL.level, *FULL.families()["lags"]]}
+    trainers = {"ridge": _small_trainers()["ridge"]}
+    ledger = winners.Ledger(new_path(spark, "ledger"))
+    experiment.run_experiment(rows, {"means": sets["means"]}, FULL, DAILY, trainers, ledger=ledger)  # ends after its first set
+    grid = experiment.run_experiment(rows, sets, FULL, DAILY, trainers, ledger=ledger)
+    registry = new_path(spark, "registry")
+    version = winners.publish_winner(spark, grid, sets, DAILY, registry, "forecast", new_path(spark, "artifacts"))
+    served = winners.load_registered(spark, registry, "forecast", version)
+    test = rows.where("split = 'test'")
+    chosen = served.record["feature_set"]
+    data = experiment.prepare(rows, sets[chosen], FULL, DAILY)
+    own = serve.forecast_table(grid.models[chosen, "ridge"].predict(data.part("scaled", "test")), [("ridge", 1.0)], FULL, DAILY, FULL.horizons)
+    both = served.forecast(test, FULL, DAILY).join(own.select(*DAILY.columns, "horizon", F.col("predicted_level").alias("_own")), [*DAILY.columns, "horizon"])
+    off = F.count_if(~F.col("predicted_level").eqNullSafe(F.col("_own"))).cast("int")
+    return both.groupBy("horizon").agg(F.lit(version).alias("version"), F.count(F.lit(1)).alias("rows"), off.alias("differing"))
+
+
 # --- live rows and scoring ---------------------------------------------------------------------------------------
 
 NOW = datetime(2000, 6, 1, 9, 30)
