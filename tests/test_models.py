@@ -125,6 +125,17 @@ def test_learners_beat_persistence(seasonal, data):
     assert done.best().first()["mean_rmse"] == min(rmse.values())
 
 
+def test_shards_follow_the_rows(data, monkeypatch):
+    def fit(**how):
+        return network.train_network(data.part("wide", "train"), data.part("wide", "val"), data.scaler, SPEC.change_targets, SPEC.horizons, hidden=(4,), dropout=(0.0,), epochs=1, **how)
+
+    bytes_of_rows = data.part("wide", "train", "val").count() * 8 * (len(SPEC.features) + len(SPEC.change_targets))
+    monkeypatch.setattr(network, "SHARD_BYTES", bytes_of_rows // 10)
+    with pytest.raises(ValueError, match="too few"):
+        fit(shards=9)
+    assert fit().notes["epochs"] == 1
+
+
 def test_an_aborted_grid_goes_on_and_its_winner_serves(spark, seasonal):
     fitted = []
 

@@ -33,6 +33,8 @@ SEED = 42
 
 # Shards that train side by side and are averaged after each epoch. A task holds one, so larger data needs more.
 SHARDS = 8
+#: Bytes of features and labels that a task holds on average.
+SHARD_BYTES = 64 << 20
 
 SHARD_OUT = "group int, rows double, sse double, val_rows double, val_sse double, state array<double>"
 
@@ -180,14 +182,19 @@ def train_network(
     epochs: int = EPOCHS,
     patience: int = PATIENCE,
     seed: int = SEED,
-    shards: int = SHARDS,
+    shards: int | None = None,
 ) -> Network:
     """Fits on ``train`` only; ``validation`` decides when to stop, and the best weights are kept.
 
     The validation loss of an epoch's weights is measured inside the next epoch's job. The result depends on the data, the seed
-    and ``shards``, not on cores, files or batch sizes.
+    and ``shards``, not on cores, files or batch sizes. A task holds one shard: by default there are ``SHARDS``, or as many as keep the
+    average one within ``SHARD_BYTES``; a smaller number raises.
     """
     sizes = (len(scaler.features), *hidden, len(labels))
+    needed = math.ceil((train.count() + validation.count()) * 8 * (sizes[0] + sizes[-1]) / SHARD_BYTES)
+    shards = max(SHARDS, needed) if shards is None else shards
+    if shards < needed:
+        raise ValueError(f"{shards} shards are too few for these rows: {needed} at least")
     y = F.array(*[F.col(c).cast("double") for c in labels]).alias("y")
 
     def part(df: DataFrame, is_val: bool) -> DataFrame:
