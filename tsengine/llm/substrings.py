@@ -56,19 +56,25 @@ def _remove(width: int):
         docs = chunks.read_documents(documents["payload"])
         known = np.sort(np.concatenate([chunks.unpack(b) for b in later["hashes"].to_pylist()] or [np.empty(0, np.uint64)]))
         ids, texts = docs["id"].to_pylist(), chunks.texts_of(docs["text"].combine_chunks())
+        del docs
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, xxhash.xxh3_64_intdigest(texts[i]), texts[i]))
-        words = [texts[i].split() for i in order]
-        found = [chunks.window_hashes(w, width) for w in words]
+        # Words are objects many times the size of their text: those of one document at a time, split again when it is written.
+        found = [chunks.window_hashes(texts[i].split(), width) for i in order]
+        sizes = [len(f) for f in found]
         values = np.concatenate(found) if found else np.empty(0, np.uint64)
+        del found
         repeated = np.ones(len(values), bool)
         repeated[np.unique(values, return_index=True)[1]] = False
         if len(known):
             at = np.minimum(np.searchsorted(known, values), len(known) - 1)
             repeated |= known[at] == values
+            del at
+        del values, known
         out, begin = [], 0
-        for i, w, f in zip(order, words, found, strict=True):
-            starts = np.flatnonzero(repeated[begin : begin + len(f)])
-            begin += len(f)
+        for i, size in zip(order, sizes, strict=True):
+            w, texts[i] = texts[i].split(), b""
+            starts = np.flatnonzero(repeated[begin : begin + size])
+            begin += size
             edges = np.zeros(len(w) + 1, np.int64)
             edges[starts] += 1
             np.subtract.at(edges, starts + width, 1)
