@@ -103,3 +103,13 @@ def test_bounds_hold_and_pairs_tighten_them():
         ids, scores = shard.best(order, 10)
         assert [(-s, i) for s, i in zip(scores.tolist(), ids.tolist())] == want
     assert tighter > 20
+
+
+def test_bound_of_a_pair_passes_32_bits():
+    weights, docs = {1: 4897, 2: 4387}, np.arange(3, dtype=np.int32)
+    values = [0, np.arange(3).tobytes(), np.array([20, 30, 40]).tobytes(), 200, 80_000, [1, 2], [3, 3], np.tile(docs, 2).tobytes(), np.array([1, 2, 3, 9, 8, 7], np.int32).tobytes()]
+    (index,) = ranked._index([(7, [1, 2])], weights, 200, 80_000)([ranked._row(values, ranked._SHARDS)])
+    shard = ranked.ShardIndex(index.to_pylist()[0], weights)
+    full = shard.scores([1, 2], docs)
+    assert shard.most[2] > 2**31 and shard.joint[1, 2] == full.max()
+    assert shard.pairs[1, 2].tolist() == np.argsort(-full, kind="stable").tolist()

@@ -121,7 +121,7 @@ def _index(queries: list[tuple], weights: dict[int, int], n_documents: int, n_te
             for a, b in pairs:
                 if a in lists and b in lists:
                     both, i, j = np.intersect1d(lists[a][0], lists[b][0], assume_unique=True, return_indices=True)
-                    together = weights[a] * lists[a][1][i].astype(np.int64) + weights[b] * lists[b][1][j]
+                    together = weights[a] * lists[a][1][i].astype(np.int64) + weights[b] * lists[b][1][j].astype(np.int64)
                     out.append((a, b, both[np.argsort(-together, kind="stable")], int(together.max(initial=0))))
             docs, impacts = (b"".join(e.tobytes() for e in part) for part in ((e[2] for e in out), (x for _, x in lists.values())))
             yield _row([row["shard"], row["ids"], [e[0] for e in out], [e[1] for e in out], [len(e[2]) for e in out], [e[3] for e in out], docs, impacts], _INDEX)
