@@ -1,5 +1,8 @@
 import random
+from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from brute import components, equal_texts, shingles, without_repeats
@@ -155,3 +158,26 @@ def test_connected_components(spark):
                 want[a] = want[b] = min(want[a], want[b])
     assert got == want
     assert links.connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_texts_are_opened_a_piece_at_a_time(monkeypatch):
+    """Batches of any size: the emitted sets are those of the whole batch, of whose texts only a piece is Python objects at a time."""
+    rng = random.Random(8)
+    texts = [None if i % 50 == 7 else " ".join(rng.choice("abcdef") for _ in range(rng.randrange(60))) for i in range(400)]
+    batch = pa.record_batch({"id": pa.array(range(400), pa.int64()), "text": pa.array(texts, pa.string())})
+    places = chunks.Chunks(np.array([100, 250], np.int64), 0, 399, 1, 4)
+    opened, texts_of = [], chunks.texts_of
+    monkeypatch.setattr(chunks, "_PIECE_BYTES", 500, raising=False)
+    monkeypatch.setattr(chunks, "texts_of", lambda column: opened.append(sum(map(len, found := texts_of(column)))) or found)
+    signed = pa.Table.from_batches(jaccard._sign(places, 5)([batch]))
+    emitted = pa.Table.from_batches(jaccard._emit(places, 5)([batch]))
+    assert max(opened) <= 500 + 120 and sum(opened) == 2 * sum(len(t or "") for t in texts)
+    sets = [set(jaccard.shingles((t or "").encode(), 5).tolist()) for t in texts]
+    assert signed["id"].to_pylist() == list(range(400)) and signed["n_shingles"].to_pylist() == [len(s) for s in sets]
+    held = defaultdict(Counter)
+    for i, s in enumerate(sets):
+        held[(i > 100) + (i > 250)].update(s)
+    got = defaultdict(dict)
+    for number, hashes, counts in zip(*(emitted[c].to_pylist() for c in ("chunk", "hashes", "counts"))):
+        got[number].update(zip(chunks.unpack(hashes).tolist(), counts))
+    assert got == {number: {v: min(n, 255) for v, n in found.items()} for number, found in held.items()}

@@ -47,28 +47,43 @@ def _node(hashes: np.ndarray) -> bytes:
 def _sign(places: chunks.Chunks, words: int):
     def sign(batches):
         for batch in batches:
-            texts = chunks.texts_of(batch.column(1))
-            sets = [shingles(t, words) for t in texts]
-            yield pa.record_batch(
-                {
-                    "id": batch.column(0),
-                    "chunk": pa.array(places.of(batch.column(0), texts), pa.int32()),
-                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "node": pa.array([_node(s) for s in sets], pa.binary()),
-                }
-            )
+            for s in chunks.pieces(batch.column(1)):
+                ids, texts = batch.column(0)[s], chunks.texts_of(batch.column(1)[s])
+                signed = [(len(found), _node(found)) for found in (shingles(t, words) for t in texts)]
+                yield pa.record_batch(
+                    {
+                        "id": ids,
+                        "chunk": pa.array(places.of(ids, texts), pa.int32()),
+                        "n_shingles": pa.array([n for n, _ in signed], pa.int64()),
+                        "node": pa.array([node for _, node in signed], pa.binary()),
+                    }
+                )
+
+    return chunks.released(sign)
+
 
-    return sign
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct values and how often each comes, 255 at most; sorts ``values`` where they are."""
+    values.sort()
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
+    counts = np.minimum(np.diff(first, append=len(values)), 255).astype(np.uint8)
+    return values[first], counts
 
 
 def _emit(places: chunks.Chunks, words: int):
     def emit(batches):
         for batch in batches:
-            texts = chunks.texts_of(batch.column(1))
-            for number, rows in chunks.runs(places.of(batch.column(0), texts)):
-                values, counts = np.unique(np.concatenate([shingles(texts[i], words) for i in rows.tolist()]), return_counts=True)
-                counts = np.minimum(counts, 255).astype(np.uint8)
+            # The shingles of a piece are one array: many small ones that stay would scatter over the heap.
+            found: dict[int, list[np.ndarray]] = {}
+            for s in chunks.pieces(batch.column(1)):
+                texts = chunks.texts_of(batch.column(1)[s])
+                for number, rows in chunks.runs(places.of(batch.column(0)[s], texts)):
+                    found.setdefault(number, []).append(np.concatenate([shingles(texts[i], words) for i in rows.tolist()]))
+            texts = batch = None
+            for number in sorted(found):
+                values, counts = _counted(np.concatenate(found.pop(number)))
                 parts = [(b, chunks.pack(values[s]), counts[s].tobytes()) for b, s in chunks.by_bucket(values, places.buckets)]
+                del values, counts
                 yield pa.record_batch(
                     {
                         "bucket": pa.array([p[0] for p in parts], pa.int32()),
@@ -77,27 +92,31 @@ def _emit(places: chunks.Chunks, words: int):
                         "counts": pa.array([p[2] for p in parts], pa.binary()),
                     }
                 )
+                del parts
 
-    return emit
+    return chunks.released(emit)
 
 
 def _shared(table: pa.Table) -> pa.Table:
     """Of one bucket: for each chunk its shingles that more than one document holds, each with a rank of how many hold it."""
-    parts = [chunks.unpack(b) for b in table["hashes"].to_pylist()]
-    counts = np.concatenate([np.frombuffer(b, np.uint8) for b in table["counts"].to_pylist()])
-    chunk = np.repeat(table["chunk"].to_pylist(), [len(p) for p in parts])
+    parts = [chunks.unpack(memoryview(b.as_buffer())) for b in table["hashes"]]
+    counts = np.concatenate([np.frombuffer(b.as_buffer(), np.uint8) for b in table["counts"]])
+    chunk = np.repeat(np.array(table["chunk"].to_pylist(), np.int32), [len(p) for p in parts])
     values = np.concatenate(parts)
     del parts
     order = np.argsort(values, kind="stable")
     values, counts, chunk = values[order], counts[order], chunk[order]
+    del order
     first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
     total = np.add.reduceat(counts, first, dtype=np.int64)
     rank = np.minimum(255, 8 * np.log2(total)).astype(np.uint8)
     held = np.diff(np.append(first, len(values)))
     keep = np.repeat(total > 1, held)
     values, chunk, ranks = values[keep], chunk[keep], np.repeat(rank, held)[keep]
+    del counts, first, total, rank, held, keep
     order = np.argsort(chunk, kind="stable")
     values, chunk, ranks = values[order], chunk[order], ranks[order]
+    del order
     out = []
     for number, rows in zip(*np.unique(chunk, return_index=True), strict=True):
         end = np.searchsorted(chunk, number, side="right")
@@ -112,15 +131,14 @@ def _candidates(words: int, percent: int):
 
     def pick(documents: pa.Table, reply: pa.Table) -> pa.Table:
         docs = chunks.read_documents(documents["payload"])
-        blobs = [(chunks.unpack(h), np.frombuffer(r, np.uint8)) for h, r in zip(reply["hashes"].to_pylist(), reply["ranks"].to_pylist(), strict=True) if h]
         seen = set(reply["node"].to_pylist())  # classes that an earlier chunk stands for
+        blobs = [(chunks.unpack(memoryview(h.as_buffer())), np.frombuffer(r.as_buffer(), np.uint8)) for h, r in zip(reply["hashes"], reply["ranks"], strict=True) if h.is_valid]
+        blobs.sort(key=lambda b: int(b[0][0]))  # each of its own range of hashes
         known = np.concatenate([b[0] for b in blobs] or [np.empty(0, np.uint64)])
         ranks = np.concatenate([b[1] for b in blobs] or [np.empty(0, np.uint8)])
         del blobs
-        order = np.argsort(known)
-        known, ranks = known[order], ranks[order]
         rows = {c.split()[0]: [] for c in _DOCS.split(", ")}
-        for text in chunks.texts_of(docs["text"].combine_chunks()) if len(known) else ():
+        for text in chunks.each_text(docs["text"]) if len(known) else ():
             full = shingles(text, words)
             node = _node(full)
             if not len(full) or node in seen:
@@ -147,7 +165,7 @@ def _candidates(words: int, percent: int):
         types = [pa.binary(), pa.int64(), lists, lists, lists, pa.int64(), pa.int64()]
         return pa.table({name: pa.array(rows[name], t) for name, t in zip(rows, types, strict=True)})
 
-    return pick
+    return chunks.released_pair(pick)
 
 
 def _numbered(batches):
@@ -243,7 +261,7 @@ def _form(percent: int, most: int):
         if mixed:
             yield written(mixed)
 
-    return form
+    return chunks.released(form)
 
 
 def _open(percent: int):
@@ -269,7 +287,7 @@ def _open(percent: int):
                 out += _forest(q_nums[q_open[x]].tolist(), s_nums[s_open[y]].tolist(), labels)
             yield pa.record_batch([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
 
-    return compare
+    return chunks.released(compare)
 
 
 def _opened(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -338,7 +356,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spread = sets.where("n_shingles > 0").groupBy("node").agg(F.collect_set("chunk").alias("chunks")).where("size(chunks) > 1")
     elsewhere = spread.select("node", F.array_min("chunks").alias("home"), F.explode("chunks").alias("chunk")).where("chunk <> home")
     hashes = read.mapInArrow(_emit(places, words), _BLOBS)
-    reply = hashes.groupBy("bucket").applyInArrow(_shared, _REPLY)
+    reply = hashes.groupBy("bucket").applyInArrow(chunks.released_group(_shared), _REPLY)
     reply = reply.union(elsewhere.select("chunk", F.lit(None).cast("binary"), F.lit(None).cast("binary"), "node"))
     dealt = chunks.dealt_documents(docs, id_col, text_col, places)
     docs = dealt.groupBy("chunk").cogroup(reply.groupBy("chunk")).applyInArrow(_candidates(words, percent), _DOCS)
