@@ -181,3 +181,12 @@ def test_texts_are_opened_a_piece_at_a_time(monkeypatch):
     for number, hashes, counts in zip(*(emitted[c].to_pylist() for c in ("chunk", "hashes", "counts"))):
         got[number].update(zip(chunks.unpack(hashes).tolist(), counts))
     assert got == {number: {v: min(n, 255) for v, n in found.items()} for number, found in held.items()}
+
+
+def test_memory_is_given_back_after_each_batch_and_at_the_end(monkeypatch):
+    calls = []
+    monkeypatch.setattr(chunks, "release", lambda: calls.append(1))
+    assert list(chunks.released(lambda batches: (b + 1 for b in batches))([1, 2, 3])) == [2, 3, 4]
+    assert len(calls) == 4
+    assert chunks.released_group(len)([1, 2]) == 2 and chunks.released_pair(max)(3, 5) == 5
+    assert len(calls) == 6

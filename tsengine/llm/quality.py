@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsengine.llm.chunks import texts_of
+from tsengine.llm.chunks import released, texts_of
 
 #: Word vectors: words share ``BUCKETS`` rows by hash, so the table has a fixed size.
 BUCKETS = 1 << 14
@@ -109,7 +109,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     Only this table of fixed size (4 MB) comes to the driver; its parts are summed in Spark.
     """
-    parts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_contexts, "block int, payload binary")
+    parts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(released(_contexts), "block int, payload binary")
     table = np.zeros((BUCKETS, DIMS))
     count = np.zeros(BUCKETS)
     for block, payload in parts.groupBy("block").applyInArrow(_sum_blocks, "block int, payload binary").collect():
@@ -253,7 +253,7 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
             found = shared.value.scores(texts_of(batch.column(1)))
             yield pa.record_batch({"row": batch.column(0), "score": pa.array(found, pa.float64())})
 
-    return narrow.mapInArrow(score, T.StructType([narrow.schema["row"], T.StructField("score", T.DoubleType())]))
+    return narrow.mapInArrow(released(score), T.StructType([narrow.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
