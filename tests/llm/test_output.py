@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -121,3 +122,11 @@ def test_matrices_read_back_whole(documents, reference, rows):
             assert [x for p in sorted(docs[i]) for x in p[2]] == reference(t)
     assert len({m["matrix_id"] for m in got}) == len(got)
     assert token_output.write_matrices(documents([]), vocabulary()).count() == 0
+
+
+def test_a_file_of_matrices_is_opened_one_at_a_time(documents, tmp_path):
+    rows = [(i, " a" * (token_output.BLOCK_TOKENS // 2)) for i in range(5)]
+    got = token_output.write_matrices(documents(rows).coalesce(1), vocabulary(), str(tmp_path / "matrices"))
+    files = [pq.ParquetFile(f).metadata for f in sorted((tmp_path / "matrices").glob("*.parquet"))]
+    assert [[m.row_group(g).num_rows for g in range(m.num_row_groups)] for m in files if m.num_rows] == [[1, 1, 1]]
+    assert sorted(tuple(r) for r in got.select("matrix_id", "n_tokens").collect()) == [(f"000000-{i:06d}", n * (token_output.BLOCK_TOKENS // 2 + 1)) for i, n in enumerate((2, 2, 1))]
