@@ -1,5 +1,7 @@
 import math
 import random
+import re
+import statistics
 from datetime import datetime, timedelta
 
 import pytest
@@ -187,3 +189,21 @@ def test_missing_inputs_stay_missing_when_served(spark):
     got = {r["series_id"]: (r["predicted_level"], r["band"]) for r in table.collect()}
     assert got == {"a": (None, None), "b": (None, None), "c": (13.0, "Good")}
     assert {r["series_id"]: r["alert"] for r in serve.alert_table(table, HOURLY).collect()} == {"a": None, "b": None, "c": "none"}
+
+
+def test_parts_of_windows_come_without_sliding_frames(spark):
+    """Whole numbers, gaps and windows of one, two and four parts equal a plain loop; Spark re-aggregates no frame row by row."""
+    rng = random.Random(3)
+    values = [None if i in (1, 95) else rng.randint(-50, 50) for i in range(200)]
+    spec = FeatureSpec(level="v", prefix="v", measures=("v",), calendar=False, windows=(1, 7, 28, 84), forward_sums=(("sum", "v"),), leads=(7, 28))
+    rows = hourly(spark, values).withColumn("v", F.col("v").cast("int"))
+    out = build_features(rows, spec, HOURLY)
+    assert not re.search(r"RowFrame, -\d+, currentrow", out._jdf.queryExecution().executedPlan().toString())
+    assert dict(out.dtypes)["forecast_sum_7"] == "bigint" and dict(out.dtypes)["v_rolling_max_84"] == "int"
+    plain = {"mean": statistics.mean, "min": min, "max": max, "median": statistics.median, "std": lambda x: statistics.stdev(x) if len(x) > 1 else None}
+    whole = lambda x, n, f: f(x) if len(x) == n and None not in x else None
+    want = {f"v_rolling_{s}_{n}": [whole(values[max(0, i - n + 1) : i + 1], n, f) for i in range(200)] for s, f in plain.items() for n in spec.windows}
+    want |= {f"forecast_sum_{n}": [whole(values[i + 1 : i + 1 + n], n, sum) for i in range(200)] for n in spec.leads}
+    got = out.orderBy("time").collect()
+    for name, expected in want.items():
+        assert [r[name] for r in got] == pytest.approx(expected), name

@@ -1,9 +1,10 @@
 """Ordered column expressions over a chunk window. Rows of the window are whole grid steps.
 
 Spark re-aggregates every sliding frame, so a frame of 168 rows costs 168 updates per row and statistic. Long
-windows are therefore put together from short ones: a first pass aggregates frames of at most ``DIRECT_LIMIT`` rows, a
-second one (same partitions and order, hence neither shuffle nor sort) lags those partial results, and a
-projection merges them. Sums add, extremes compare, squared deviations merge around the joint mean, medians sort the
+windows are therefore put together from short ones: a first pass fetches the last rows, at most ``DIRECT_LIMIT``, a
+projection aggregates them, a second pass (same partitions and order, hence neither shuffle nor sort) lags those partial
+results, and a projection merges them. A part is null unless all its rows have a value, so rows without a full window cost
+next to nothing. Sums add, extremes compare, squared deviations merge around the joint mean, medians sort the
 joined arrays; nothing is subtracted, so no precision is lost.
 """
 
@@ -35,11 +36,19 @@ def part_size(size: int) -> int:
     return part if size // part <= MAX_PARTS else size
 
 
+#: Types whose sum a chain of additions gives as the aggregate does, and that sum's type.
+SUM_TYPES = {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "bigint": "bigint", "float": "double", "double": "double"}
+
+
 @dataclass
 class WindowPasses:
-    """Columns of the first window pass, of the second (over results of the first), and of the projection after both."""
+    """Columns of the first window pass, of the second (over results of the first), and of the projection after both.
+
+    ``parts`` are the partial results ``(column, statistic, rows, window)`` that the second pass lags.
+    """
 
     first: dict[str, Column] = field(default_factory=dict)
+    parts: dict[str, tuple[str, str, int, WindowSpec]] = field(default_factory=dict)
     second: dict[str, Column] = field(default_factory=dict)
     sorted: dict[str, Column] = field(default_factory=dict)
     row: dict[str, Column] = field(default_factory=dict)
@@ -55,16 +64,11 @@ class WindowPasses:
         return name
 
     def add_part(self, column: str, stat: str, size: int, w: WindowSpec) -> str:
+        """The statistic of the ``size`` rows ending at the current one; null unless all have a value."""
         name = f"_{stat}_{size}_{column}"
-        if name not in self.first:
-            frame = w.rowsBetween(-(size - 1), 0)
-            self.first[name] = {
-                "sum": lambda: F.sum(column).over(frame),
-                "min": lambda: F.min(column).over(frame),
-                "max": lambda: F.max(column).over(frame),
-                "m2": lambda: F.var_samp(column).over(frame) * (size - 1),
-                "list": lambda: F.collect_list(column).over(frame),
-            }[stat]()
+        if stat in ("min", "max", "list"):
+            self.add_run(column, w)
+        self.parts[name] = (column, stat, size, w)
         return name
 
     def shifted(self, name: str, steps: int, w: WindowSpec) -> Column:
@@ -75,32 +79,34 @@ class WindowPasses:
         self.second[moved] = F.lag(name, steps).over(w)
         return F.col(moved)
 
-    def parts(self, column: str, stat: str, size: int, w: WindowSpec) -> list[Column]:
+    def shifted_parts(self, column: str, stat: str, size: int, w: WindowSpec) -> list[Column]:
         part = part_size(size)
         name = self.add_part(column, stat, part, w)
         return [self.shifted(name, k, w) for k in range(size - part, -1, -part)]
 
     def add_rolling(self, column: str, size: int, stats: tuple[str, ...], w: WindowSpec, name) -> None:
         """``name(stat)`` columns over the ``size`` rows ending at the current one, null unless all have a value."""
-        full = F.col(self.add_run(column, w)) >= size
         for stat in stats:
-            self.row[name(stat)] = F.when(full, self._merged(column, stat, size, w))
+            self.row[name(stat)] = self._merged(column, stat, size, w)
 
     def _merged(self, column: str, stat: str, size: int, w: WindowSpec) -> Column:
         if stat in ("min", "max"):
-            found = self.parts(column, stat, size, w)
-            return found[0] if len(found) == 1 else (F.least if stat == "min" else F.greatest)(*found)
+            found = self.shifted_parts(column, stat, size, w)
+            if len(found) == 1:
+                return found[0]
+            # These two skip nulls, unlike sums and joined arrays.
+            return F.when(F.col(self.add_run(column, w)) >= size, (F.least if stat == "min" else F.greatest)(*found))
         if stat == "median":
             # Sorting a joined array is far cheaper than the built-in percentile, which fills a hash map per frame.
             ordered = f"_sorted_{size}_{column}"
-            self.sorted[ordered] = F.sort_array(F.concat(*self.parts(column, "list", size, w)))
+            self.sorted[ordered] = F.sort_array(F.concat(*self.shifted_parts(column, "list", size, w)))
             return middle(F.col(ordered), size)
-        sums = self.parts(column, "sum", size, w)
+        sums = self.shifted_parts(column, "sum", size, w)
         mean = _total(sums) / size
         if stat == "mean":
             return mean
         part = part_size(size)
-        squares = _total(self.parts(column, "m2", size, w))
+        squares = _total(self.shifted_parts(column, "m2", size, w))
         if len(sums) > 1:
             squares = squares + _total([(s / part - mean) * (s / part - mean) for s in sums]) * part
         return F.sqrt(F.try_divide(squares, F.lit(size - 1)))
@@ -109,8 +115,7 @@ class WindowPasses:
         """Sum of the next ``steps`` rows, the current one excluded; null unless all have a value."""
         part = part_size(steps)
         total = self.add_part(column, "sum", part, w)
-        full = self.shifted(self.add_run(column, w), -steps, w) >= steps
-        self.row[name] = F.when(full, _total([self.shifted(total, -k, w) for k in range(part, steps + 1, part)]))
+        self.row[name] = _total([self.shifted(total, -k, w) for k in range(part, steps + 1, part)])
 
     def over(self, df: DataFrame) -> DataFrame:
         """Both window passes over the chunks' core and halo rows; keeps the core rows.
@@ -118,13 +123,52 @@ class WindowPasses:
         The ``row`` columns are left to the caller's own select. Arrays are sorted in a projection of their own because
         an even median reads two entries of them.
         """
-        for columns in (self.first, self.second):
-            if columns:
-                df = df.select("*", *[c.alias(n) for n, c in columns.items()])
+        types, first, parts = dict(df.dtypes), dict(self.first), {}
+        for name, (column, stat, size, w) in self.parts.items():
+            if size > DIRECT_LIMIT or types[column] not in SUM_TYPES:
+                first[name] = _framed(column, stat, size, w)
+                continue
+            rows = [F.col(column)]
+            for k in range(1, size):
+                first.setdefault(f"_back_{k}_{column}", lag(column, k, w))
+                rows.append(F.col(f"_back_{k}_{column}"))
+            if stat in ("sum", "m2"):
+                total = _total([r.cast(SUM_TYPES[types[column]]) for r in rows])
+                parts[name] = total if stat == "sum" else _total([F.pow(r - total / size, F.lit(2.0)) for r in rows])
+                continue
+            full = F.col(f"_run_{column}") >= size
+            if stat == "list":  # an array that can't hold nulls sorts as plain numbers
+                zero = F.lit(0).cast(types[column])
+                parts[name] = F.when(full, F.array(*[F.coalesce(r, zero) for r in reversed(rows)]))
+            else:
+                parts[name] = F.when(full, (F.least if stat == "min" else F.greatest)(*rows)) if size > 1 else rows[0]
+        if first:
+            df = df.select("*", *[c.alias(n) for n, c in first.items()])
+        if parts:
+            # Spark keeps a projection with a lambda out of whole-stage code, where it would be one method, too long for the JIT
+            # compiler; as a projection of its own it is split.
+            core = F.exists(F.array("_core"), lambda core: core).alias("_core")
+            passed = [n for n in (*types, *first) if n != "_core" and not n.startswith("_back_")]
+            df = df.select(core, *passed, *[c.alias(n) for n, c in parts.items()])
+        if self.second:
+            df = df.select("*", *[c.alias(n) for n, c in self.second.items()])
         df = df.where("_core")
         return df.select("*", *[c.alias(n) for n, c in self.sorted.items()]) if self.sorted else df
 
 
+def _framed(column: str, stat: str, size: int, w: WindowSpec) -> Column:
+    """A part by Spark's own sliding frame."""
+    frame = w.rowsBetween(-(size - 1), 0)
+    value = {
+        "sum": lambda: F.sum(column).over(frame),
+        "min": lambda: F.min(column).over(frame),
+        "max": lambda: F.max(column).over(frame),
+        "m2": lambda: F.var_samp(column).over(frame) * (size - 1),
+        "list": lambda: F.collect_list(column).over(frame),
+    }[stat]()
+    return _full(column, frame, size, value)
+
+
 def _total(columns: list[Column]) -> Column:
     total = columns[0]
     for c in columns[1:]:
